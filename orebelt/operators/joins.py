@@ -96,10 +96,14 @@ def enrich_by_year(
 
 
 def orphans(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key the source does not list."""
-    return target.join(source.select(key), key, "left_anti")
+    """Target rows whose key the source does not list.
+
+    The listed keys are made distinct first, on the map side to begin with, so a name that is
+    listed over and over is one row in the join.
+    """
+    return target.join(source.select(key).distinct(), key, "left_anti")
 
 
 def name_difference(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Distinct keys of the target that the source does not list."""
-    return target.select(key).subtract(source.select(key))
+    return target.select(key).distinct().subtract(source.select(key).distinct())

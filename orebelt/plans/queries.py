@@ -373,7 +373,7 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     products.bronze_observations(
         spark, w.landing(spark, sf), f"{work}/out", f"{work}/progress", glob=w.LANDED_FILES
     )
-    return read_appended(spark, f"{work}/out").select(*RAW)
+    return read_appended(spark, f"{work}/out", products.RAW_OBSERVATION)
 
 
 def ingest_stream_rerun(spark: SparkSession, sf: str) -> DataFrame:
@@ -390,7 +390,8 @@ def ingest_stream_rerun(spark: SparkSession, sf: str) -> DataFrame:
             f"{work}/progress",
             schema=products.RAW_OBSERVATION,
         )
-        stored = row_count(read_appended(spark, f"{work}/out")).first()["row_count"]
+        rows = read_appended(spark, f"{work}/out", products.RAW_OBSERVATION)
+        stored = row_count(rows).first()["row_count"]
         runs.append((run, rows_added(query), stored))
     return spark.createDataFrame(runs, "run int, rows_added bigint, rows_stored bigint")
 
@@ -425,7 +426,7 @@ def silver_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
     silver = products.silver_observations(read_table_stream(spark, bronze))
     append_stream(silver, f"{work}/silver", f"{work}/progress/silver")
-    return read_appended(spark, f"{work}/silver").select(*RAW)
+    return read_appended(spark, f"{work}/silver", silver.schema).select(*RAW)
 
 
 def file_inventory_query(spark: SparkSession, sf: str) -> DataFrame:

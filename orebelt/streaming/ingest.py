@@ -88,8 +88,16 @@ def _all_progress_kept(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def read_appended(spark: SparkSession, target: str) -> DataFrame:
-    """The files of ``append_stream``; columns added later are NULL in earlier rows."""
+def read_appended(
+    spark: SparkSession, target: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The files of ``append_stream``; columns added later are NULL in earlier rows.
+
+    Without a schema the columns of all files are merged, which opens every file's footer; give
+    the schema where it is known.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(target)
     return spark.read.option("mergeSchema", "true").parquet(target)
 
 

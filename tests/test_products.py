@@ -1,0 +1,176 @@
+"""The worked examples of FIXTURES.md, end to end."""
+
+import pytest
+from observations import COLUMNS, RECORDS, ROWS, write_padded, write_snapshot
+from pyspark.sql import functions as F
+
+from orebelt import dq_report, read_delimited, top_n
+from orebelt.plans import products
+
+
+@pytest.fixture(scope="module")
+def bronze(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("observations")
+    write_padded(folder / "pr.data.0.Current", ROWS)
+    (folder / "pr.series").write_text("series_id\ttitle\nA\tOutput\n")
+    write_padded(folder / "pr.data.1.AllData", ROWS)
+    return read_delimited(spark, str(folder), glob="pr.data.0.Current")
+
+
+@pytest.fixture(scope="module", params=[False, True], ids=["text", "numbers"])
+def population(request, spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("population")
+    stale = [("X", "x", "2013", "1")]
+    write_snapshot(folder / "population_data_20250101_000000.json", stale, request.param)
+    write_snapshot(folder / "population_data_20250102_000000.json", RECORDS, request.param)
+    (folder / "zzz.txt").write_text("not a snapshot")
+    return products.bronze_population(spark, str(folder))
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_bronze_keeps_text_and_cleans_names(bronze):
+    assert bronze.columns == COLUMNS
+    assert {t for _, t in bronze.dtypes} == {"string"}
+    first = bronze.first()
+    assert first["series_id"] == "A".ljust(17) and first["value"] == "1.0".rjust(12)
+    assert bronze.count() == 12
+
+
+def test_rules(bronze):
+    report = dq_report(products.typed_observations(bronze), products.OBSERVATION_RULES)
+    assert rows(report) == [("valid_year", 11, 1), ("valid_value", 10, 2)]
+    assert products.silver_observations(bronze).count() == 9
+
+
+def test_silver_schema(bronze):
+    assert products.silver_observations(bronze).schema.simpleString() == (
+        "struct<series_id:string,year:smallint,period:string,value:double,footnote_codes:string>"
+    )
+
+
+def test_best_year(bronze):
+    silver = products.silver_observations(bronze)
+    ties = products.best_year(silver).orderBy("series_id", "year")
+    assert rows(ties) == [("A", 1995, 3.0), ("A", 1996, 3.0), ("B", 2002, -4.0)]
+    assert rows(top_n(ties, 1, F.desc("value"), "series_id", "year")) == [("A", 1995, 3.0)]
+    single = products.best_year(silver, ties=False).orderBy("series_id")
+    assert rows(single) == [("A", 1995, 3.0), ("B", 2002, -4.0)]
+    without_q02 = products.best_year(silver, periods=["Q01", "Q03", "Q04"]).orderBy("series_id")
+    assert rows(without_q02) == [("A", 1996, 3.0), ("B", 2002, -4.0)]
+
+
+def test_best_year_of_raw_text_has_unknown_years_as_a_group(bronze):
+    best = products.best_year_raw(bronze).orderBy("series_id", "year")
+    assert rows(best) == [("A", 1995, 3.0), ("A", 1996, 3.0), ("B", None, 5.0)]
+
+
+def test_population(population):
+    assert rows(population.select("metadata.record_count", "_source_file")) == [
+        (9, "population_data_20250102_000000.json")
+    ]
+    silver = products.silver_population(population)
+    assert silver.schema.simpleString() == (
+        "struct<nation_id:string,nation:string,year:int,population:bigint,"
+        "_source_file:string,_ingestion_timestamp:timestamp>"
+    )
+    assert silver.count() == 7
+    assert rows(silver.select("nation_id", "nation").distinct()) == [("01000US", "United States")]
+    report = dq_report(products.typed_population(population), products.POPULATION_RULES)
+    assert rows(report) == [("valid_year", 8, 1), ("valid_population", 8, 1)]
+
+
+def test_summary(population):
+    silver = products.silver_population(population)
+    summary = products.population_summary(silver)
+    assert summary.schema.simpleString() == (
+        "struct<mean_population:double,stddev_population:double,"
+        "start_year:int,end_year:int,year_count:bigint>"
+    )
+    assert rows(summary) == [(35.0, pytest.approx(18.708286933869708), 2013, 2018, 6)]
+    assert rows(products.population_summary(silver, 2013, 2013)) == [(10.0, None, 2013, 2013, 1)]
+    assert rows(products.population_summary(silver, 1900, 1901)) == [(None, None, None, None, 0)]
+
+
+def test_series_with_population(spark, population):
+    observations = spark.createDataFrame(
+        [
+            ("S", 2013, "Q01", 1.0),
+            ("S", 2014, "Q01", 2.0),
+            ("S", 2014, "Q02", 9.0),
+            ("S", 2012, "Q01", 3.0),
+            ("R", 2013, "Q01", 4.0),
+        ],
+        "series_id string, year smallint, period string, value double",
+    )
+    silver = products.silver_population(population)
+    for unique in (False, True):
+        left = products.series_with_population(observations, silver, "S", "Q01", unique=unique)
+        assert left.schema.simpleString() == (
+            "struct<series_id:string,year:smallint,period:string,value:double,population:bigint>"
+        )
+        assert rows(left.orderBy("year")) == [
+            ("S", 2012, "Q01", 3.0, None),
+            ("S", 2013, "Q01", 1.0, 10),
+            ("S", 2014, "Q01", 2.0, 20),
+        ]
+        inner = products.series_with_population(
+            observations, silver, "S", "Q01", how="inner", unique=unique
+        )
+        assert rows(inner.orderBy("year")) == [
+            ("S", 2013, "Q01", 1.0, 10),
+            ("S", 2014, "Q01", 2.0, 20),
+        ]
+
+
+def test_raw_join_keeps_malformed_values_and_padding(spark, bronze):
+    population = spark.createDataFrame([(2001, 7), (2004, 8)], "year int, population bigint")
+    joined = products.series_with_population_raw(bronze, population, "B", "Q01")
+    assert rows(joined) == [("B".ljust(17), "2001", "Q01", "-".rjust(12), 7)]
+
+
+def test_no_snapshot(spark, tmp_path):
+    (tmp_path / "notes.txt").write_text("nothing here")
+    with pytest.raises(FileNotFoundError, match="no snapshot"):
+        products.bronze_population(spark, str(tmp_path))
+
+
+def test_refresh_is_incremental_for_observations_and_full_for_the_rest(spark, tmp_path):
+    landing, snapshots, store = (str(tmp_path / n) for n in ("landing", "snapshots", "store"))
+    write_padded(tmp_path / "landing" / "batch=1" / "part-a.csv", ROWS[:7])
+    write_snapshot(tmp_path / "snapshots" / "population_data_20250101_000000.json", RECORDS[:2])
+
+    def run():
+        return products.refresh(
+            spark,
+            landing=landing,
+            snapshots=snapshots,
+            store=store,
+            namespace="refresh_test",
+            series_id="A",
+            period="Q01",
+            years=(2013, 2018),
+            glob="*.csv",
+        )
+
+    tables = run()
+    assert set(tables) == {d.name for d in products.DATASETS}
+    assert rows(spark.read.table(tables["gold_best_year"])) == [("A", 1995, 3.0), ("A", 1996, 3.0)]
+    assert spark.read.table(tables["silver_population"]).count() == 2
+
+    write_padded(tmp_path / "landing" / "batch=2" / "part-b.csv", ROWS[7:])
+    write_snapshot(tmp_path / "snapshots" / "population_data_20250102_000000.json", RECORDS)
+    run()
+    assert spark.read.table(tables["bronze_observations"]).count() == 12
+    assert spark.read.table(tables["silver_observations"]).count() == 9
+    assert spark.read.table(tables["silver_population"]).count() == 7
+    assert rows(spark.read.table(tables["gold_best_year"]).orderBy("series_id", "year")) == [
+        ("A", 1995, 3.0),
+        ("A", 1996, 3.0),
+        ("B", 2002, -4.0),
+    ]
+    run()
+    assert spark.read.table(tables["silver_observations"]).count() == 9
+    assert rows(spark.read.table(tables["gold_population_mean_stddev"]))[0][0] == 35.0
