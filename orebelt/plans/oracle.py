@@ -299,6 +299,14 @@ SELECT CAST((SELECT sum(listed) FROM source WHERE fetched) AS BIGINT) AS uploade
         "gold_population_mean_stddev": f"WITH {_YEARLY} {_STATS.format(rows='yearly')}",
         "gold_population_series": f"{both} {_POPULATION_SERIES.format(population='yearly')} "
         "ORDER BY s.year",
+        "refresh_audit": f"{silver}, {_YEARLY} "
+        + _report("typed", _SILVER_RULES, "'run-1' AS run_id, 'silver_observations' AS dataset, ")
+        + " UNION ALL "
+        + _report("yearly", _RECORD_RULES, "'run-1' AS run_id, 'silver_population' AS dataset, "),
+        "sql_population_stats": f"WITH {_YEARLY} {_STATS.format(rows='yearly')}",
+        "sql_best_year": f"{sums} SELECT * FROM best ORDER BY series_id, year",
+        "sql_series_population": f"{both} {_POPULATION_SERIES.format(population='yearly')} "
+        "ORDER BY s.year DESC",
         "table_row_count": " UNION ALL ".join(
             f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in _TABLES
         ),

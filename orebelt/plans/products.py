@@ -19,7 +19,13 @@ from orebelt.functions.text import iso_stamp
 from orebelt.operators.aggregate import summary_stats, yearly_sums
 from orebelt.operators.joins import enrich_by_year
 from orebelt.operators.payload import wrap_envelope
-from orebelt.operators.quality import expect_or_drop
+from orebelt.operators.quality import (
+    append_audit,
+    dq_report,
+    expect_or_drop,
+    observe_rules,
+    observed_report,
+)
 from orebelt.operators.ranking import arg_max_per_group
 from orebelt.sinks.tables import annotate, materialize
 from orebelt.sources.files import infer_raw_schema, latest_file, read_json_documents
@@ -213,12 +219,15 @@ def refresh(
     glob: str | None = None,
     population_schema: T.StructType | str | None = None,
     max_files: int | None = None,
+    run_id: str | None = None,
 ) -> dict[str, str]:
     """Bring all datasets up to date; returns ``dataset -> table name``.
 
     The observation tables only take in what has newly landed; everything else is recomputed
     from the stored tables. ``store`` is a shared folder for table files and checkpoints, and
-    ``namespace`` a prefix for the table names; use the same two on every run.
+    ``namespace`` a prefix for the table names; use the same two on every run. With a ``run_id``
+    the rule counts of the run go to ``store/audit``: those of the observations are taken from
+    the rows as they pass, so they cover what this run has taken in.
     """
     described = {d.name: d for d in DATASETS}
     tables = {name: f"{namespace}_{name}" for name in described}
@@ -238,17 +247,26 @@ def refresh(
         table=tables["bronze_observations"],
         max_files=max_files,
     )
-    keep("bronze_population", bronze_population(spark, snapshots, population_schema))
-    population = keep(
-        "silver_population", silver_population(spark.read.table(tables["bronze_population"]))
-    )
-    append_stream(
-        silver_observations(read_table_stream(spark, tables["bronze_observations"])),
+    snapshot = keep("bronze_population", bronze_population(spark, snapshots, population_schema))
+    population = keep("silver_population", silver_population(snapshot))
+
+    incoming = typed_observations(read_table_stream(spark, tables["bronze_observations"]))
+    if run_id is not None:
+        incoming = observe_rules(incoming, "rules", OBSERVATION_RULES)
+    query = append_stream(
+        expect_or_drop(incoming, OBSERVATION_RULES),
         f"{store}/silver_observations",
         f"{store}/_progress/silver_observations",
         table=tables["silver_observations"],
     )
     observations = spark.read.table(tables["silver_observations"])
+    if run_id is not None:
+        audit = f"{store}/audit"
+        taken_in = observed_report(spark, query, "rules", OBSERVATION_RULES)
+        append_audit(taken_in, audit, run_id, "silver_observations")
+        recomputed = dq_report(typed_population(snapshot), POPULATION_RULES)
+        append_audit(recomputed, audit, run_id, "silver_population")
+
     keep("gold_population_mean_stddev", population_summary(population, *years))
     keep("gold_best_year", best_year(observations), sort_by=["series_id", "year"])
     keep(

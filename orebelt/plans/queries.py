@@ -488,7 +488,10 @@ def materialize_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def dataset_properties(spark: SparkSession, sf: str) -> DataFrame:
     """Row count, quality level and comment of every stored data product."""
     rows = None
-    for dataset, name in w.refreshed(spark, sf).items():
+    tables = w.refreshed(spark, sf)
+    # How many documents hold the bronze population depends on how the orders were split.
+    for dataset in (d.name for d in products.DATASETS if d.name != "bronze_population"):
+        name = tables[dataset]
         quality = table_properties(spark, name).filter("key = 'quality'").first()["value"]
         row = row_count(spark.read.table(name)).select(
             F.lit(dataset).alias("dataset"),
@@ -497,7 +500,7 @@ def dataset_properties(spark: SparkSession, sf: str) -> DataFrame:
             "row_count",
         )
         rows = row if rows is None else rows.unionAll(row)
-    return rows.filter(F.col("dataset") != "bronze_population")
+    return rows
 
 
 def _product(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
@@ -516,6 +519,58 @@ def gold_population_series(spark: SparkSession, sf: str) -> DataFrame:
     return _product(spark, sf, "gold_population_series").orderBy("year")
 
 
+def refresh_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return read_audit(spark, w.refreshed(spark, sf)["audit"])
+
+
+# The questions as SQL text over the stored tables
+
+
+def sql_population_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(
+        """
+        SELECT round(avg(population), 4) AS mean_population,
+               round(stddev(population), 4) AS stddev_population,
+               min(year) AS start_year, max(year) AS end_year, count(*) AS year_count
+        FROM {population} WHERE year BETWEEN {first} AND {last}
+        """,
+        population=_product(spark, sf, "silver_population"),
+        first=w.KNOWN_YEARS[0],
+        last=w.KNOWN_YEARS[1],
+    )
+
+
+def sql_best_year(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(
+        """
+        WITH sums AS (
+          SELECT series_id, year, sum(value) AS total_value FROM {observations}
+          WHERE period LIKE 'Q%' GROUP BY series_id, year),
+        ranked AS (
+          SELECT *, rank() OVER (PARTITION BY series_id ORDER BY total_value DESC) AS place
+          FROM sums WHERE total_value IS NOT NULL)
+        SELECT series_id, year, total_value AS value FROM ranked WHERE place = 1
+        ORDER BY series_id, year
+        """,
+        observations=_product(spark, sf, "silver_observations"),
+    )
+
+
+def sql_series_population(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.sql(
+        """
+        SELECT o.series_id, o.year, o.period, o.value, p.population
+        FROM {observations} o LEFT JOIN {population} p ON o.year = p.year
+        WHERE o.series_id = {series} AND o.period = {period}
+        ORDER BY o.year DESC
+        """,
+        observations=_product(spark, sf, "silver_observations"),
+        population=_product(spark, sf, "silver_population"),
+        series=w.SERIES,
+        period=w.PERIOD,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "silver_observations": silver_observations,
     "dq_report": dq_observations,
@@ -565,6 +620,10 @@ QUERIES: dict[str, Query] = {
     "gold_best_year": gold_best_year,
     "gold_population_mean_stddev": gold_population_mean_stddev,
     "gold_population_series": gold_population_series,
+    "refresh_audit": refresh_audit,
+    "sql_population_stats": sql_population_stats,
+    "sql_best_year": sql_best_year,
+    "sql_series_population": sql_series_population,
     "table_row_count": table_row_count,
     "preview_100": preview_100,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,19 +98,30 @@ def population_records(spark: SparkSession, sf_dir: str, status: str | None = No
 
 # Files below the shared folder
 
-_prepared: dict[tuple[str, str, str], str] = {}
+_prepared: dict[tuple[str, ...], str] = {}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def prepared(
     spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]
 ) -> str:
-    """Path of files that several queries read; written on first use in a session."""
-    key = (scratch_root(spark), sf_dir, label)
-    if key not in _prepared:
+    """Path of files that several queries read; written on first use in an application."""
+    key = (spark.conf.get("spark.app.id"), scratch_root(spark), sf_dir, label)
+    path = _prepared.get(key)
+    if path is None or not _exists(spark, path):
         path = new_scratch(spark, label)
         write(path)
         _prepared[key] = path
-    return _prepared[key]
+    return path
 
 
 def padded(raw: DataFrame) -> DataFrame:
@@ -204,7 +216,7 @@ def shipment_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Table names of all data products, stored once per session."""
+    """Table names of all data products, stored once, and the path of their ``audit``."""
 
     def namespace_of(path: str) -> str:
         return "t" + path.rsplit("-", 1)[-1][:12]
@@ -221,10 +233,12 @@ def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
             years=KNOWN_YEARS,
             glob=LANDED_FILES,
             population_schema=POPULATION_DOCUMENT,
+            run_id="run-1",
         )
 
-    namespace = namespace_of(prepared(spark, sf_dir, "store", write))
-    return {d.name: f"{namespace}_{d.name}" for d in products.DATASETS}
+    path = prepared(spark, sf_dir, "store", write)
+    tables = {d.name: f"{namespace_of(path)}_{d.name}" for d in products.DATASETS}
+    return {**tables, "audit": f"{path}/audit"}
 
 
 # Listings
