@@ -17,6 +17,8 @@ from orebelt.sinks.tables import write_delimited, write_documents
 LANDED_FILES = "part-*.csv"
 SOURCE_URL = "https://example.org/population"
 POPULATION_DOCUMENT = envelope_schema(products.POPULATION_RECORD)
+# One document is parsed by one task: some megabytes each.
+RECORDS_PER_DOCUMENT = 50_000
 SERIES, PERIOD = "SER00000003", "Q01"
 KNOWN_YEARS = (1996, 1999)
 NEW_SINCE = 1999
@@ -157,7 +159,7 @@ SNAPSHOTS = (("20250101_000000", "F"), ("20250102_000000", None))
 
 def _write_snapshot(records: DataFrame, folder: str, stamp: str) -> None:
     fields = [F.col(f"`{name}`") for name in ("Nation ID", "Nation", "Year", "Population")]
-    packed = pack_records(records, fields, size=10_000)
+    packed = pack_records(records, fields, size=RECORDS_PER_DOCUMENT)
     fetched = F.to_timestamp(F.lit(stamp), "yyyyMMdd_HHmmss")
     documents = products.population_snapshot(packed, SOURCE_URL, fetched)
     write_documents(documents, f"{folder}/population_data_{stamp}.json", one_per_file=True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,17 +130,20 @@ def latest_file(spark: SparkSession, path: str, suffix: str = ".json") -> str:
 
     The entry is a file, or a folder that Spark wrote under such a name.
     """
-    root = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    entry = F.regexp_extract("path", rf"^(.*/([^/]+{_literal(suffix)}))(/[^/]*)?$", 1)
-    name = F.regexp_extract("path", rf"^(.*/([^/]+{_literal(suffix)}))(/[^/]*)?$", 2)
+    folder = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", path).rstrip("/")
+    below = rf"^(.*?{_literal(folder)}/+([^/]+{_literal(suffix)}))(/[^/]*)?$"
     row = (
-        root.select(entry.alias("entry"), name.alias("name"))
+        file_inventory(spark, path)
+        .select(
+            F.regexp_extract("path", below, 1).alias("entry"),
+            F.regexp_extract("path", below, 2).alias("name"),
+        )
         .filter(F.col("name") != "")
         .agg(F.max_by("entry", "name").alias("entry"))
         .first()
     )
     if row["entry"] is None:
-        raise FileNotFoundError(f"no snapshot ending in {suffix!r} below {path}")
+        raise FileNotFoundError(f"no snapshot ending in {suffix!r} in {path}")
     return row["entry"]
 
 

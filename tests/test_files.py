@@ -99,6 +99,14 @@ def test_latest_file_may_be_a_file_or_a_folder(spark, tmp_path):
     (tmp_path / "z.txt").write_text("")
     assert latest_file(spark, str(tmp_path)).endswith("/p_20250103.json")
 
+    spark.range(1).write.json(str(tmp_path / "p_20250104.json"))
+    (tmp_path / "archive").mkdir()
+    (tmp_path / "archive" / "p_20250199.json").write_text("{}")
+    for root in (str(tmp_path), f"{tmp_path}/", f"file://{tmp_path}"):
+        assert latest_file(spark, root).endswith("/p_20250104.json")
+    with pytest.raises(FileNotFoundError):
+        latest_file(spark, str(tmp_path), ".xml")
+
 
 def test_materialize_replaces_and_describes(spark, tmp_path):
     path = str(tmp_path / "t")
