@@ -23,7 +23,13 @@ from orebelt.operators.quality import (
     observed_report,
     read_audit,
 )
-from orebelt.operators.ranking import arg_max_per_group, latest_per_key, top_n, with_group_max
+from orebelt.operators.ranking import (
+    arg_max_per_group,
+    latest_per_key,
+    sort_rows,
+    top_n,
+    with_group_max,
+)
 from orebelt.operators.snapshot import latest_name, latest_snapshot
 
 __all__ = [
@@ -50,6 +56,7 @@ __all__ = [
     "payload_keys",
     "read_audit",
     "row_count",
+    "sort_rows",
     "summary_stats",
     "sync_stats",
     "top_n",

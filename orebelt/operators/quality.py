@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orebelt.session import literal_rows
+
 Rules = Mapping[str, str]
 
 
@@ -66,9 +68,10 @@ def observed_report(
     seen = [p.observedMetrics[name] for p in query.recentProgress if name in p.observedMetrics]
     total = sum(row["total"] for row in seen)
     rows = [(rule, sum(row[f"passed_{rule}"] for row in seen)) for rule in rules]
-    return spark.createDataFrame(
+    return literal_rows(
+        spark,
         [(rule, passed, total - passed) for rule, passed in rows],
-        "rule string, passed bigint, dropped bigint",
+        {"rule": "string", "passed": "bigint", "dropped": "bigint"},
     )
 
 

@@ -53,3 +53,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], time_column: str) -> Data
 def top_n(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows by ``order``: each task keeps ``n`` rows, no full sort is shuffled."""
     return df.orderBy(*order).limit(n)
+
+
+def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
+    """All rows in global order, with the plan below run once.
+
+    A global sort samples its input for the ranges first, and would run a scan and join below it
+    a second time for that. The rows are therefore put down in a shuffle before, balanced in
+    size, and both the sample and the sort read them from there.
+    """
+    return df.hint("rebalance").orderBy(*order)

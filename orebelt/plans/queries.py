@@ -35,6 +35,7 @@ from orebelt.operators import (
     payload_keys,
     read_audit,
     row_count,
+    sort_rows,
     sync_stats,
     top_n,
     with_group_max,
@@ -43,7 +44,7 @@ from orebelt.operators import (
 )
 from orebelt.plans import products
 from orebelt.plans import workload as w
-from orebelt.session import new_scratch, stage
+from orebelt.session import literal_rows, new_scratch, stage
 from orebelt.sinks import materialize, preview, table_comment, table_properties, write_documents
 from orebelt.sources import (
     file_inventory,
@@ -151,15 +152,15 @@ def series_max_attached(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def best_year(spark: SparkSession, sf: str) -> DataFrame:
-    return products.best_year(w.observations(spark, sf)).orderBy("series_id", "year")
+    return sort_rows(products.best_year(w.observations(spark, sf)), "series_id", "year")
 
 
 def best_year_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return products.best_year_raw(w.raw_observations(spark, sf)).orderBy("series_id", "year")
+    return sort_rows(products.best_year_raw(w.raw_observations(spark, sf)), "series_id", "year")
 
 
 def best_year_single(spark: SparkSession, sf: str) -> DataFrame:
-    return products.best_year(w.observations(spark, sf), ties=False).orderBy("series_id")
+    return sort_rows(products.best_year(w.observations(spark, sf), ties=False), "series_id")
 
 
 def _orders_per_year(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,7 +219,7 @@ def series_population_left(spark: SparkSession, sf: str) -> DataFrame:
     joined = products.series_with_population(
         w.observations(spark, sf), w.known_population(spark, sf), w.SERIES, w.PERIOD, unique=True
     )
-    return joined.orderBy("year")
+    return sort_rows(joined, "year")
 
 
 def series_population_inner(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +233,7 @@ def series_population_desc(spark: SparkSession, sf: str) -> DataFrame:
     joined = products.series_with_population(
         w.observations(spark, sf), w.known_population(spark, sf), w.SERIES, w.PERIOD, unique=True
     )
-    return joined.orderBy(F.desc("year"), "value")
+    return sort_rows(joined, F.desc("year"), "value")
 
 
 def observations_population_left(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,7 +394,9 @@ def ingest_stream_rerun(spark: SparkSession, sf: str) -> DataFrame:
         rows = read_appended(spark, f"{work}/out", products.RAW_OBSERVATION)
         stored = row_count(rows).first()["row_count"]
         runs.append((run, rows_added(query), stored))
-    return spark.createDataFrame(runs, "run int, rows_added bigint, rows_stored bigint")
+    return literal_rows(
+        spark, runs, {"run": "int", "rows_added": "bigint", "rows_stored": "bigint"}
+    )
 
 
 def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
@@ -508,7 +511,7 @@ def _product(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
 
 
 def gold_best_year(spark: SparkSession, sf: str) -> DataFrame:
-    return _product(spark, sf, "gold_best_year").orderBy("series_id", "year")
+    return sort_rows(_product(spark, sf, "gold_best_year"), "series_id", "year")
 
 
 def gold_population_mean_stddev(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,7 +519,7 @@ def gold_population_mean_stddev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_population_series(spark: SparkSession, sf: str) -> DataFrame:
-    return _product(spark, sf, "gold_population_series").orderBy("year")
+    return sort_rows(_product(spark, sf, "gold_population_series"), "year")
 
 
 def refresh_audit(spark: SparkSession, sf: str) -> DataFrame:

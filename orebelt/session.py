@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -59,3 +61,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def literal_rows(
+    spark: SparkSession, rows: Sequence[Sequence], columns: Mapping[str, str]
+) -> DataFrame:
+    """A few driver-side values as a frame of constants, e.g. ``{"run": "int"}`` for the columns.
+
+    Unlike ``createDataFrame`` it starts no Python worker.
+    """
+    structs = [
+        F.struct(
+            *[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, columns.items())]
+        )
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))

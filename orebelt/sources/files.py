@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from orebelt.functions.columns import clean_column_names
 from orebelt.functions.text import thousands
+from orebelt.session import literal_rows
 
 ENTRY_NAME = r"([^/]+)/?$"
+REMEMBERED = {"version": "int", "place": "int", "name": "string"}
 
 
 def delimited_options(sep: str, glob: str | None, encoding: str) -> dict[str, str]:
@@ -65,24 +67,29 @@ def infer_raw_schema(
     if newest is None:
         raise FileNotFoundError(f"no file to infer a schema from: {path} (glob {glob})")
     header = read_delimited(spark, newest, sep=sep, encoding=encoding).columns
-    known = remembered_columns(spark, remember) if remember else []
+    version, known = remembered_columns(spark, remember) if remember else (0, [])
     columns = known + [name for name in header if name not in known]
     if remember and columns != known:
-        rows = [(place, name) for place, name in enumerate(columns)]
-        frame = spark.createDataFrame(rows, "place int, name string").coalesce(1)
-        frame.write.mode("overwrite").json(remember)
+        rows = [(version + 1, place, name) for place, name in enumerate(columns)]
+        literal_rows(spark, rows, REMEMBERED).write.mode("append").json(remember)
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
-def remembered_columns(spark: SparkSession, location: str) -> list[str]:
-    """Column names kept by ``infer_raw_schema``; empty before the first run."""
+def remembered_columns(spark: SparkSession, location: str) -> tuple[int, list[str]]:
+    """Version and column names kept by ``infer_raw_schema``; ``(0, [])`` before the first run.
+
+    Versions are only ever added, so a run that fails while it adds one leaves the last in place.
+    """
+    schema = ", ".join(f"{name} {kind}" for name, kind in REMEMBERED.items())
     try:
-        rows = spark.read.schema("place int, name string").json(location).collect()
+        rows = spark.read.schema(schema).json(location).collect()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return 0, []
         raise
-    return [row["name"] for row in sorted(rows, key=lambda row: row["place"])]
+    version = max((row["version"] for row in rows), default=0)
+    current = sorted((r["place"], r["name"]) for r in rows if r["version"] == version)
+    return version, [name for _, name in current]
 
 
 def read_json_documents(

@@ -13,6 +13,7 @@ from orebelt import (
     materialize,
     preview,
     read_delimited,
+    remembered_columns,
     table_comment,
     table_properties,
     with_lineage,
@@ -71,6 +72,8 @@ def test_schema_is_remembered_and_grows_at_the_end(spark, tmp_path):
     write_padded(data / "batch=3" / "f.csv", ROWS)
     os.utime(data / "batch=3" / "f.csv", (later + 5, later + 5))
     assert infer_raw_schema(spark, str(data), glob="*.csv", remember=remember) == grown
+    assert remembered_columns(spark, remember) == (2, [*COLUMNS, "note"])
+    assert remembered_columns(spark, f"{remember}-none") == (0, [])
     with pytest.raises(FileNotFoundError):
         infer_raw_schema(spark, str(data), glob="*.none")
 

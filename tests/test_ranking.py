@@ -4,7 +4,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orebelt import arg_max_per_group, latest_per_key, top_n, with_group_max, yearly_sums
+from orebelt import (
+    arg_max_per_group,
+    latest_per_key,
+    sort_rows,
+    top_n,
+    with_group_max,
+    yearly_sums,
+)
 
 SCHEMA = "k string, p int, v double"
 
@@ -99,3 +106,12 @@ def test_latest_delivery_replaces_earlier_ones_as_a_whole(spark):
 def test_top_n(spark):
     df = spark.range(50).withColumn("v", F.col("id") % 7)
     assert [r["id"] for r in top_n(df, 3, F.desc("v"), "id").collect()] == [6, 13, 20]
+
+
+def test_sort_puts_the_rows_down_once_before_it_samples_them(spark):
+    df = spark.range(500).withColumn("v", F.col("id") % 7).repartition(3)
+    ordered = sort_rows(df, F.desc("v"), "id")
+    expected = sorted(((i, i % 7) for i in range(500)), key=lambda r: (-r[1], r[0]))
+    assert [tuple(r) for r in ordered.collect()] == expected
+    plan = ordered._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("rangepartitioning") < plan.index("REBALANCE_PARTITIONS_BY_NONE")
