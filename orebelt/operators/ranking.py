@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orebelt.functions.columns import quoted
+
 
 def with_group_max(df: DataFrame, keys: Sequence[str], measure: str, name: str) -> DataFrame:
     """Attach the group's maximum to each of its rows.
@@ -33,7 +37,8 @@ def arg_max_per_group(
 
     Both are a rank that is cut at 1, which Spark also applies before the shuffle: each map task
     sends only its own best rows per group, so a group that holds most of the table arrives at
-    its reducer as a handful of rows.
+    its reducer as a handful of rows. Sum up first: with one row per group and period, ties are
+    bounded by the number of periods.
     """
     rank = "_orebelt_rank"
     if ties:
@@ -46,8 +51,18 @@ def arg_max_per_group(
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], time_column: str) -> DataFrame:
-    """Rows of the latest delivery of each key, for tables that hold a file's re-delivery too."""
-    return arg_max_per_group(df, keys, time_column, ties=True)
+    """Rows of the latest delivery of each key, for tables that hold a file's re-delivery too.
+
+    A delivery may hold any number of rows of a key, so they are not brought together: the latest
+    time per key is aggregated and the rows are matched against it, a join in which adaptive
+    execution can split a hot key.
+    """
+    latest = df.groupBy(
+        *[F.col(quoted(key)).alias(f"_key_{place}") for place, key in enumerate(keys)]
+    ).agg(F.max(time_column).alias("_latest"))
+    same_key = [df[key].eqNullSafe(F.col(f"_key_{place}")) for place, key in enumerate(keys)]
+    matches = reduce(and_, same_key, df[time_column] == F.col("_latest"))
+    return df.join(latest, matches, "left_semi")
 
 
 def top_n(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

@@ -98,9 +98,23 @@ def test_yearly_sums_pattern_is_case_sensitive_and_skips_null_periods(spark):
 
 def test_latest_delivery_replaces_earlier_ones_as_a_whole(spark):
     df = spark.createDataFrame(
-        [("a", 1, 10.0), ("a", 2, 11.0), ("a", 2, 12.0), ("b", 1, 13.0)], "k string, t int, v double"
+        [
+            ("a", 1, 10.0),
+            ("a", 2, 11.0),
+            ("a", 2, 11.0),
+            ("a", None, 12.0),
+            ("b", 1, 13.0),
+            (None, 1, 14.0),
+            (None, 3, 15.0),
+            ("c", None, 16.0),
+        ],
+        "k string, t int, v double",
     )
-    assert rows(latest_per_key(df, ["k"], "t")) == [("a", 2, 11.0), ("a", 2, 12.0), ("b", 1, 13.0)]
+    expected = [("a", 2, 11.0), ("a", 2, 11.0), ("b", 1, 13.0), (None, 3, 15.0)]
+    latest = latest_per_key(df, ["k"], "t")
+    assert rows(latest) == expected
+    assert latest.columns == df.columns
+    assert "Window" not in latest._jdf.queryExecution().executedPlan().toString()
 
 
 def test_top_n(spark):
