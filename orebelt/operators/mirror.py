@@ -18,12 +18,19 @@ def extract_links(
     return pages.select(*keep, F.explode(names).alias("name"))
 
 
+def refuse_empty(listing: DataFrame) -> None:
+    """Stop a sync that would delete every target entry; stops reading at the first listed name."""
+    if listing.isEmpty():
+        raise ValueError("the source listing is empty; syncing it would delete every target entry")
+
+
 def mirror(
     source: DataFrame,
     target: DataFrame,
     key: str,
     *,
     fetched: str = "fetched",
+    listed: str | None = None,
     allow_empty_source: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Plan one sync run: ``(next_target, actions)``.
@@ -35,20 +42,24 @@ def mirror(
 
     A name listed several times counts once per listing entry in ``actions`` and is stored once:
     duplicates are summed up on the map side before the join, so it does not matter how often a
-    name occurs. Carry references or sizes rather than file bytes, as rows pass a shuffle.
+    name occurs. ``listed`` names a column that says how many entries a row stands for. Carry
+    references or sizes rather than file bytes, as rows pass a shuffle; both results run the join,
+    so ``stage`` a source that is costly to compute.
 
     An empty listing would delete the whole target, so it is an error unless allowed.
     """
-    if not allow_empty_source and source.isEmpty():
-        raise ValueError("the source listing is empty; syncing it would delete every target entry")
+    if not allow_empty_source:
+        refuse_empty(source)
     payload = [name for name in target.columns if name != key]
-    listed = source.groupBy(key).agg(
-        F.count_if(F.col(fetched)).alias("_fetched"),
-        F.count_if(~F.coalesce(F.col(fetched), F.lit(False))).alias("_failed"),
-        F.max(F.when(F.col(fetched), F.struct(*payload))).alias("_new"),
+    entries = F.lit(1).cast("bigint") if listed is None else F.col(listed).cast("bigint")
+    loaded = F.coalesce(F.col(fetched), F.lit(False))
+    named = source.groupBy(key).agg(
+        F.sum(F.when(loaded, entries).otherwise(0)).alias("_fetched"),
+        F.sum(F.when(loaded, 0).otherwise(entries)).alias("_failed"),
+        F.max(F.when(loaded, F.struct(*payload))).alias("_new"),
     )
     stored = target.select(key, F.struct(*payload).alias("_old"))
-    both = listed.join(stored, key, "full_outer")
+    both = named.join(stored, key, "full_outer")
     unlisted = F.col("_fetched").isNull()
 
     outcomes = F.array(

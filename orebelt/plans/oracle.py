@@ -73,6 +73,14 @@ source AS (
   FROM links WHERE url LIKE 'https:%' GROUP BY 1, 2),
 target AS (SELECT DISTINCT name FROM links WHERE url NOT LIKE 'https:%')"""
 
+_KEYED = "'landing/' || name AS key"
+
+_ACTIONS = """
+SELECT {name}, CASE WHEN fetched THEN 'uploaded' ELSE 'error' END AS action, listed AS entries
+FROM source
+UNION ALL
+SELECT {name}, 'deleted', 1 FROM target WHERE name NOT IN (SELECT name FROM source)"""
+
 _POPULATION_SERIES = """
 SELECT s.series_id, s.year, s.period, s.value, p.population
 FROM silver s LEFT JOIN {population} p ON s.year = p.year
@@ -244,13 +252,8 @@ SELECT 'year=' || CAST(year(l_shipdate) AS VARCHAR) AS folder,
 FROM lineitem GROUP BY 1""",
         "extract_links": f"{links} SELECT page_id, name FROM links",
         "extract_links_first5": f"{links} SELECT DISTINCT name FROM links ORDER BY name LIMIT 5",
-        "sync_actions": f"{links} "
-        """
-SELECT 'landing/' || name AS key, CASE WHEN fetched THEN 'uploaded' ELSE 'error' END AS action,
-       listed AS entries FROM source
-UNION ALL
-SELECT 'landing/' || name, 'deleted', 1 FROM target
-WHERE name NOT IN (SELECT name FROM source)""",
+        "sync_actions": f"{links} {_ACTIONS.format(name=_KEYED)}",
+        "sync_landing": f"{links} {_ACTIONS.format(name='name AS name')}",
         "sync_orphans": f"{links} SELECT name, 'old:' || name AS content FROM target "
         "WHERE name NOT IN (SELECT name FROM source)",
         "sync_orphan_names": f"{links} SELECT name FROM target EXCEPT SELECT name FROM source",

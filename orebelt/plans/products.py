@@ -18,6 +18,7 @@ from orebelt.functions.columns import explode_records, typed, with_lineage
 from orebelt.functions.text import iso_stamp
 from orebelt.operators.aggregate import summary_stats, yearly_sums
 from orebelt.operators.joins import enrich_by_year
+from orebelt.operators.mirror import extract_links, mirror, refuse_empty
 from orebelt.operators.payload import wrap_envelope
 from orebelt.operators.quality import (
     append_audit,
@@ -88,6 +89,32 @@ def population_snapshot(
     return wrap_envelope(records, array, source_url, iso_stamp(fetched_at))
 
 
+# Landing
+
+
+def sync_landing(
+    pages: DataFrame,
+    fetches: DataFrame,
+    target: DataFrame,
+    *,
+    prefix: str,
+    html: str = "html",
+    attribute: str = "HREF",
+    allow_empty_source: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Mirror what the listing pages name into the target: ``(next_target, actions)``.
+
+    ``fetches`` has one row per name that was fetched: ``name`` and the target's other columns. A
+    listed name without a row there failed to load.
+    """
+    names = extract_links(pages, html, prefix, attribute=attribute)
+    if not allow_empty_source:
+        refuse_empty(names)
+    listed = names.groupBy("name").agg(F.count("*").alias("listed"))
+    source = listed.join(fetches.withColumn("fetched", F.lit(True)), "name", "left")
+    return mirror(source, target, "name", listed="listed", allow_empty_source=True)
+
+
 # Silver
 
 

@@ -476,6 +476,16 @@ def sync_stats_query(spark: SparkSession, sf: str) -> DataFrame:
     return sync_stats(actions)
 
 
+def sync_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole sync from listing pages, with the fetched names as a table of their own."""
+    pages = w.table(spark, sf, "pages").filter(F.col("url").startswith("https:"))
+    fetches = w.source_listing(spark, sf).filter("fetched").select("name", "content").distinct()
+    _, actions = products.sync_landing(
+        pages, fetches, w.target_listing(spark, sf), prefix="/", attribute="href"
+    )
+    return actions
+
+
 # Stored datasets
 
 
@@ -618,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "sync_orphan_names": sync_orphan_names,
     "sync_next_state": sync_next_state,
     "sync_stats": sync_stats_query,
+    "sync_landing": sync_landing,
     "materialize_roundtrip": materialize_roundtrip,
     "dataset_properties": dataset_properties,
     "gold_best_year": gold_best_year,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,18 +54,27 @@ def materialize(
 ) -> DataFrame:
     """Store ``df`` as a table, replacing its earlier content, and return the stored table.
 
-    ``path`` puts the files outside the warehouse folder. ``sort_by`` sorts within each task,
-    without a shuffle, so that a filter on those columns skips row groups.
+    With a ``path`` the rows are first written in full to a new folder below it, and only then does
+    the table point there: a refresh that fails leaves the previous content in place, and ``df``
+    may read the table it replaces. Folders of earlier content stay until they are removed.
+    Without a ``path`` the table is overwritten in the warehouse folder.
+
+    ``sort_by`` sorts within each task, without a shuffle, so that a filter on those columns skips
+    row groups.
     """
+    spark = df.sparkSession
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
-    spark = df.sparkSession
+    writer = df.write.format("parquet").partitionBy(*partition_by)
+    if path is None:
+        writer.mode("overwrite").saveAsTable(name)
+    else:
+        version = f"{path}/content-{uuid.uuid4().hex}"
+        writer.save(version)
+        spark.sql(f"DROP TABLE IF EXISTS {_table(name)}")
+        spark.catalog.createTable(name, path=version, source="parquet")
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
     annotate(spark, name, comment, properties)
     return spark.read.table(name)
 

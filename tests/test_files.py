@@ -124,6 +124,7 @@ def test_materialize_replaces_and_describes(spark, tmp_path):
         sort_by=["id"],
     )
     assert table.count() == 3
+    assert table.filter("odd = 1").count() == 1
     assert table_comment(spark, "described") == "second"
     properties = {r["key"]: r["value"] for r in table_properties(spark, "described").collect()}
     assert properties["quality"] == "gold" and properties["steward"] == "o'brien"
@@ -131,6 +132,23 @@ def test_materialize_replaces_and_describes(spark, tmp_path):
     assert table_comment(spark, "described") == "it's third"
 
 
+def test_a_failed_refresh_leaves_the_previous_content(spark, tmp_path):
+    path = str(tmp_path / "t")
+    materialize(spark.range(5), "kept", path=path)
+    with pytest.raises(Exception, match="boom"):
+        materialize(spark.range(3).selectExpr("raise_error('boom') AS id"), "kept", path=path)
+    assert spark.read.table("kept").count() == 5
+    doubled = spark.read.table("kept").selectExpr("id * 2 AS id")
+    assert sorted(r["id"] for r in materialize(doubled, "kept", path=path).collect()) == [
+        0, 2, 4, 6, 8,
+    ]
+
+
+def test_materialize_in_the_warehouse(spark):
+    materialize(spark.range(5), "managed", properties={"quality": "bronze"})
+    assert materialize(spark.range(2), "managed").count() == 2
+
+
 def test_preview(spark):
     assert [r["id"] for r in preview(spark.range(1000), 3, "id").collect()] == [0, 1, 2]
     assert preview(spark.range(1000)).count() == 100

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from orebelt import extract_links, mirror, sync_stats
+from orebelt.plans import products
 
 SOURCE = "name string, fetched boolean, content string"
 TARGET = "name string, content string"
@@ -68,6 +69,23 @@ def test_target_with_no_column_but_the_key(spark):
     assert pairs(actions) == [("a", "uploaded", 1), ("b", "error", 1), ("c", "deleted", 1)]
 
 
+def test_sync_from_listing_pages(spark):
+    html = '<a HREF="/d/a"> <a HREF="/d/a"> <a HREF="/d/b"> <a HREF="/e/z">'
+    pages = spark.createDataFrame([(html,), ('<a HREF="/d/c">',)], "html string")
+    fetches = spark.createDataFrame([("a", "a2"), ("c", "c2"), ("z", "z2")], TARGET)
+    target = spark.createDataFrame([("b", "b1"), ("d", "d1")], TARGET)
+    state, actions = products.sync_landing(pages, fetches, target, prefix="/d/")
+    assert pairs(state) == [("a", "a2"), ("b", "b1"), ("c", "c2")]
+    assert pairs(actions) == [
+        ("a", "uploaded", 2),
+        ("b", "error", 1),
+        ("c", "uploaded", 1),
+        ("d", "deleted", 1),
+    ]
+    with pytest.raises(ValueError, match="empty"):
+        products.sync_landing(pages, fetches, target, prefix="/nothing/")
+
+
 def one_by_one(source, target):
     """The sync as a loop over the listing."""
     state, counts = dict(target), {"uploaded": 0, "deleted": 0, "errors": 0}

@@ -87,7 +87,7 @@ def test_names_are_combined_before_the_mirror_join(spark):
     _, actions = mirror(source, target, "name")
     text = plan(actions)
     join = text.index("FullOuter")
-    assert "partial_count" in text[join:]
+    assert "partial_sum" in text[join:]
 
 
 def test_latest_snapshot_reads_names_only_to_find_it(spark):
