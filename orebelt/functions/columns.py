@@ -57,13 +57,13 @@ PLACEHOLDERS = ("", "-")
 
 
 def typed(column: Column, data_type: str) -> Column:
-    """Trim, then cast; text that is not a value of ``data_type`` becomes NULL.
+    """Trim, then cast; text that is not a value of ``data_type`` becomes NULL. Numbers pass, too.
 
     ``try_cast`` keeps the bad row alive for the quality rules, where a plain ANSI cast would
     end the job. Floating-point parsing signals bad text by an exception inside the cast, which
     costs far more than a parse, so the usual placeholders are told apart beforehand.
     """
-    text = F.trim(column)
+    text = F.trim(column.cast("string"))
     cast = text.try_cast(data_type)
     if data_type in ("double", "float"):
         return F.when(~text.isin(*PLACEHOLDERS), cast)

@@ -75,6 +75,9 @@ def enrich_by_year(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    clashes = sorted(set(attributes) & set(observations.columns))
+    if clashes:
+        raise ValueError(f"the observations already have columns {clashes}")
     key = "_dimension_year"
     year_type = observations.schema[year].dataType
     small_key = isinstance(year_type, (T.ByteType, T.ShortType))

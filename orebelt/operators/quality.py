@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orebelt.functions.columns import quoted
 from orebelt.session import literal_rows
 
 Rules = Mapping[str, str]
@@ -44,8 +45,8 @@ def dq_report(df: DataFrame, rules: Rules) -> DataFrame:
     rows = [
         F.struct(
             F.lit(name).alias("rule"),
-            F.col(f"passed_{name}").alias("passed"),
-            (F.col("total") - F.col(f"passed_{name}")).alias("dropped"),
+            F.col(quoted(f"passed_{name}")).alias("passed"),
+            (F.col("total") - F.col(quoted(f"passed_{name}"))).alias("dropped"),
         )
         for name in rules
     ]

@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orebelt.functions.columns import explode_records, typed, with_lineage
+from orebelt.functions.columns import (
+    cast_columns,
+    explode_records,
+    flatten_struct,
+    standardize_names,
+    trim_strings,
+    typed,
+    with_lineage,
+)
 from orebelt.functions.text import iso_stamp
 from orebelt.operators.aggregate import summary_stats, yearly_sums
 from orebelt.operators.joins import enrich_by_year
@@ -32,6 +40,7 @@ from orebelt.sinks.tables import annotate, materialize
 from orebelt.sources.files import infer_raw_schema, latest_file, read_json_documents
 from orebelt.streaming.ingest import append_stream, read_files_stream, read_table_stream
 
+# Rules, columns and the range of years of the datasets.
 OBSERVATION_RULES = {"valid_year": "year IS NOT NULL", "valid_value": "value IS NOT NULL"}
 POPULATION_RULES = {"valid_year": "year IS NOT NULL", "valid_population": "population > 0"}
 
@@ -44,6 +53,8 @@ RAW_OBSERVATION = T.StructType(
 POPULATION_RECORD = (
     "struct<`Nation ID`: string, Nation: string, Year: string, Population: string>"
 )
+POPULATION_COLUMNS = ("nation_id", "nation", "year", "population")
+SUMMARY_YEARS = (2013, 2018)
 
 
 # Bronze
@@ -121,14 +132,9 @@ def sync_landing(
 def typed_observations(bronze: DataFrame) -> DataFrame:
     """Trimmed and typed, before any rule; columns beyond the known ones are left out."""
     lineage = [c for c in ("_source_file", "_ingestion_time") if c in bronze.columns]
-    return bronze.select(
-        F.trim("series_id").alias("series_id"),
-        typed(F.col("year"), "smallint").alias("year"),
-        F.trim("period").alias("period"),
-        typed(F.col("value"), "double").alias("value"),
-        F.trim("footnote_codes").alias("footnote_codes"),
-        *lineage,
-    )
+    known = bronze.select(*RAW_OBSERVATION.names, *lineage)
+    trimmed = trim_strings(known, "series_id", "period", "footnote_codes")
+    return cast_columns(trimmed, {"year": "smallint", "value": "double"})
 
 
 def silver_observations(bronze: DataFrame) -> DataFrame:
@@ -138,14 +144,10 @@ def silver_observations(bronze: DataFrame) -> DataFrame:
 def typed_population(bronze: DataFrame) -> DataFrame:
     """One typed row per record of the documents; a document without records gives none."""
     lineage = [c for c in ("_source_file", "_ingestion_timestamp") if c in bronze.columns]
-    records = explode_records(bronze, "data.data", keep=lineage)
-    return records.select(
-        F.trim("record.`Nation ID`").alias("nation_id"),
-        F.trim("record.Nation").alias("nation"),
-        typed(F.col("record.Year").cast("string"), "int").alias("year"),
-        typed(F.col("record.Population").cast("string"), "bigint").alias("population"),
-        *[F.trim(c).alias(c) if c == "_source_file" else F.col(c) for c in lineage],
-    )
+    records = flatten_struct(explode_records(bronze, "data.data", keep=lineage), "record")
+    named = standardize_names(records).select(*POPULATION_COLUMNS, *lineage)
+    trimmed = trim_strings(named, "nation_id", "nation", "_source_file")
+    return cast_columns(trimmed, {"year": "int", "population": "bigint"})
 
 
 def silver_population(bronze: DataFrame) -> DataFrame:
@@ -155,7 +157,9 @@ def silver_population(bronze: DataFrame) -> DataFrame:
 # Gold
 
 
-def population_summary(population: DataFrame, start: int = 2013, end: int = 2018) -> DataFrame:
+def population_summary(
+    population: DataFrame, start: int = SUMMARY_YEARS[0], end: int = SUMMARY_YEARS[1]
+) -> DataFrame:
     return summary_stats(population, "population", "year", start, end)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.functions import (
@@ -255,7 +255,7 @@ EVENT_RECORD = (
 )
 
 
-def _event_fields() -> list[F.Column]:
+def _event_fields() -> list[Column]:
     return [
         F.col("event_id").alias("Event ID"),
         F.col("user_id").alias("User ID"),

@@ -92,3 +92,10 @@ def test_orphans(spark):
 def test_unknown_join_type(observations, two_nations):
     with pytest.raises(ValueError, match="how"):
         enrich_by_year(observations, two_nations, how="full")
+
+
+def test_attribute_names_must_be_new(observations, two_nations):
+    with pytest.raises(ValueError, match="value"):
+        enrich_by_year(
+            observations, two_nations.withColumnRenamed("population", "value"), ["value"]
+        )

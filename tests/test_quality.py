@@ -66,3 +66,8 @@ def test_observed_counts_cover_all_micro_batches(spark, tmp_path):
     report = [tuple(r) for r in observed_report(spark, query, "rules", RULES).collect()]
     assert report == [("positive", 8, 12), ("known", 12, 8)]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+
+
+def test_rule_names_are_free_text(spark):
+    report = dq_report(frame(spark), {"is a.b known?": "k IS NOT NULL"})
+    assert [tuple(r) for r in report.collect()] == [("is a.b known?", 3, 2)]
