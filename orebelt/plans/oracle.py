@@ -181,7 +181,7 @@ SELECT user_id, CAST(day AS VARCHAR) AS day, events FROM (
   SELECT *, max(events) OVER (PARTITION BY user_id) AS most FROM daily)
 WHERE events = most""",
         "series_population_left": f"{both} {_POPULATION_SERIES.format(population='known')} "
-        "ORDER BY s.year",
+        "ORDER BY s.year, s.value",
         "series_population_desc": f"{both} {_POPULATION_SERIES.format(population='known')} "
         "ORDER BY s.year DESC, s.value",
         "series_population_inner": f"{raw}, {_YEARLY} "
@@ -301,7 +301,7 @@ SELECT CAST((SELECT sum(listed) FROM source WHERE fetched) AS BIGINT) AS uploade
         "gold_best_year": f"{sums} SELECT * FROM best ORDER BY series_id, year",
         "gold_population_mean_stddev": f"WITH {_YEARLY} {_STATS.format(rows='yearly')}",
         "gold_population_series": f"{both} {_POPULATION_SERIES.format(population='yearly')} "
-        "ORDER BY s.year",
+        "ORDER BY s.year, s.value",
         "refresh_audit": f"{silver}, {_YEARLY} "
         + _report("typed", _SILVER_RULES, "'run-1' AS run_id, 'silver_observations' AS dataset, ")
         + " UNION ALL "

@@ -219,7 +219,7 @@ def series_population_left(spark: SparkSession, sf: str) -> DataFrame:
     joined = products.series_with_population(
         w.observations(spark, sf), w.known_population(spark, sf), w.SERIES, w.PERIOD, unique=True
     )
-    return sort_rows(joined, "year")
+    return sort_rows(joined, "year", "value")
 
 
 def series_population_inner(spark: SparkSession, sf: str) -> DataFrame:
@@ -529,7 +529,7 @@ def gold_population_mean_stddev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_population_series(spark: SparkSession, sf: str) -> DataFrame:
-    return sort_rows(_product(spark, sf, "gold_population_series"), "year")
+    return sort_rows(_product(spark, sf, "gold_population_series"), "year", "value")
 
 
 def refresh_audit(spark: SparkSession, sf: str) -> DataFrame:

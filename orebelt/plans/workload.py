@@ -117,7 +117,7 @@ def prepared(
     spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]
 ) -> str:
     """Path of files that several queries read; written on first use in an application."""
-    key = (spark.conf.get("spark.app.id"), scratch_root(spark), sf_dir, label)
+    key = (spark.conf.get("spark.app.id", ""), scratch_root(spark), sf_dir, label)
     path = _prepared.get(key)
     if path is None or not _exists(spark, path):
         path = new_scratch(spark, label)

@@ -25,13 +25,6 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_in_the_rows_and_no_pairs(spark, name):
-    text = plan(QUERIES[name](spark, SF_DIR))
-    for bad in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInArrow"):
-        assert bad not in text
-
-
 def test_best_rows_are_cut_before_the_shuffle(stored):
     for ties in (True, False):
         lines = plan(products.best_year(stored, ties=ties)).splitlines()
