@@ -25,6 +25,7 @@ PREPARED = {
     "record_snapshots": workload.record_snapshots,
     "yearly_snapshots": workload.yearly_snapshots,
     "shipment_files": workload.shipment_files,
+    "stored_links": workload.stored_links,
     "refresh": workload.refreshed,
 }
 

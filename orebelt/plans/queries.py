@@ -98,7 +98,7 @@ def dq_population(spark: SparkSession, sf: str) -> DataFrame:
 def dq_audit(spark: SparkSession, sf: str) -> DataFrame:
     """Reports of two datasets filed under one run; filing one again does not count it twice."""
     target = new_scratch(spark, "audit")
-    population = dq_population(spark, sf)
+    population = stage(dq_population(spark, sf), "report")
     append_audit(dq_observations(spark, sf), target, "run-1", "silver_observations")
     append_audit(population, target, "run-1", "silver_population")
     append_audit(population, target, "run-1", "silver_population")

@@ -252,19 +252,31 @@ def listed_links(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     return extract_links(pages, "html", "/", attribute="href", keep=keep)
 
 
+def stored_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(name, secure)`` for every link, taken from the pages once for both listings."""
+
+    def write(path: str) -> None:
+        links = listed_links(spark, sf_dir, "url")
+        links.select("name", F.col("url").startswith("https:").alias("secure")).write.parquet(path)
+
+    path = prepared(spark, sf_dir, "links", write)
+    return spark.read.schema("name string, secure boolean").parquet(path)
+
+
 def source_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names linked from the https pages; names of other than small ASCII letters fail to load."""
-    links = listed_links(spark, sf_dir, "url").filter(F.col("url").startswith("https:"))
-    return links.select(
-        "name",
-        F.col("name").rlike("^[a-z]+$").alias("fetched"),
-        F.concat(F.lit("new:"), F.col("name")).alias("content"),
+    return (
+        stored_links(spark, sf_dir)
+        .filter("secure")
+        .select(
+            "name",
+            F.col("name").rlike("^[a-z]+$").alias("fetched"),
+            F.concat(F.lit("new:"), F.col("name")).alias("content"),
+        )
     )
 
 
 def target_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names linked from the other pages: what an earlier sync has stored."""
-    links = listed_links(spark, sf_dir, "url").filter(~F.col("url").startswith("https:"))
-    return (
-        links.select("name").distinct().withColumn("content", F.concat(F.lit("old:"), F.col("name")))
-    )
+    names = stored_links(spark, sf_dir).filter("NOT secure").select("name").distinct()
+    return names.withColumn("content", F.concat(F.lit("old:"), F.col("name")))
