@@ -99,3 +99,31 @@ def test_attribute_names_must_be_new(observations, two_nations):
         enrich_by_year(
             observations, two_nations.withColumnRenamed("population", "value"), ["value"]
         )
+
+
+def test_a_hot_year_is_split_when_the_dimension_is_too_large(spark, monkeypatch):
+    monkeypatch.setattr("orebelt.operators.joins.broadcast_if_small", lambda df: df)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = spark.range(0, 300_000, 1, 8)
+        observations = rows.selectExpr(
+            "cast(if(id % 3 = 0, 1999, 1000 + id % 997) AS int) AS year",
+            "cast(xxhash64(id) AS string) AS value",
+        )
+        dimension = spark.range(1000, 2100).selectExpr("cast(id AS int) year", "id AS population")
+        for how in ("left", "inner"):
+            joined = enrich_by_year(observations, dimension, how=how)
+            assert len(joined.collect()) == 300_000
+            assert "skew=true" in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
