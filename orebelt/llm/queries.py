@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orebelt.llm import host_rank, sql, warc
 from orebelt.llm.host_rank import Rule
+from orebelt.llm.near_dedup import near_duplicates
 from orebelt.session import new_scratch
 
 RULES = [
@@ -36,9 +37,14 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
