@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orebelt.llm import host_rank, sql, warc
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
+from orebelt.llm.repeats import remove_repeats
 from orebelt.session import new_scratch
 
 RULES = [
@@ -37,6 +39,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +52,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
 
