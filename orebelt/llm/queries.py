@@ -11,6 +11,7 @@ from orebelt.llm import host_rank, sql, warc
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
 from orebelt.llm.repeats import remove_repeats
+from orebelt.llm.toxicity import score_toxicity
 from orebelt.session import new_scratch
 
 RULES = [
@@ -39,6 +40,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -52,6 +57,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
