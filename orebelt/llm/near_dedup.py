@@ -36,7 +36,7 @@ from orebelt.llm.text import U, chunks, constants, mix, shingles, words
 from orebelt.session import stage
 
 BLOCK = 512
-MEMBERS_PER_TASK = 2048
+MEMBERS_PER_TASK = 256
 ROWS_AT_ONCE = 4096
 
 
