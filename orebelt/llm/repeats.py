@@ -265,6 +265,7 @@ def remove_repeats(
     def _count(part: int, group: pa.Table, kind: int) -> pa.Table:
         if not len(group):
             return _messages([])
+        group = group.sort_by("block")  # so that the same key leads whenever this runs again
         own = blocks.answers(group["payload"].to_pylist())
         return _messages(
             [(part, b, kind, None, None, None, None, p) for b, p in zip(group["block"].to_pylist(), own)]
