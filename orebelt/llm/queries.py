@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.llm import host_rank, sql, warc
+from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
 from orebelt.llm.repeats import remove_repeats
@@ -27,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_and_compare(table(spark, sf_dir, "documents"))
+
+
 def op3_host_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rank.judge_urls(table(spark, sf_dir, "pages"), RULES)
 
@@ -55,6 +60,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprint": op1_fingerprint,
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
