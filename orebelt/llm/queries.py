@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.llm import host_rank, sql, warc
+from orebelt.llm.decontaminate import find_leaks
 from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
@@ -59,6 +60,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op3_host_rank": op3_host_rank,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -111,22 +111,33 @@ class Words(NamedTuple):
     bounds: np.ndarray  # the words of text i are bounds[i]:bounds[i + 1]
 
 
-def words(chunk: Chunk) -> Words:
-    """Runs of bytes other than space and tab to carriage return; none spans two texts."""
-    inside = np.zeros(len(chunk.data) + 2, np.int8)
-    inside[1:-1] = ~SPACE[chunk.data]
-    step = np.diff(inside)
+def runs(chunk: Chunk, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the longest runs of ``inside`` bytes begin and end; none spans two texts."""
+    mark = np.zeros(len(chunk.data) + 2, np.int8)
+    mark[1:-1] = inside
+    step = np.diff(mark)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    # A word that runs over the end of a text is cut there.
     cuts = np.unique(chunk.starts[1:-1])
     cuts = cuts[(cuts > 0) & (cuts < len(chunk.data))]
-    if len(cuts):
-        cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
-        start, end = np.sort(np.r_[start, cuts]), np.sort(np.r_[end, cuts])
+    cuts = cuts[(mark[cuts] == 1) & (mark[cuts + 1] == 1)]
+    return np.sort(np.r_[start, cuts]), np.sort(np.r_[end, cuts])
+
+
+def lower(data: np.ndarray) -> np.ndarray:
+    """A-Z and the Latin-1 capitals in lower case."""
+    out = LOWER[data]
+    capital = np.zeros(len(data), bool)
+    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    out[capital] += 32
+    return out
+
+
+def words(chunk: Chunk) -> Words:
+    """Runs of bytes other than space and tab to carriage return."""
+    start, end = runs(chunk, ~SPACE[chunk.data])
     text = np.searchsorted(chunk.starts, start, side="right") - 1
     hashed = mix(_folded.ranges(_folded.sums(chunk.data), start, end))
-    bounds = np.searchsorted(start, chunk.starts)
-    return Words(start, end, text, hashed, bounds)
+    return Words(start, end, text, hashed, np.searchsorted(start, chunk.starts))
 
 
 def shingles(found: Words, size: int, factors: np.ndarray) -> Iterator[np.ndarray]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.llm.text import Chunk, Rolling, U, chunks, mix
+from orebelt.llm.text import Chunk, Rolling, U, chunks, lower, mix, runs
 
 SAMPLE = 20_000
 VOTERS = 512
@@ -62,27 +62,10 @@ class Tokens(NamedTuple):
     whole: np.ndarray
 
 
-def _lower(data: np.ndarray) -> np.ndarray:
-    """A-Z and the Latin-1 capitals in lower case."""
-    out = data.copy()
-    out[(data >= 65) & (data <= 90)] += 32
-    capital = np.zeros(len(data), bool)
-    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    out[capital] += 32
-    return out
-
-
 def tokens(chunk: Chunk) -> Tokens:
     """Runs of letters and their stems; a stem is shorter than its word."""
-    data = _lower(chunk.data)
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = LETTER[data]
-    cuts = chunk.starts[1:-1]
-    step = np.diff(inside)
-    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    cuts = np.unique(cuts[(cuts > 0) & (cuts < len(data))])
-    cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
-    start, end = np.sort(np.r_[start, cuts]), np.sort(np.r_[end, cuts])
+    data = lower(chunk.data)
+    start, end = runs(chunk, LETTER[data])
     letter_at = np.flatnonzero((data & 0xC0) != 0x80)  # first bytes of characters
     letter_at = np.r_[letter_at, len(data)]
     first, after = np.searchsorted(letter_at, start), np.searchsorted(letter_at, end)
