@@ -12,6 +12,7 @@ from orebelt.llm.decontaminate import find_leaks
 from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
+from orebelt.llm.pieces import decode, encode, load_pieces
 from orebelt.llm.repeats import remove_repeats
 from orebelt.llm.toxicity import score_toxicity
 from orebelt.session import new_scratch
@@ -64,6 +65,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = load_pieces()
+    decoded = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    return decoded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op3_host_rank": op3_host_rank,
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_pieces": op10_pieces,
 }
 
 ORACLE_SQL: dict[str, str] = {
