@@ -12,6 +12,7 @@ from orebelt.llm.decontaminate import find_leaks
 from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.near_dedup import near_duplicates
+from orebelt.llm.ngram_lm import score_texts
 from orebelt.llm.pieces import decode, encode, load_pieces
 from orebelt.llm.repeats import remove_repeats
 from orebelt.llm.toxicity import score_toxicity
@@ -34,6 +35,10 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_and_compare(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_host_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rank.judge_urls(table(spark, sf_dir, "pages"), RULES)
 
@@ -73,6 +78,7 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_ngram_lm": op2_ngram_lm,
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
