@@ -11,6 +11,7 @@ from orebelt.llm import host_rank, sql, warc
 from orebelt.llm.decontaminate import find_leaks
 from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
+from orebelt.llm.main_text import main_text
 from orebelt.llm.near_dedup import near_duplicates
 from orebelt.llm.ngram_lm import score_texts
 from orebelt.llm.pieces import decode, encode, load_pieces
@@ -56,6 +57,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = main_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rank": op3_host_rank,
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
+    "op6_main_text": op6_main_text,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
