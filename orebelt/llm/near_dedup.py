@@ -307,3 +307,14 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), least).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", sketching: Sketching = Sketching()
+) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns; rows without an id stay."""
+    found = near_duplicates(docs, id=id, text=text, sketching=sketching)
+    kept = found.filter(F.col("kept") & F.col(id).isNotNull()).select(id).distinct()
+    # Rows that repeat an id are one document.
+    first = docs.filter(F.col(id).isNotNull()).join(kept, id, "left_semi").dropDuplicates([id])
+    return first.unionByName(docs.filter(F.col(id).isNull()))

@@ -25,13 +25,14 @@ columns are read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orebelt.llm import blocks
 from orebelt.llm.blocks import Keys
@@ -239,16 +240,28 @@ def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
 
 
 def remove_repeats(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)``: per row the bytes that are left of its text.
 
+    Columns named in ``carry`` come along, before the others.
+
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in
     the same text or another, as the texts were given; none spans two texts.
     """
     if length < 5 * TRIGGER_BYTES:
         raise ValueError(f"length is at least {5 * TRIGGER_BYTES}")
-    docs = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
+    along = [f"carried_{i}" for i in range(len(carry))]
+    docs = docs.select(
+        F.col(id).cast("bigint").alias("id"),
+        F.coalesce(text, F.lit("")).alias("text"),
+        *[F.col(c).alias(a) for c, a in zip(carry, along)],
+    )
     size = blocks.total_bytes(docs, "text")
     parts = max(1, math.ceil(size / RANGE_BYTES))
     dealt = blocks.in_blocks(docs, size)
@@ -349,10 +362,11 @@ def remove_repeats(
         return pa.table(
             [
                 group["id"],
+                *(group[a] for a in along),
                 *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
                 pa.array(kept, pa.binary()),
             ],
-            names=["id", "n_bytes", "n_removed", "n_spans", "kept"],
+            names=["id", *along, "n_bytes", "n_removed", "n_spans", "kept"],
         )
 
     by_block = dealt.groupBy("block")
@@ -360,7 +374,32 @@ def remove_repeats(
     edges = by_block.cogroup(counted.groupBy("block")).applyInArrow(ask_edges, MESSAGE)
     matched = edges.groupBy("range").applyInArrow(match_edges, MESSAGE)
     replies = counted.unionByName(matched)
-    result = by_block.cogroup(replies.groupBy("block")).applyInArrow(
-        cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
-    )
-    return result.withColumnRenamed("id", id)
+    schema = StructType([docs.schema["id"], *(docs.schema[a] for a in along)])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        schema = schema.add(name, "long")
+    result = by_block.cogroup(replies.groupBy("block")).applyInArrow(cut, schema.add("kept", "binary"))
+    return result.toDF(id, *carry, "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def with_repeats_removed(
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: str | None = "n_chars", length: int = LENGTH
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without repeats in their texts.
+
+    A character that has lost some of its bytes goes as a whole. ``size`` names the column with the
+    number of characters, if there is one.
+    """
+    others = [c for c in docs.columns if c not in (id, text)]
+    cut = remove_repeats(docs, id=id, text=text, length=length, carry=others).withColumn(text, whole_characters("kept"))
+    if size in docs.columns:
+        cut = cut.withColumn(size, F.length(text).cast(docs.schema[size].dataType))
+    return cut.select(*[F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
+def whole_characters(data: str) -> Column:
+    """The UTF-8 text in a binary column, without bytes that are no whole character."""
+
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([v.decode(errors="ignore") for v in values.to_pylist()], pa.string())
+
+    return F.arrow_udf(run, "string")(data)

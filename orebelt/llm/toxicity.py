@@ -98,6 +98,11 @@ class Model(NamedTuple):
     weights: np.ndarray
     bias: float
 
+    def scores(self, votes: "Votes", chunk: Chunk) -> np.ndarray:
+        text, voter = votes.fired(chunk)
+        odds = self.bias + np.bincount(text, self.weights[voter], chunk.count)
+        return 1 / (1 + np.exp(-odds.clip(-30, 30)))
+
 
 class Votes:
     """Which voters fire on the texts of a chunk."""
@@ -297,16 +302,45 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         votes = Votes(model.voters)
         for batch in batches:
             for chunk in chunks(batch["text"]):
-                text, voter = votes.fired(chunk)
-                odds = model.bias + np.bincount(text, model.weights[voter], chunk.count)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["id"].slice(chunk.first, chunk.count), pa.array(1 / (1 + np.exp(-odds.clip(-30, 30))))],
+                    [batch["id"].slice(chunk.first, chunk.count), pa.array(model.scores(votes, chunk))],
                     names=["id", "score"],
                 )
 
     return docs.mapInArrow(run, "id bigint, score double")
 
 
+def drop_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    threshold: float = THRESHOLD,
+    sample: int = SAMPLE,
+    voters: int = VOTERS,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below ``threshold``."""
+    own, known = _inputs(docs, labels, id, text, label)
+    model = fit(own, known, sample=sample, voters=voters)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        votes = Votes(model.voters)
+        for batch in batches:
+            keep = [model.scores(votes, chunk) < threshold for chunk in chunks(batch[text])]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _inputs(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str) -> tuple[DataFrame, DataFrame]:
+    return (
+        docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")),
+        labels.select(F.col(id).cast("bigint").alias("id"), F.col(label).cast("int").alias("label")),
+    )
+
+
 def score_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -319,8 +353,7 @@ def score_toxicity(
     voters: int = VOTERS,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)`` per row of ``docs``; ``labels`` has ids and 0/1 labels."""
-    docs = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    known = labels.select(F.col(id).cast("bigint").alias("id"), F.col(label).cast("int").alias("label"))
+    docs, known = _inputs(docs, labels, id, text, label)
     scored = score(docs, fit(docs, known, sample=sample, voters=voters))
     return scored.select(
         F.col("id").alias(id),
