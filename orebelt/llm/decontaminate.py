@@ -168,8 +168,7 @@ class Index:
         owner, block, most = self.block_most.look_up(term[~frequent])
         key = window[~frequent][owner] * self.blocks + block
         alive, slot = np.unique(key, return_inverse=True)
-        reach = np.bincount(slot, most, len(alive))
-        reach += np.minimum(self.block_common[alive % self.blocks], common[alive // self.blocks])
+        reach = np.bincount(slot, most, len(alive)) + np.minimum(self.block_common[alive % self.blocks], common[alive // self.blocks])
         alive = alive[reach >= self.block_bound[alive % self.blocks] - 1e-9]
         # Blocks whose frequent terms reach the bound alone.
         easy = np.flatnonzero(self.block_common >= self.block_bound - 1e-9)

@@ -242,6 +242,15 @@ def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return met.filter("node <> least").select(F.col("node").alias("u"), F.col("least").alias("v")), degree
 
 
+def _same_id(prints: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links between the classes of rows that repeat an id with another text."""
+    each = prints.filter("n > 0 and id is not null").select("id", "s1", "s2", "n").distinct()
+    again = each.groupBy("id").agg(F.count("*").alias("texts")).filter("texts > 1")
+    node = each.join(again, "id").join(reps.select("s1", "s2", "n", "node"), ["s1", "s2", "n"])
+    # The id is a node itself only if it represents one of its classes; it serves as a hub either way.
+    return node.filter("node <> id").select(F.col("id").alias("u"), F.col("node").alias("v"))
+
+
 def near_duplicates(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", sketching: Sketching = Sketching()
 ) -> DataFrame:
@@ -297,7 +306,7 @@ def near_duplicates(
         more = _link_blocks(_in_tasks(left, count), p, residual=True)
         links = links.unionByName(stage(more, "more-links"))
 
-    component = connected_components(links)
+    component = connected_components(links.unionByName(_same_id(prints, reps)))
     of_class = reps.select("s1", "s2", "n", "node").join(component, "node", "left")
     of_class = of_class.select("s1", "s2", "n", F.coalesce("component", "node").alias("component"))
     found = prints.select("id", "n", "s1", "s2").join(of_class, ["s1", "s2", "n"], "left")

@@ -240,20 +240,18 @@ def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
 
 
 def remove_repeats(
-    docs: DataFrame,
-    *,
-    id: str = "doc_id",
-    text: str = "text",
-    length: int = LENGTH,
-    carry: Sequence[str] = (),
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH
 ) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)``: per row the bytes that are left of its text.
 
-    Columns named in ``carry`` come along, before the others.
-
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in
     the same text or another, as the texts were given; none spans two texts.
     """
+    return _cut(docs, id, text, length, []).withColumnRenamed("id", id)
+
+
+def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str]) -> DataFrame:
+    """The same with further columns along, as ``carried_0`` and so on."""
     if length < 5 * TRIGGER_BYTES:
         raise ValueError(f"length is at least {5 * TRIGGER_BYTES}")
     along = [f"carried_{i}" for i in range(len(carry))]
@@ -377,8 +375,7 @@ def remove_repeats(
     schema = StructType([docs.schema["id"], *(docs.schema[a] for a in along)])
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
-    result = by_block.cogroup(replies.groupBy("block")).applyInArrow(cut, schema.add("kept", "binary"))
-    return result.toDF(id, *carry, "n_bytes", "n_removed", "n_spans", "kept")
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(cut, schema.add("kept", "binary"))
 
 
 def with_repeats_removed(
@@ -390,10 +387,11 @@ def with_repeats_removed(
     number of characters, if there is one.
     """
     others = [c for c in docs.columns if c not in (id, text)]
-    cut = remove_repeats(docs, id=id, text=text, length=length, carry=others).withColumn(text, whole_characters("kept"))
-    if size in docs.columns:
-        cut = cut.withColumn(size, F.length(text).cast(docs.schema[size].dataType))
-    return cut.select(*[F.col(c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    rest = _cut(docs, id, text, length, others).withColumn("text", whole_characters("kept"))
+    columns = {id: F.col("id"), text: F.col("text")} | {c: F.col(f"carried_{i}") for i, c in enumerate(others)}
+    if size in columns:
+        columns[size] = F.length("text")
+    return rest.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in docs.schema])
 
 
 def whole_characters(data: str) -> Column:

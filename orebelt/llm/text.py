@@ -146,9 +146,10 @@ def shingles(found: Words, size: int, factors: np.ndarray) -> Iterator[np.ndarra
     A text with fewer words has its whole sequence as one shingle, a text without words none.
     """
     h, n = found.hash, len(found.hash)
-    full = np.zeros(max(0, n - size + 1), U)
+    places = max(0, n - size + 1)
+    full = np.zeros(places, U)
     for j in range(size):
-        full += h[j : n - size + 1 + j] * factors[j]
+        full += h[j : places + j][:places] * factors[j]
     full = mix(full)
     for a, b in zip(found.bounds, found.bounds[1:]):
         if b - a >= size:
