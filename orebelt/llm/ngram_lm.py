@@ -12,7 +12,7 @@ shuffled once per block and not once per occurrence, and the most frequent one i
 Trigrams are only looked up where both of their bigrams are known from other texts, as they can't
 have a count otherwise. A range has about as many n-grams at every size of the corpus.
 
-Words are runs of characters other than white space, A-Z in lower case; an n-gram is known by 64 bits.
+Words are runs of characters other than white space, A-Z in lower case; an n-gram is known by 56 bits.
 
 Defined cases: null and empty texts, and texts without words, have a score of 0 over 0 words; repeated
 rows are other texts to each other; null ids are kept; an empty table gives an empty result. Only the
@@ -35,6 +35,7 @@ from orebelt.llm.text import U, chunks, constants, mix, words
 ALPHA = 0.4
 BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 16 << 20  # text bytes per range of the count tables
+KNOWN_BITS = ~U(255)  # the last byte of every key is 0, and takes no space in the shuffle
 TOTAL = U(0)  # the key under which the number of all words is counted
 
 _at = constants(3, 81)
@@ -65,6 +66,7 @@ def explode(column: pa.Array) -> Grams:
     one, two, three = mix(h * _at[0]), np.zeros(len(h), U), np.zeros(len(h), U)
     two[1:] = mix(h[1:] * _at[0] + mix(h[:-1] * _at[1]))
     three[2:] = mix(h[2:] * _at[0] + mix(h[1:-1] * _at[1]) + mix(h[:-2] * _at[2]))
+    one, two, three = (x & KNOWN_BITS for x in (one, two, three))
     two[place < 1] = 0
     three[place < 2] = 0
     return Grams(one, two, three, text, place, count)
