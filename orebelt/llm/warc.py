@@ -279,15 +279,10 @@ def merge_runs(runs: DataFrame, *, entries_per_range: int = ENTRIES_PER_RANGE) -
     total = runs.agg(F.sum(F.size("entries"))).first()[0] or 0
     ranges = max(1, math.ceil(total / entries_per_range))
     key = F.struct("urlkey", "captured", F.coalesce("record_id", F.lit(-1)).alias("record_id"))
-    sample = (
-        runs.select(F.inline("entries"))
-        .select(key.alias("key"))
-        .orderBy(F.xxhash64("key"))
-        .limit(ranges * SAMPLED_KEYS_PER_RANGE)
-        .collect()
-        if ranges > 1
-        else []
-    )
+    share = min(1.0, ranges * SAMPLED_KEYS_PER_RANGE / max(1, total))
+    picked = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < int(share * (1 << 40))
+    entries = runs.select(F.inline("entries")).select(key.alias("key"))
+    sample = entries.filter(picked).collect() if ranges > 1 else []
     keys = sorted({tuple(row.key) for row in sample})
     bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
 
