@@ -56,32 +56,46 @@ def trim_strings(df: DataFrame, *columns: str) -> DataFrame:
 PLACEHOLDERS = ("", "-")
 
 
+WHOLE_NUMBERS = ("tinyint", "byte", "smallint", "short", "int", "integer", "bigint", "long")
+
+
 def typed(column: Column, data_type: str) -> Column:
-    """Trim, then cast; text that is not a value of ``data_type`` becomes NULL. Numbers pass, too.
+    """Trim text, then cast; what is not a value of ``data_type`` becomes NULL.
 
-    ``try_cast`` keeps the bad row alive for the quality rules, where a plain ANSI cast would
-    end the job. Floating-point parsing signals bad text by an exception inside the cast, which
-    costs far more than a parse, so the usual placeholders are told apart beforehand.
+    For the types of whole numbers, ``123.0`` and ``1.23E2`` are the number 123, while a number with
+    a fraction is no value. ``try_cast`` keeps the bad row alive for the quality rules, where a plain
+    ANSI cast would end the job. Floating-point parsing signals bad text by an exception inside the
+    cast, which costs far more than a parse, so the usual placeholders are told apart beforehand.
     """
     text = F.trim(column.cast("string"))
     cast = text.try_cast(data_type)
     if data_type in ("double", "float"):
         return F.when(~text.isin(*PLACEHOLDERS), cast)
+    if data_type in WHOLE_NUMBERS:
+        number = text.try_cast("decimal(38,9)")
+        whole = F.when(number == F.floor(number), F.floor(number).try_cast(data_type))
+        return F.coalesce(cast, F.when(~text.isin(*PLACEHOLDERS), whole))
     return cast
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """``typed`` over several columns, e.g. ``{"year": "smallint", "value": "double"}``."""
+    """``typed`` over several columns, e.g. ``{"year": "smallint", "value": "double"}``.
+
+    A column of numbers is cast as it is, so a fraction is cut off.
+    """
     missing = [name for name in types if name not in df.columns]
     if missing:
         raise ValueError(f"no such columns: {missing}")
+
+
+    def cast(name: str) -> Column:
+        column = F.col(quoted(name))
+        if isinstance(df.schema[name].dataType, T.NumericType):
+            return column.try_cast(types[name])
+        return typed(column, types[name])
+
     return df.select(
-        *[
-            typed(F.col(quoted(name)), types[name]).alias(name)
-            if name in types
-            else F.col(quoted(name))
-            for name in df.columns
-        ]
+        *[cast(name).alias(name) if name in types else F.col(quoted(name)) for name in df.columns]
     )
 
 
@@ -94,7 +108,7 @@ def with_lineage(
     ``file_name``.
     """
     return df.select(
-        "*",
+        *[F.col(quoted(name)) for name in df.columns if name != "_metadata"],
         F.col(f"_metadata.{file_part}").alias("_source_file"),
         F.current_timestamp().alias(time_column),
     )

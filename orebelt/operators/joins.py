@@ -13,6 +13,25 @@ from orebelt.functions.columns import quoted
 BROADCAST_BYTES = 32 << 20
 
 
+FIXED_WIDTH = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.DecimalType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
+
+def _measurable(kind: T.DataType) -> bool:
+    return isinstance(kind, (*FIXED_WIDTH, T.StringType, T.BinaryType))
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes the rows of ``df`` take in memory, counted by one distributed aggregate."""
     variable = [
@@ -20,11 +39,7 @@ def measured_bytes(df: DataFrame) -> int:
         for f in df.schema.fields
         if isinstance(f.dataType, (T.StringType, T.BinaryType))
     ]
-    odd = [
-        f.name
-        for f in df.schema.fields
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
-    ]
+    odd = [f.name for f in df.schema.fields if not _measurable(f.dataType)]
     if odd:
         raise ValueError(f"cannot bound the size of nested columns {odd}")
     width = F.lit(16 + 8 * len(df.columns)).cast("bigint")
@@ -36,10 +51,11 @@ def measured_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only if its measured size is within ``limit``.
 
-    Beyond it the frame is returned unmarked: the join is shuffled, and adaptive execution
-    splits a year that holds too many rows over several tasks.
+    Beyond it, or with nested columns, the frame is returned unmarked: the join is shuffled, and
+    adaptive execution splits a year that holds too many rows over several tasks.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+    measurable = all(_measurable(f.dataType) for f in df.schema.fields)
+    return F.broadcast(df) if measurable and measured_bytes(df) <= limit else df
 
 
 def one_row_per_key(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -62,6 +78,7 @@ def enrich_by_year(
     dimension_year: str = "year",
     how: str = "left",
     unique: bool = False,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the attributes of the observation's year.
 
@@ -71,7 +88,8 @@ def enrich_by_year(
 
     The observations are never shuffled for a dimension that fits into a broadcast. With
     ``unique=True`` and a one- or two-byte year that is certain without looking: at most 65,536
-    fixed-width rows. Otherwise the size is measured first.
+    fixed-width rows. Otherwise the size is measured first and ``limit`` decides; the rows are the
+    same either way.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -84,9 +102,7 @@ def enrich_by_year(
     side = dimension.select(
         F.col(quoted(dimension_year)).alias(key), *[F.col(quoted(a)) for a in attributes]
     ).filter(F.col(key).isNotNull())
-    fixed = not any(
-        isinstance(side.schema[a].dataType, (T.StringType, T.BinaryType)) for a in attributes
-    )
+    fixed = all(isinstance(side.schema[a].dataType, FIXED_WIDTH) for a in attributes)
     if unique:
         if small_key:
             # Years outside the observations' type cannot match; the key keeps its own type.
@@ -94,7 +110,7 @@ def enrich_by_year(
             side = side.filter(F.col(key).between(low, high))
         side = one_row_per_key(side, key, attributes)
     bounded = unique and small_key and fixed
-    side = F.broadcast(side) if bounded else broadcast_if_small(side)
+    side = F.broadcast(side) if bounded else broadcast_if_small(side, limit)
     return observations.join(side, observations[year] == side[key], how).drop(key)
 
 

@@ -36,7 +36,8 @@ def mirror(
     """Plan one sync run: ``(next_target, actions)``.
 
     ``source`` has one row per listed name: the key, the boolean ``fetched`` and the target's
-    remaining columns. ``target`` is a set: one row per key. Every fetched name replaces its
+    remaining columns. ``target`` is a set: a row that stands there twice counts once, and two
+    entries of one key are an error. Every fetched name replaces its
     target entry, a name whose fetch failed keeps the entry it has, and an entry that is no
     longer listed goes away.
 
@@ -53,13 +54,20 @@ def mirror(
     payload = [name for name in target.columns if name != key]
     entries = F.lit(1).cast("bigint") if listed is None else F.col(listed).cast("bigint")
     loaded = F.coalesce(F.col(fetched), F.lit(False))
+    # Counts and distinct entries are hash aggregates; only what differs per name is compared.
     named = source.groupBy(key).agg(
         F.sum(F.when(loaded, entries).otherwise(0)).alias("_fetched"),
         F.sum(F.when(loaded, 0).otherwise(entries)).alias("_failed"),
-        F.max(F.when(loaded, F.struct(*payload))).alias("_new"),
     )
-    stored = target.select(key, F.struct(*payload).alias("_old"))
-    both = named.join(stored, key, "full_outer")
+    fresh = source.filter(loaded).select(key, *payload).distinct()
+    fresh = fresh.groupBy(key).agg(F.max(F.struct(*payload)).alias("_new"))
+    stored = target.select(key, *payload).distinct().groupBy(key).agg(
+        F.max(F.struct(*payload)).alias("_old"), F.count("*").alias("_copies")
+    )
+    message = F.concat(F.lit(f"two target entries with {key} "), F.col(key).cast("string"))
+    one = F.when(F.col("_copies") > 1, F.raise_error(message)).otherwise(F.col(key))
+    stored = stored.select(one.alias(key), "_old")
+    both = named.join(fresh, key, "left").join(stored, key, "full_outer")
     unlisted = F.col("_fetched").isNull()
 
     outcomes = F.array(

@@ -12,10 +12,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from orebelt.functions.columns import quoted
-from orebelt.session import literal_rows
+from orebelt.session import literal_rows, path_exists
 
 Rules = Mapping[str, str]
 
@@ -63,12 +62,12 @@ def observe_rules(df: DataFrame, name: str, rules: Rules) -> DataFrame:
 
 
 def observed_report(
-    spark: SparkSession, query: StreamingQuery, name: str, rules: Rules
+    spark: SparkSession, observed: Mapping[str, Mapping[str, int]], name: str, rules: Rules
 ) -> DataFrame:
-    """The same rows as ``dq_report``, summed over the micro-batches of a finished stream."""
-    seen = [p.observedMetrics[name] for p in query.recentProgress if name in p.observedMetrics]
-    total = sum(row["total"] for row in seen)
-    rows = [(rule, sum(row[f"passed_{rule}"] for row in seen)) for rule in rules]
+    """The same rows as ``dq_report``, from what a run has ``observed`` (see ``append_stream``)."""
+    seen = observed.get(name, {})
+    total = seen.get("total", 0)
+    rows = [(rule, seen.get(f"passed_{rule}", 0)) for rule in rules]
     return literal_rows(
         spark,
         [(rule, passed, total - passed) for rule, passed in rows],
@@ -98,3 +97,48 @@ def read_audit(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(schema).parquet(target).select(
         "run_id", "dataset", "rule", "passed", "dropped"
     )
+
+
+RUN = "run_id string, after bigint, upto bigint"
+
+
+def run_window(spark: SparkSession, location: str, run_id: str, newest: int | None) -> tuple[int | None, int | None]:
+    """The load times ``(after, upto]``, in microseconds, of the rows that a run accounts for.
+
+    A run starts where the last other one that has been filed ended, so what a failed run took in is
+    counted by its retry or by the next one. A run that is filed again keeps its start, and its end
+    too if another has followed. ``newest`` is the latest load time that is stored.
+    """
+    if not path_exists(spark, location):
+        return None, newest
+    mine = F.col("run_id") == run_id
+    row = (
+        spark.read.schema(RUN)
+        .json(location)
+        .agg(
+            F.count_if(mine).alias("filed"),
+            F.min(F.when(mine, F.col("after"))).alias("after"),
+            F.max(F.when(mine, F.col("upto"))).alias("upto"),
+            F.max(F.when(~mine, F.col("upto"))).alias("others"),
+        )
+        .first()
+    )
+    if not row.filed:
+        return row.others, newest
+    followed = row.others is not None and row.upto is not None and row.others > row.upto
+    return row.after, row.upto if followed else newest
+
+
+def file_run(spark: SparkSession, location: str, run_id: str, after: int | None, upto: int | None) -> None:
+    """Remember the window of a run whose counts have been filed."""
+    literal_rows(spark, [(run_id, after, upto)], {"run_id": "string", "after": "bigint", "upto": "bigint"}).write.mode(
+        "append"
+    ).json(location)
+
+
+def loaded_between(df: DataFrame, time_column: str, after: int | None, upto: int | None) -> DataFrame:
+    """Rows with a load time in ``(after, upto]``; a missing bound is open."""
+    time = F.col(time_column)
+    if after is not None:
+        df = df.filter(time > F.timestamp_micros(F.lit(after)))
+    return df if upto is None else df.filter(time <= F.timestamp_micros(F.lit(upto)))

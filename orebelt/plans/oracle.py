@@ -208,13 +208,23 @@ FROM events""",
         "population_silver": f"WITH {_RECORDS} "
         """
 SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,
-       'population_data_20250102_000000.json' AS _source_file
+       'census_20250102_000000.json' AS _source_file
+FROM records WHERE year IS NOT NULL AND population > 0""",
+        "population_silver_numbers": f"WITH {_RECORDS} "
+        """
+SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,
+       'census_20250102_000000.json' AS _source_file
+FROM records WHERE year IS NOT NULL AND population > 0""",
+        "population_silver_numbers": f"WITH {_RECORDS} "
+        """
+SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,
+       'census_20250102_000000.json' AS _source_file
 FROM records WHERE year IS NOT NULL AND population > 0""",
         "population_record_counts": """
-SELECT 'population_data_20250102_000000.json' AS snapshot, count(*) AS stated, count(*) AS found
+SELECT 'census_20250102_000000.json' AS snapshot, count(*) AS stated, count(*) AS found
 FROM orders
 UNION ALL
-SELECT 'population_data_20250101_000000.json', count(*), count(*)
+SELECT 'census_20250101_000000.json', count(*), count(*)
 FROM orders WHERE o_orderstatus = 'F'""",
         "envelope_roundtrip": """
 SELECT TRUE AS count_matches, event_id, user_id, event_type, value AS event_value,
@@ -234,6 +244,27 @@ WHERE snapshot = (SELECT max(snapshot) FROM named WHERE snapshot LIKE '%.json')"
         "lineage_columns": f"{raw} SELECT series_id, value, 'batch=' || CAST(batch AS VARCHAR) "
         "AS source, TRUE AS has_time FROM shipped",
         "ingest_stream": f"{raw} SELECT {raw_columns} FROM raw",
+        **{
+            name: f"{raw} SELECT {raw_columns}, CASE WHEN period = 'Q01' THEN note END AS note, "
+            "CASE period WHEN 'Q01' THEN 1 WHEN 'Q02' THEN 2 ELSE 3 END AS batch FROM shipped"
+            for name in ("ingest_layouts", "ingest_layouts_stream")
+        },
+        "refresh_evolving": f"{raw} "
+        f"SELECT {raw_columns}, CASE WHEN batch = 2 THEN note END AS note, batch FROM shipped",
+        "refresh_audit_retry": f"{both}, typed_batch AS (SELECT batch, TRY_CAST(trim(year) AS SMALLINT) AS year, "
+        "TRY_CAST(trim(value) AS DOUBLE) AS value FROM shipped) "
+        + " UNION ALL ".join(
+            part
+            for batch in (1, 2)
+            for part in (
+                _report(
+                    f"(SELECT * FROM typed_batch WHERE batch = {batch})",
+                    _SILVER_RULES,
+                    f"'run-{batch}' AS run_id, 'silver_observations' AS dataset, ",
+                ),
+                _report("yearly", _RECORD_RULES, f"'run-{batch}' AS run_id, 'silver_population' AS dataset, "),
+            )
+        ),
         "ingest_stream_rerun": f"{raw} "
         f"""
 SELECT 1 AS run, {batch_1} AS rows_added, {batch_1} AS rows_stored FROM shipped
@@ -275,6 +306,9 @@ SELECT CAST((SELECT sum(listed) FROM source WHERE fetched) AS BIGINT) AS uploade
                 _dataset(
                     "bronze_observations", "bronze", "Raw observation text with lineage", "raw"
                 ),
+                _dataset(
+                    "bronze_population", "bronze", "Latest population snapshot as delivered", "yearly"
+                ),
                 _dataset(
                     "silver_population", "silver", "Population by year, trimmed and typed", "yearly"
                 ),

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from orebelt.functions.columns import (
     cast_columns,
@@ -32,13 +31,14 @@ from orebelt.operators.quality import (
     append_audit,
     dq_report,
     expect_or_drop,
-    observe_rules,
-    observed_report,
+    file_run,
+    loaded_between,
+    run_window,
 )
 from orebelt.operators.ranking import arg_max_per_group
-from orebelt.sinks.tables import annotate, materialize
+from orebelt.sinks.tables import annotate, materialize, register_files
 from orebelt.sources.files import infer_raw_schema, latest_file, read_json_documents
-from orebelt.streaming.ingest import append_stream, read_files_stream, read_table_stream
+from orebelt.streaming.ingest import Run, append_stream, read_files_stream, read_table_stream
 
 # Rules, columns and the range of years of the datasets.
 OBSERVATION_RULES = {"valid_year": "year IS NOT NULL", "valid_value": "value IS NOT NULL"}
@@ -70,14 +70,16 @@ def bronze_observations(
     schema: T.StructType | None = None,
     table: str | None = None,
     max_files: int | None = None,
-) -> StreamingQuery:
+) -> Run:
     """Append the landed text files that no earlier run has seen, as strings with lineage.
 
-    Without a schema it is inferred from the newest file and remembered next to the checkpoint.
+    Without a schema it is inferred from all headers and remembered next to the checkpoint.
     """
     if schema is None:
         schema = infer_raw_schema(spark, landing, glob=glob, remember=f"{checkpoint}_schema")
-    raw = read_files_stream(spark, landing, schema, glob=glob, max_files=max_files)
+    raw = read_files_stream(
+        spark, landing, schema, glob=glob, max_files=max_files, metadata=True
+    )
     return append_stream(with_lineage(raw), target, checkpoint, table=table)
 
 
@@ -256,9 +258,11 @@ def refresh(
 
     The observation tables only take in what has newly landed; everything else is recomputed
     from the stored tables. ``store`` is a shared folder for table files and checkpoints, and
-    ``namespace`` a prefix for the table names; use the same two on every run. With a ``run_id``
-    the rule counts of the run go to ``store/audit``: those of the observations are taken from
-    the rows as they pass, so they cover what this run has taken in.
+    ``namespace`` a prefix for the table names; use the same two on every run. A column that comes up
+    in a later file is added to the bronze table, NULL in earlier rows. With a ``run_id`` the rule
+    counts of the run go to ``store/audit``. Those of the observations are counted over the stored
+    bronze rows that the run has loaded, known by their load time, so a run that is repeated, or
+    fails before it has filed them, loses none.
     """
     described = {d.name: d for d in DATASETS}
     tables = {name: f"{namespace}_{name}" for name in described}
@@ -269,22 +273,20 @@ def refresh(
             df, tables[name], d.comment, {"quality": d.quality}, path=f"{store}/{name}", **layout
         )
 
-    bronze_observations(
+    bronze = bronze_observations(
         spark,
         landing,
         f"{store}/bronze_observations",
         f"{store}/_progress/bronze_observations",
         glob=glob,
-        table=tables["bronze_observations"],
         max_files=max_files,
     )
+    register_files(spark, tables["bronze_observations"], f"{store}/bronze_observations", bronze.schema)
     snapshot = keep("bronze_population", bronze_population(spark, snapshots, population_schema))
     population = keep("silver_population", silver_population(snapshot))
 
     incoming = typed_observations(read_table_stream(spark, tables["bronze_observations"]))
-    if run_id is not None:
-        incoming = observe_rules(incoming, "rules", OBSERVATION_RULES)
-    query = append_stream(
+    append_stream(
         expect_or_drop(incoming, OBSERVATION_RULES),
         f"{store}/silver_observations",
         f"{store}/_progress/silver_observations",
@@ -292,9 +294,13 @@ def refresh(
     )
     observations = spark.read.table(tables["silver_observations"])
     if run_id is not None:
-        audit = f"{store}/audit"
-        taken_in = observed_report(spark, query, "rules", OBSERVATION_RULES)
-        append_audit(taken_in, audit, run_id, "silver_observations")
+        audit, runs = f"{store}/audit", f"{store}/_progress/runs"
+        raw = spark.read.table(tables["bronze_observations"])
+        newest = raw.agg(F.max(F.unix_micros("_ingestion_time"))).first()[0]
+        after, upto = run_window(spark, runs, run_id, newest)
+        taken_in = typed_observations(loaded_between(raw, "_ingestion_time", after, upto))
+        append_audit(dq_report(taken_in, OBSERVATION_RULES), audit, run_id, "silver_observations")
+        file_run(spark, runs, run_id, after, upto)
         recomputed = dq_report(typed_population(snapshot), POPULATION_RULES)
         append_audit(recomputed, audit, run_id, "silver_population")
 
@@ -302,7 +308,7 @@ def refresh(
     keep("gold_best_year", best_year(observations), sort_by=["series_id", "year"])
     keep(
         "gold_population_series",
-        series_with_population(observations, population, series_id, period),
+        series_with_population(observations, population, series_id, period, unique=True),
         sort_by=["year"],
     )
     for name in ("bronze_observations", "silver_observations"):

@@ -114,8 +114,8 @@ def dq_stream(spark: SparkSession, sf: str) -> DataFrame:
     counted = observe_rules(
         products.typed_observations(landed), "rules", products.OBSERVATION_RULES
     )
-    query = append_stream(counted, f"{work}/out", f"{work}/progress")
-    return observed_report(spark, query, "rules", products.OBSERVATION_RULES)
+    run = append_stream(counted, f"{work}/out", f"{work}/progress")
+    return observed_report(spark, run.observed, "rules", products.OBSERVATION_RULES)
 
 
 # Aggregates and ranking
@@ -297,6 +297,13 @@ def population_silver(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def population_silver_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshots that hold the year as a JSON number with a fraction part and the population as such a text."""
+    folder = w.number_snapshots(spark, sf)
+    bronze = products.bronze_population(spark, folder, w.NUMBER_DOCUMENT)
+    return products.silver_population(bronze).select("nation_id", "nation", "year", "population", "_source_file")
+
+
 def population_record_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Records per snapshot, as its envelopes state them and as they are."""
     folder = w.record_snapshots(spark, sf)
@@ -384,7 +391,7 @@ def ingest_stream_rerun(spark: SparkSession, sf: str) -> DataFrame:
     for run, new_batch in ((1, 1), (2, None), (3, 2)):
         if new_batch:
             w.land_batch(spark, sf, f"{work}/landing", new_batch)
-        query = products.bronze_observations(
+        done = products.bronze_observations(
             spark,
             f"{work}/landing",
             f"{work}/out",
@@ -393,7 +400,7 @@ def ingest_stream_rerun(spark: SparkSession, sf: str) -> DataFrame:
         )
         rows = read_appended(spark, f"{work}/out", products.RAW_OBSERVATION)
         stored = row_count(rows).first()["row_count"]
-        runs.append((run, rows_added(query), stored))
+        runs.append((run, rows_added(done), stored))
     return literal_rows(
         spark, runs, {"run": "int", "rows_added": "bigint", "rows_stored": "bigint"}
     )
@@ -404,14 +411,29 @@ def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
     work = new_scratch(spark, "evolution")
     for batch in (1, 2):
         w.land_batch(spark, sf, f"{work}/landing", batch, note=batch == 2)
-        products.bronze_observations(
+        run = products.bronze_observations(
             spark,
             f"{work}/landing",
             f"{work}/out",
             f"{work}/progress",
             glob=w.LANDED_FILES,
         )
-    return read_appended(spark, f"{work}/out").select(*RAW, "note", "batch")
+    return read_appended(spark, f"{work}/out", run.schema).select(*RAW, "note", "batch")
+
+
+def ingest_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with their columns in another order, and with one that the newest file lacks, by batch."""
+    landed = read_delimited(spark, w.mixed_landing(spark, sf), glob=w.LANDED_FILES)
+    return landed.select(*RAW, "note", "batch")
+
+
+def ingest_layouts_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files through a stream."""
+    work = new_scratch(spark, "layouts")
+    run = products.bronze_observations(
+        spark, w.mixed_landing(spark, sf), f"{work}/out", f"{work}/progress", glob=w.LANDED_FILES
+    )
+    return read_appended(spark, f"{work}/out", run.schema).select(*RAW, "note", "batch")
 
 
 def silver_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,11 +524,17 @@ def dataset_properties(spark: SparkSession, sf: str) -> DataFrame:
     """Row count, quality level and comment of every stored data product."""
     rows = None
     tables = w.refreshed(spark, sf)
-    # How many documents hold the bronze population depends on how the orders were split.
-    for dataset in (d.name for d in products.DATASETS if d.name != "bronze_population"):
+    for dataset in (d.name for d in products.DATASETS):
         name = tables[dataset]
         quality = table_properties(spark, name).filter("key = 'quality'").first()["value"]
-        row = row_count(spark.read.table(name)).select(
+        stored = spark.read.table(name)
+        # How many documents hold the bronze population depends on how the orders were split.
+        counted = (
+            stored.agg(F.sum("metadata.record_count").alias("row_count"))
+            if dataset == "bronze_population"
+            else row_count(stored)
+        )
+        row = counted.select(
             F.lit(dataset).alias("dataset"),
             F.lit(quality).alias("quality"),
             F.lit(table_comment(spark, name)).alias("description"),
@@ -536,6 +564,16 @@ def refresh_audit(spark: SparkSession, sf: str) -> DataFrame:
     return read_audit(spark, w.refreshed(spark, sf)["audit"])
 
 
+def refresh_audit_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit after a run that was repeated under its name with nothing new."""
+    return read_audit(spark, w.refreshed_twice(spark, sf)["audit"])
+
+
+def refresh_evolving(spark: SparkSession, sf: str) -> DataFrame:
+    """The bronze table after a second batch with a column of its own: NULL in the rows of the first."""
+    return spark.read.table(w.refreshed_twice(spark, sf)["bronze_observations"]).select(*RAW, "note", "batch")
+
+
 # The questions as SQL text over the stored tables
 
 
@@ -610,13 +648,16 @@ QUERIES: dict[str, Query] = {
     "payload_keys": payload_keys_query,
     "payload_flatten": payload_flatten,
     "population_silver": population_silver,
+    "population_silver_numbers": population_silver_numbers,
     "population_record_counts": population_record_counts,
     "envelope_roundtrip": envelope_roundtrip,
     "latest_snapshot": latest_snapshot_query,
     "ingest_batch": ingest_batch,
+    "ingest_layouts": ingest_layouts,
     "header_trim": header_trim,
     "lineage_columns": lineage_columns,
     "ingest_stream": ingest_stream,
+    "ingest_layouts_stream": ingest_layouts_stream,
     "ingest_stream_rerun": ingest_stream_rerun,
     "schema_evolution": schema_evolution,
     "silver_stream": silver_stream,
@@ -635,6 +676,8 @@ QUERIES: dict[str, Query] = {
     "gold_population_mean_stddev": gold_population_mean_stddev,
     "gold_population_series": gold_population_series,
     "refresh_audit": refresh_audit,
+    "refresh_audit_retry": refresh_audit_retry,
+    "refresh_evolving": refresh_evolving,
     "sql_population_stats": sql_population_stats,
     "sql_best_year": sql_best_year,
     "sql_series_population": sql_series_population,

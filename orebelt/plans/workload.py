@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.operators.mirror import extract_links
 from orebelt.operators.payload import envelope_schema, pack_records
 from orebelt.plans import products
-from orebelt.session import new_scratch, scratch_root, stage
+from orebelt.session import new_scratch, path_exists, scratch_root, stage
 from orebelt.sinks.tables import write_delimited, write_documents
 
 LANDED_FILES = "part-*.csv"
@@ -103,23 +102,13 @@ def population_records(spark: SparkSession, sf_dir: str, status: str | None = No
 _prepared: dict[tuple[str, ...], str] = {}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def prepared(
     spark: SparkSession, sf_dir: str, label: str, write: Callable[[str], object]
 ) -> str:
     """Path of files that several queries read; written on first use in an application."""
     key = (spark.conf.get("spark.app.id", ""), scratch_root(spark), sf_dir, label)
     path = _prepared.get(key)
-    if path is None or not _exists(spark, path):
+    if path is None or not path_exists(spark, path):
         path = new_scratch(spark, label)
         write(path)
         _prepared[key] = path
@@ -154,6 +143,27 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     return prepared(spark, sf_dir, "landing", write)
 
 
+def mixed_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Three batches: as they should be but with a ``note``, in another order, and without the note.
+
+    Rows are dealt out by line number, the note being that of the first batch.
+    """
+
+    def write(path: str) -> None:
+        rows = shipped_observations(spark, sf_dir).withColumn("batch", mixed_batch())
+        columns = products.RAW_OBSERVATION.names
+        for batch, names in ((1, [*columns, "note"]), (2, [*reversed(columns)]), (3, columns)):
+            own = padded(rows.filter(F.col("batch") == batch).select(*names))
+            write_delimited(own, f"{path}/batch={batch}")
+
+    return prepared(spark, sf_dir, "mixed-landing", write)
+
+
+def mixed_batch() -> Column:
+    """Batch 1 to 3 of an observation, told by its period's last digit."""
+    return F.when(F.col("period") == "Q01", 1).when(F.col("period") == "Q02", 2).otherwise(3)
+
+
 SNAPSHOTS = (("20250101_000000", "F"), ("20250102_000000", None))
 
 
@@ -162,7 +172,7 @@ def _write_snapshot(records: DataFrame, folder: str, stamp: str) -> None:
     packed = pack_records(records, fields, size=RECORDS_PER_DOCUMENT)
     fetched = F.to_timestamp(F.lit(stamp), "yyyyMMdd_HHmmss")
     documents = products.population_snapshot(packed, SOURCE_URL, fetched)
-    write_documents(documents, f"{folder}/population_data_{stamp}.json", one_per_file=True)
+    write_documents(documents, f"{folder}/census_{stamp}.json", one_per_file=True)
 
 
 def record_snapshots(spark: SparkSession, sf_dir: str) -> str:
@@ -175,6 +185,24 @@ def record_snapshots(spark: SparkSession, sf_dir: str) -> str:
     return prepared(spark, sf_dir, "records", write)
 
 
+NUMBER_DOCUMENT = envelope_schema(
+    "struct<`Nation ID`: string, Nation: string, Year: double, Population: string>"
+)
+
+
+def number_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """The same with the year as a JSON number like ``2013.0`` and the population as a text like it."""
+
+    def write(path: str) -> None:
+        for stamp, status in SNAPSHOTS:
+            records = population_records(spark, sf_dir, status)
+            year = F.trim("Year").try_cast("double")
+            numbers = records.withColumns({"Year": year, "Population": F.concat("Population", F.lit(".0"))})
+            _write_snapshot(numbers, path, stamp)
+
+    return prepared(spark, sf_dir, "number-records", write)
+
+
 def yearly_snapshots(spark: SparkSession, sf_dir: str) -> str:
     """The same with one record per year."""
 
@@ -217,30 +245,47 @@ def shipment_files(spark: SparkSession, sf_dir: str) -> str:
     return prepared(spark, sf_dir, "shipments", write)
 
 
+def _namespace(path: str) -> str:
+    return "t" + path.rsplit("-", 1)[-1][:12]
+
+
+def _refresh(spark: SparkSession, sf_dir: str, store: str, landed: str, run_id: str) -> None:
+    products.refresh(
+        spark,
+        landing=landed,
+        snapshots=yearly_snapshots(spark, sf_dir),
+        store=store,
+        namespace=_namespace(store),
+        series_id=SERIES,
+        period=PERIOD,
+        years=KNOWN_YEARS,
+        glob=LANDED_FILES,
+        population_schema=POPULATION_DOCUMENT,
+        run_id=run_id,
+    )
+
+
+def _stored_at(path: str) -> dict[str, str]:
+    tables = {d.name: f"{_namespace(path)}_{d.name}" for d in products.DATASETS}
+    return {**tables, "audit": f"{path}/audit"}
+
+
 def refreshed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Table names of all data products, stored once, and the path of their ``audit``."""
+    write = lambda path: _refresh(spark, sf_dir, path, landing(spark, sf_dir), "run-1")
+    return _stored_at(prepared(spark, sf_dir, "store", write))
 
-    def namespace_of(path: str) -> str:
-        return "t" + path.rsplit("-", 1)[-1][:12]
+
+def refreshed_twice(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The same by one run for each batch, the second one, with a ``note``, being repeated."""
 
     def write(path: str) -> None:
-        products.refresh(
-            spark,
-            landing=landing(spark, sf_dir),
-            snapshots=yearly_snapshots(spark, sf_dir),
-            store=path,
-            namespace=namespace_of(path),
-            series_id=SERIES,
-            period=PERIOD,
-            years=KNOWN_YEARS,
-            glob=LANDED_FILES,
-            population_schema=POPULATION_DOCUMENT,
-            run_id="run-1",
-        )
+        for run_id, batch in (("run-1", 1), ("run-2", 2), ("run-2", None)):
+            if batch:
+                land_batch(spark, sf_dir, f"{path}/landing", batch, note=batch == 2)
+            _refresh(spark, sf_dir, path, f"{path}/landing", run_id)
 
-    path = prepared(spark, sf_dir, "store", write)
-    tables = {d.name: f"{namespace_of(path)}_{d.name}" for d in products.DATASETS}
-    return {**tables, "audit": f"{path}/audit"}
+    return _stored_at(prepared(spark, sf_dir, "store-twice", write))
 
 
 # Listings

@@ -63,6 +63,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; nothing below it is listed."""
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the entries directly in ``path``."""
+    files, place = _file_system(spark, path)
+    return [str(entry.getPath()) for entry in files.listStatus(place)]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def literal_rows(
     spark: SparkSession, rows: Sequence[Sequence], columns: Mapping[str, str]
 ) -> DataFrame:

@@ -2,6 +2,8 @@ from orebelt.sinks.tables import (
     annotate,
     materialize,
     preview,
+    register_files,
+    remove_old_contents,
     table_comment,
     table_properties,
     write_delimited,
@@ -12,6 +14,8 @@ __all__ = [
     "annotate",
     "materialize",
     "preview",
+    "register_files",
+    "remove_old_contents",
     "table_comment",
     "table_properties",
     "write_delimited",

@@ -6,8 +6,10 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from orebelt.functions.columns import quoted
+from orebelt.session import delete_folder, list_folder
 
 
 def _text(value: str) -> str:
@@ -56,8 +58,10 @@ def materialize(
 
     With a ``path`` the rows are first written in full to a new folder below it, and only then does
     the table point there: a refresh that fails leaves the previous content in place, and ``df``
-    may read the table it replaces. Folders of earlier content stay until they are removed.
-    Without a ``path`` the table is overwritten in the warehouse folder.
+    may read the table it replaces. Where columns and partitions are as before, the switch is one
+    change of the table's location; otherwise a second table is made ready and takes over the name.
+    Folders of earlier content stay until ``remove_old_contents``. Without a ``path`` the table is
+    overwritten in the warehouse folder.
 
     ``sort_by`` sorts within each task, without a shuffle, so that a filter on those columns skips
     row groups.
@@ -71,14 +75,79 @@ def materialize(
     else:
         version = f"{path}/content-{uuid.uuid4().hex}"
         writer.save(version)
-        spark.sql(f"DROP TABLE IF EXISTS {_table(name)}")
-        spark.catalog.createTable(name, path=version, source="parquet")
-        if partition_by:
-            spark.catalog.recoverPartitions(name)
+        _switch(spark, name, version, _stored_schema(df.schema, partition_by), partition_by)
     annotate(spark, name, comment, properties)
     return spark.read.table(name)
 
 
+def _stored_schema(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    """As a table has it: partition columns last, everything nullable."""
+    last = {name: place for place, name in enumerate(partition_by)}
+    fields = sorted(schema.fields, key=lambda f: last.get(f.name, -1))
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+
+
+def _create(spark: SparkSession, name: str, location: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    parts = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {_table(name)} ({schema.toDDL()}) USING parquet {parts} LOCATION {_text(location)}")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+
+
+def _switch(spark: SparkSession, name: str, version: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
+    following, previous = f"{name}__following", f"{name}__previous"
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(previous):
+        spark.sql(f"ALTER TABLE {_table(previous)} RENAME TO {_table(name)}")  # a switch that broke off
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, version, schema, partition_by)
+        return
+    if not partition_by and _stored_schema(spark.read.table(name).schema, ()) == schema and not _partitions(spark, name):
+        spark.sql(f"ALTER TABLE {_table(name)} SET LOCATION {_text(version)}")
+        spark.catalog.refreshTable(name)
+        return
+    for rest in (following, previous):
+        spark.sql(f"DROP TABLE IF EXISTS {_table(rest)}")
+    _create(spark, following, version, schema, partition_by)
+    spark.sql(f"ALTER TABLE {_table(name)} RENAME TO {_table(previous)}")
+    spark.sql(f"ALTER TABLE {_table(following)} RENAME TO {_table(name)}")
+    spark.sql(f"DROP TABLE {_table(previous)}")
+
+
+def _partitions(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_table(name)}").filter("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def remove_old_contents(spark: SparkSession, name: str, path: str) -> list[str]:
+    """Delete what ``materialize`` has left below ``path`` from before the current content."""
+    current = table_location(spark, name).rstrip("/").rsplit("/", 1)[-1]
+    old = [
+        entry
+        for entry in list_folder(spark, path)
+        if (folder := entry.rstrip("/").rsplit("/", 1)[-1]).startswith("content-") and folder != current
+    ]
+    if len(old) == len(list_folder(spark, path)):
+        raise ValueError(f"{name} is not stored below {path}")
+    for entry in old:
+        delete_folder(spark, entry)
+    return old
+
+
+def register_files(spark: SparkSession, name: str, path: str, schema: T.StructType) -> None:
+    """A table over the files at ``path``; columns that have come up since are added to it."""
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, path, _stored_schema(schema, ()))
+        return
+    known = set(spark.read.table(name).columns)
+    new = T.StructType([T.StructField(f.name, f.dataType) for f in schema if f.name not in known])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {_table(name)} ADD COLUMNS ({new.toDDL()})")
+
+
 def write_delimited(
     df: DataFrame, path: str, *, sep: str = "\t", header: bool = True, mode: str = "errorifexists"
 ) -> None:

@@ -2,26 +2,105 @@
 
 from __future__ import annotations
 
-import re
+import csv
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
-from orebelt.functions.columns import clean_column_names
+from orebelt.functions.columns import clean_column_names, quoted
 from orebelt.functions.text import thousands
-from orebelt.session import literal_rows
+from orebelt.session import list_folder, literal_rows, stage
 
 ENTRY_NAME = r"([^/]+)/?$"
 REMEMBERED = {"version": "int", "place": "int", "name": "string"}
 
 
-def delimited_options(sep: str, glob: str | None, encoding: str) -> dict[str, str]:
-    options = {"header": "true", "sep": sep, "encoding": encoding}
-    if glob:
-        options["pathGlobFilter"] = glob
-    return options
+# A separator and a quote that no text has: every line is then one column.
+WHOLE_LINES = {"sep": "\u0001", "quote": "", "header": "false"}
+
+
+def _selected(glob: str | None, encoding: str) -> dict[str, str]:
+    return {"encoding": encoding} | ({"pathGlobFilter": glob} if glob else {})
+
+
+def file_headers(spark: SparkSession, path: str, *, glob: str | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """``(file, header, modified)``: the first line of every file, from one distributed pass.
+
+    Only the first split of each file is read.
+    """
+    lines = spark.read.options(**WHOLE_LINES, **_selected(glob, encoding)).schema("line string").csv(path)
+    first = lines.filter("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.struct(F.monotonically_increasing_id().alias("place"), "line").alias("line"),
+    )
+    return first.groupBy("file").agg(F.min("line")["line"].alias("header"), F.min("modified").alias("modified"))
+
+
+def header_names(header: str, sep: str) -> list[str]:
+    """Column names of a header line, stripped; a name that stands twice is an error."""
+    names = [name.strip() for name in next(csv.reader([header], delimiter=sep))]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a header has the same name twice: {header!r}")
+    return names
+
+
+def distinct_headers(headers: DataFrame) -> list[str]:
+    """The distinct header lines, in the order in which they came up; as many as there are layouts."""
+    first = headers.groupBy("header").agg(F.min(F.struct("modified", "file")).alias("first"))
+    return [row.header for row in first.orderBy("first").collect()]
+
+
+def read_by_name(
+    reader: DataFrameReader | DataStreamReader,
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None,
+    *,
+    sep: str,
+    glob: str | None,
+    encoding: str,
+    metadata: bool = False,
+) -> DataFrame:
+    """The columns of ``schema`` (default: all there are), looked up by name in each file's header.
+
+    A column that a file doesn't have is NULL in its rows. As long as all files have the same header,
+    they are read as they are, and a file with another one that lands meanwhile is an error. Otherwise
+    lines are read, joined to the header of their file, and taken apart by the layout that it gives;
+    the file's hidden ``_metadata`` column gets lost in the join, unless ``metadata`` makes it a visible
+    one, which ``with_lineage`` takes away again.
+    """
+    headers = stage(file_headers(spark, path, glob=glob, encoding=encoding), "headers")
+    layouts = distinct_headers(headers)
+    found = list(dict.fromkeys(name for header in layouts for name in header_names(header, sep)))
+    names = schema.names if schema is not None else found
+    text = lambda columns: T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    if len(layouts) < 2:
+        raw = next(csv.reader(layouts, delimiter=sep)) if layouts else names
+        options = {"header": "true", "sep": sep, "enforceSchema": "false", **_selected(glob, encoding)}
+        df = reader.options(**options).schema(text(raw)).csv(path)
+        df = clean_column_names(df)
+        own, more = header_names(layouts[0], sep) if layouts else names, df.columns[len(raw) :]
+        return df.select(
+            *[F.col(quoted(n)) if n in own else F.lit(None).cast("string").alias(n) for n in names], *map(quoted, more)
+        )
+
+    lines = reader.options(**WHOLE_LINES, **_selected(glob, encoding)).schema("line string").csv(path)
+    more = [c for c in lines.columns if c != "line"]
+    lines = lines.select("line", *map(quoted, more), "_metadata", F.col("_metadata.file_path").alias("_file"))
+    of_file = headers.select(F.col("file").alias("_file"), F.col("header").alias("_header")).distinct()
+    joined = lines.join(of_file, "_file", "left").filter(~F.col("line").eqNullSafe(F.col("_header")))
+    unknown = F.raise_error(F.concat(F.lit("a file has landed whose header is not known yet: "), F.col("_file")))
+    parsed = F.when(F.col("_header").isNull(), unknown.cast(text(names)))
+    for header in layouts:
+        own = header_names(header, sep)
+        row = F.from_csv("line", ", ".join(f"{quoted(n)} string" for n in own), {"sep": sep})
+        fields = [(row[n] if n in own else F.lit(None).cast("string")).alias(n) for n in names]
+        parsed = parsed.when(F.col("_header") == header, F.struct(*fields))
+    return joined.withColumn("_row", parsed).select("_row.*", *map(quoted, more), *["_metadata"][:metadata])
 
 
 def read_delimited(
@@ -32,16 +111,17 @@ def read_delimited(
     sep: str = "\t",
     glob: str | None = None,
     encoding: str = "UTF-8",
+    metadata: bool = False,
 ) -> DataFrame:
     """Text files with a header row, all columns as strings, padding kept, names stripped.
 
-    ``glob`` selects files by base name. Without a schema only a header line is looked at.
-    A file with fewer columns than the schema gives NULL for the missing trailing ones.
+    ``glob`` selects files by base name. Columns are matched by name; without a schema they are
+    those of all headers. A file without a column gives NULL for it. ``metadata=True`` where
+    ``with_lineage`` follows and files may differ in layout.
     """
-    reader = spark.read.options(**delimited_options(sep, glob, encoding))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return clean_column_names(reader.csv(path))
+    return read_by_name(
+        spark.read, spark, path, schema, sep=sep, glob=glob, encoding=encoding, metadata=metadata
+    )
 
 
 def infer_raw_schema(
@@ -53,22 +133,16 @@ def infer_raw_schema(
     encoding: str = "UTF-8",
     remember: str | None = None,
 ) -> T.StructType:
-    """All-string schema from the header of the newest file, names stripped.
+    """All-string schema from the headers of all files, names stripped, in order of appearance.
 
     ``remember`` is a folder that keeps the schema between runs, as a stream needs one: columns
-    known from earlier runs keep their place and new ones are added at the end. Delimited files
-    are matched by position, so this fits sources that append columns.
+    known from earlier runs keep their place and new ones are added at the end.
     """
-    newest = (
-        file_inventory(spark, path, glob=glob)
-        .agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
-        .first()["path"]
-    )
-    if newest is None:
+    layouts = distinct_headers(file_headers(spark, path, glob=glob, encoding=encoding))
+    if not layouts:
         raise FileNotFoundError(f"no file to infer a schema from: {path} (glob {glob})")
-    header = read_delimited(spark, newest, sep=sep, encoding=encoding).columns
     version, known = remembered_columns(spark, remember) if remember else (0, [])
-    columns = known + [name for name in header if name not in known]
+    columns = list(dict.fromkeys([*known, *(n for header in layouts for n in header_names(header, sep))]))
     if remember and columns != known:
         rows = [(version + 1, place, name) for place, name in enumerate(columns)]
         literal_rows(spark, rows, REMEMBERED).write.mode("append").json(remember)
@@ -135,24 +209,10 @@ def inventory_by_folder(inventory: DataFrame) -> DataFrame:
 def latest_file(spark: SparkSession, path: str, suffix: str = ".json") -> str:
     """Path of the entry directly below ``path`` with the greatest name ending in ``suffix``.
 
-    The entry is a file, or a folder that Spark wrote under such a name.
+    The entry is a file, or a folder that Spark wrote under such a name. Only ``path`` is listed.
     """
-    folder = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", path).rstrip("/")
-    below = rf"^(.*?{_literal(folder)}/+([^/]+{_literal(suffix)}))(/[^/]*)?$"
-    row = (
-        file_inventory(spark, path)
-        .select(
-            F.regexp_extract("path", below, 1).alias("entry"),
-            F.regexp_extract("path", below, 2).alias("name"),
-        )
-        .filter(F.col("name") != "")
-        .agg(F.max_by("entry", "name").alias("entry"))
-        .first()
-    )
-    if row["entry"] is None:
+    entries = {entry.rsplit("/", 1)[-1]: entry for entry in list_folder(spark, path)}
+    names = [name for name in entries if name.endswith(suffix)]
+    if not names:
         raise FileNotFoundError(f"no snapshot ending in {suffix!r} in {path}")
-    return row["entry"]
-
-
-def _literal(text: str) -> str:
-    return r"\Q" + text + r"\E"
+    return entries[max(names)]

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections import Counter
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orebelt.functions.columns import clean_column_names
-from orebelt.sources.files import delimited_options
+from orebelt.sources.files import read_by_name
+
+POLL_SECONDS = 0.05
+ADDED = "rows_added"  # an observation of its own: what a source reads may be lines that are no rows
 
 
 def read_files_stream(
@@ -23,19 +26,22 @@ def read_files_stream(
     encoding: str = "UTF-8",
     max_files: int | None = None,
     max_bytes: str | None = None,
+    metadata: bool = False,
 ) -> DataFrame:
     """Delimited files as a stream: each run of a checkpoint reads only files it has not seen.
 
-    A file is known by its path, so a corrected file has to land in a folder of its own
+    Columns are matched by name, as in ``read_delimited``. A file is known by its path, so a corrected file has to land in a folder of its own
     (``batch=N/``); rewritten in place it is ignored. ``max_files`` or ``max_bytes`` cut a large
     backlog into several micro-batches, which bounds what a failure repeats.
     """
-    reader = spark.readStream.schema(schema).options(**delimited_options(sep, glob, encoding))
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return clean_column_names(reader.csv(path))
+    return read_by_name(
+        reader, spark, path, schema, sep=sep, glob=glob, encoding=encoding, metadata=metadata
+    )
 
 
 def read_table_stream(spark: SparkSession, name: str) -> DataFrame:
@@ -43,6 +49,30 @@ def read_table_stream(spark: SparkSession, name: str) -> DataFrame:
     return spark.readStream.table(name)
 
 
+@dataclass
+class Run:
+    """What a drained stream has done: rows and observed counts, added up over its micro-batches."""
+
+    query: StreamingQuery
+    schema: T.StructType
+    rows: int = 0
+    micro_batches: int = 0
+    observed: dict[str, Counter] = field(default_factory=dict)
+    last: int | None = None
+
+    def take(self, kept: int) -> None:
+        """Add the progress that has come up since; ``kept`` is how much of it the query keeps."""
+        recent = [p for p in self.query.recentProgress if self.last is None or p.batchId > self.last]
+        if recent and (recent[0].batchId > self.last + 1 if self.last is not None else len(recent) >= kept):
+            raise RuntimeError("micro-batches went by faster than their counts could be read")
+        for progress in recent:
+            self.last = progress.batchId
+            self.micro_batches += progress.numInputRows > 0
+            for name, counts in progress.observedMetrics.items():
+                self.observed.setdefault(name, Counter()).update(counts.asDict())
+        self.rows = self.observed.get(ADDED, Counter())["rows"]
+
+
 def append_stream(
     df: DataFrame,
     target: str,
@@ -50,16 +80,21 @@ def append_stream(
     *,
     table: str | None = None,
     partition_by: tuple[str, ...] = (),
-) -> StreamingQuery:
-    """Append everything available to the Parquet files at ``target``, wait, return the query.
+) -> Run:
+    """Append everything available to the Parquet files at ``target``, wait, return what was done.
 
     Each input file is written exactly once: the checkpoint records progress and the sink
     records the files of each finished micro-batch. ``table`` also registers the target in the
     catalog; its columns are then fixed. Leave it out for a source whose columns grow, and read
-    the target with ``read_appended``.
+    the target with ``read_appended`` or register it with ``register_files``.
+
+    Counts are taken from each micro-batch as it ends, so nothing grows with their number.
     """
+    spark = df.sparkSession
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
     writer = (
-        df.writeStream.format("parquet")
+        df.observe(ADDED, F.count(F.lit(1)).alias("rows"))
+        .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", target)
@@ -67,25 +102,12 @@ def append_stream(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _all_progress_kept(df.sparkSession):
-        query = writer.toTable(table) if table else writer.start()
-    query.awaitTermination()
-    return query
-
-
-@contextmanager
-def _all_progress_kept(spark: SparkSession) -> Iterator[None]:
-    """Let a query keep the progress of all its micro-batches, not of the last 100 only.
-
-    A query takes its settings when it starts; row and rule counts are summed over its progress.
-    """
-    name = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "100000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    run = Run(writer.toTable(table) if table else writer.start(), df.schema)
+    ended = False
+    while not ended:
+        ended = run.query.awaitTermination(POLL_SECONDS)
+        run.take(kept)
+    return run
 
 
 def read_appended(
@@ -101,6 +123,6 @@ def read_appended(
     return spark.read.option("mergeSchema", "true").parquet(target)
 
 
-def rows_added(query: StreamingQuery) -> int:
-    """Input rows of a finished run; 0 if nothing new had arrived."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+def rows_added(run: Run) -> int:
+    """Rows that a finished run has added; 0 if nothing new had arrived."""
+    return run.rows

@@ -50,11 +50,12 @@ RECORDS = [
 ]
 
 
-def write_snapshot(path: Path, records, numbers: bool = False) -> None:
-    """An envelope over several lines; years and populations as text or as numbers."""
+def write_snapshot(path: Path, records, form: str = "text") -> None:
+    """An envelope over several lines; years and populations as text, whole numbers, or with ``.0``."""
 
     def value(text):
-        return int(text) if numbers and text is not None else text
+        forms = {"text": str, "numbers": int, "floats": float, "float texts": lambda t: f"{t}.0"}
+        return text if text is None else forms[form](text)
 
     data = [
         {"Nation ID": i, "Nation": n, "Year": value(y), "Population": value(p)}

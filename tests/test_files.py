@@ -14,6 +14,7 @@ from orebelt import (
     preview,
     read_delimited,
     remembered_columns,
+    remove_old_contents,
     table_comment,
     table_properties,
     with_lineage,
@@ -144,6 +145,53 @@ def test_a_failed_refresh_leaves_the_previous_content(spark, tmp_path):
     ]
 
 
+def test_empty_partitioned_content_replaces_and_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(4).selectExpr("id", "id % 2 AS odd")
+    materialize(rows, "emptied", path=path, partition_by=["odd"])
+    table = materialize(rows.limit(0), "emptied", path=path, partition_by=["odd"])
+    assert table.count() == 0 and table.columns == ["id", "odd"]
+    assert materialize(rows, "emptied", path=path, partition_by=["odd"]).filter("odd = 1").count() == 2
+
+
+@pytest.mark.parametrize("partition_by", [[], ["odd"]])
+def test_a_switch_that_breaks_off_leaves_a_readable_table(spark, tmp_path, monkeypatch, partition_by):
+    from orebelt.sinks import tables
+
+    path, name = str(tmp_path / "t"), f"broken_{len(partition_by)}"
+    rows = spark.range(4).selectExpr("id", "id % 2 AS odd")
+    materialize(rows, name, path=path, partition_by=partition_by)
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_switch", lambda *a: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError, match="gone"):
+            materialize(rows.limit(1), name, path=path, partition_by=partition_by)
+    assert spark.read.table(name).count() == 4
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "_create", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError, match="gone"):
+            materialize(rows.selectExpr("id", "odd", "1 AS more"), name, path=path, partition_by=partition_by)
+    assert spark.read.table(name).count() == 4
+    if partition_by:  # between the two renames
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__previous")
+    assert materialize(rows.limit(2), name, path=path, partition_by=partition_by).count() == 2
+    assert len(remove_old_contents(spark, name, path)) >= 2
+    assert spark.read.table(name).count() == 2
+
+
+def test_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\ty \tz\n1\t 2\t3\n")
+    (tmp_path / "b.csv").write_text("y\tx\n5\t\"4\t4\"\n")
+    (tmp_path / "c.csv").write_text("")
+    df = read_delimited(spark, str(tmp_path))
+    assert sorted(df.columns) == ["x", "y", "z"]
+    assert sorted(map(tuple, df.select("x", "y", "z").collect())) == [("1", " 2", "3"), ("4\t4", "5", None)]
+    names = sorted(r[0].rsplit("/", 1)[-1] for r in with_lineage(read_delimited(spark, str(tmp_path), metadata=True)).select("_source_file").collect())
+    assert names == ["a.csv", "b.csv"]
+    (tmp_path / "d.csv").write_text("x\tx \n1\t2\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_delimited(spark, str(tmp_path))
+
+
 def test_materialize_in_the_warehouse(spark):
     materialize(spark.range(5), "managed", properties={"quality": "bronze"})
     assert materialize(spark.range(2), "managed").count() == 2

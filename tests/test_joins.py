@@ -37,12 +37,11 @@ def test_a_second_nation_multiplies_rows_unless_years_must_be_unique(observation
         enrich_by_year(observations, two_nations, unique=True).collect()
 
 
-def test_same_result_with_and_without_broadcast(spark, observations, two_nations, monkeypatch):
+def test_same_result_with_and_without_broadcast(spark, observations, two_nations):
     small = enrich_by_year(observations, two_nations)
-    monkeypatch.setattr("orebelt.operators.joins.broadcast_if_small", lambda df: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = enrich_by_year(observations, two_nations)
+        shuffled = enrich_by_year(observations, two_nations, limit=0)
         assert "SortMergeJoin" in plan(shuffled)
         assert sorted(map(str, shuffled.collect())) == sorted(map(str, small.collect()))
     finally:
@@ -50,7 +49,7 @@ def test_same_result_with_and_without_broadcast(spark, observations, two_nations
 
 
 def test_a_smallint_year_needs_no_look_at_the_dimension(observations, two_nations, monkeypatch):
-    def forbidden(df):
+    def forbidden(df, limit=None):
         raise AssertionError("measured although bounded")
 
     monkeypatch.setattr("orebelt.operators.joins.measured_bytes", forbidden)
@@ -102,7 +101,7 @@ def test_attribute_names_must_be_new(observations, two_nations):
 
 
 def test_a_hot_year_is_split_when_the_dimension_is_too_large(spark, monkeypatch):
-    monkeypatch.setattr("orebelt.operators.joins.broadcast_if_small", lambda df: df)
+    monkeypatch.setattr("orebelt.operators.joins.broadcast_if_small", lambda df, limit: df)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
@@ -127,3 +126,12 @@ def test_a_hot_year_is_split_when_the_dimension_is_too_large(spark, monkeypatch)
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_nested_attributes_are_never_broadcast_unmeasured(spark):
+    observations = spark.createDataFrame([("s", 2013)], "series_id string, year smallint")
+    dimension = spark.createDataFrame([(2013, [1, 2])], "year smallint, tags array<int>")
+    for unique in (False, True):
+        joined = enrich_by_year(observations, dimension, ["tags"], unique=unique)
+        assert "strategy=broadcast" not in joined._jdf.queryExecution().logical().toString()
+        assert [tuple(r) for r in joined.collect()] == [("s", 2013, [1, 2])]

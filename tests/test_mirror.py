@@ -117,3 +117,14 @@ def test_against_a_loop_with_names_listed_many_times(spark, seed):
     expected_state, expected_counts = one_by_one(source, target)
     assert pairs(state) == expected_state
     assert tuple(sync_stats(actions).first()) == expected_counts
+
+
+def test_a_target_entry_that_stands_twice(spark):
+    source = spark.createDataFrame([("a", True, "new")], "name string, fetched boolean, content string")
+    same = spark.createDataFrame([("d", "old"), ("d", "old")], "name string, content string")
+    state, actions = mirror(source, same, "name")
+    assert sorted(map(tuple, actions.collect())) == [("a", "uploaded", 1), ("d", "deleted", 1)]
+    assert [tuple(r) for r in state.collect()] == [("a", "new")]
+    two = spark.createDataFrame([("d", "old"), ("d", "older")], "name string, content string")
+    with pytest.raises(Exception, match="two target entries"):
+        mirror(source, two, "name")[1].collect()

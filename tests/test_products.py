@@ -4,7 +4,7 @@ import pytest
 from observations import COLUMNS, RECORDS, ROWS, write_padded, write_snapshot
 from pyspark.sql import functions as F
 
-from orebelt import dq_report, read_delimited, top_n
+from orebelt import dq_report, read_audit, read_delimited, top_n
 from orebelt.plans import products
 
 
@@ -17,12 +17,12 @@ def bronze(spark, tmp_path_factory):
     return read_delimited(spark, str(folder), glob="pr.data.0.Current")
 
 
-@pytest.fixture(scope="module", params=[False, True], ids=["text", "numbers"])
+@pytest.fixture(scope="module", params=["text", "numbers", "floats", "float texts"])
 def population(request, spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("population")
     stale = [("X", "x", "2013", "1")]
-    write_snapshot(folder / "population_data_20250101_000000.json", stale, request.param)
-    write_snapshot(folder / "population_data_20250102_000000.json", RECORDS, request.param)
+    write_snapshot(folder / "census_20250101_000000.json", stale, request.param)
+    write_snapshot(folder / "census_20250102_000000.json", RECORDS, request.param)
     (folder / "zzz.txt").write_text("not a snapshot")
     return products.bronze_population(spark, str(folder))
 
@@ -69,7 +69,7 @@ def test_best_year_of_raw_text_has_unknown_years_as_a_group(bronze):
 
 def test_population(population):
     assert rows(population.select("metadata.record_count", "_source_file")) == [
-        (9, "population_data_20250102_000000.json")
+        (9, "census_20250102_000000.json")
     ]
     silver = products.silver_population(population)
     assert silver.schema.simpleString() == (
@@ -140,7 +140,7 @@ def test_no_snapshot(spark, tmp_path):
 def test_refresh_is_incremental_for_observations_and_full_for_the_rest(spark, tmp_path):
     landing, snapshots, store = (str(tmp_path / n) for n in ("landing", "snapshots", "store"))
     write_padded(tmp_path / "landing" / "batch=1" / "part-a.csv", ROWS[:7])
-    write_snapshot(tmp_path / "snapshots" / "population_data_20250101_000000.json", RECORDS[:2])
+    write_snapshot(tmp_path / "snapshots" / "census_20250101_000000.json", RECORDS[:2])
 
     def run():
         return products.refresh(
@@ -161,7 +161,7 @@ def test_refresh_is_incremental_for_observations_and_full_for_the_rest(spark, tm
     assert spark.read.table(tables["silver_population"]).count() == 2
 
     write_padded(tmp_path / "landing" / "batch=2" / "part-b.csv", ROWS[7:])
-    write_snapshot(tmp_path / "snapshots" / "population_data_20250102_000000.json", RECORDS)
+    write_snapshot(tmp_path / "snapshots" / "census_20250102_000000.json", RECORDS)
     run()
     assert spark.read.table(tables["bronze_observations"]).count() == 12
     assert spark.read.table(tables["silver_observations"]).count() == 9
@@ -174,3 +174,57 @@ def test_refresh_is_incremental_for_observations_and_full_for_the_rest(spark, tm
     run()
     assert spark.read.table(tables["silver_observations"]).count() == 9
     assert rows(spark.read.table(tables["gold_population_mean_stddev"]))[0][0] == 35.0
+
+
+def landed_refresh(spark, tmp_path, namespace, **more):
+    return products.refresh(
+        spark,
+        landing=str(tmp_path / "landing"),
+        snapshots=str(tmp_path / "snapshots"),
+        store=str(tmp_path / "store"),
+        namespace=namespace,
+        series_id="A",
+        period="Q01",
+        years=(2013, 2018),
+        glob="*.csv",
+        **more,
+    )
+
+
+def audit(spark, tmp_path):
+    found = read_audit(spark, str(tmp_path / "store" / "audit")).filter("dataset = 'silver_observations'")
+    return {(r.run_id, r.rule): (r.passed, r.dropped) for r in found.collect()}
+
+
+def test_refresh_table_gets_a_column_that_comes_up_later(spark, tmp_path):
+    write_snapshot(tmp_path / "snapshots" / "census_1.json", RECORDS)
+    write_padded(tmp_path / "landing" / "batch=1" / "a.csv", ROWS[:7])
+    tables = landed_refresh(spark, tmp_path, "evolving")
+    write_padded(tmp_path / "landing" / "batch=2" / "b.csv", ROWS[7:], note="late")
+    landed_refresh(spark, tmp_path, "evolving")
+    bronze = spark.read.table(tables["bronze_observations"])
+    assert rows(bronze.groupBy("batch").agg(F.count("note"), F.count("*")).orderBy("batch")) == [(1, 0, 7), (2, 5, 5)]
+    assert spark.read.table(tables["silver_observations"]).count() == 9
+
+
+def test_audit_survives_retries(spark, tmp_path, monkeypatch):
+    write_snapshot(tmp_path / "snapshots" / "census_1.json", RECORDS)
+    write_padded(tmp_path / "landing" / "batch=1" / "a.csv", ROWS[:7])
+    landed_refresh(spark, tmp_path, "retried", run_id="run-1")
+    first = {("run-1", "valid_year"): (7, 0), ("run-1", "valid_value"): (7, 0)}
+    assert audit(spark, tmp_path) == first
+    landed_refresh(spark, tmp_path, "retried", run_id="run-1")
+    assert audit(spark, tmp_path) == first
+
+    # The job breaks off between the streams and the audit.
+    write_padded(tmp_path / "landing" / "batch=2" / "b.csv", ROWS[7:])
+    with monkeypatch.context() as broken:
+        broken.setattr(products, "append_audit", lambda *a: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError, match="gone"):
+            landed_refresh(spark, tmp_path, "retried", run_id="run-2")
+    assert audit(spark, tmp_path) == first
+    landed_refresh(spark, tmp_path, "retried", run_id="run-2")
+    both = {**first, ("run-2", "valid_year"): (4, 1), ("run-2", "valid_value"): (3, 2)}
+    assert audit(spark, tmp_path) == both
+    landed_refresh(spark, tmp_path, "retried", run_id="run-1")
+    assert audit(spark, tmp_path) == both

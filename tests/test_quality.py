@@ -57,13 +57,13 @@ def test_observed_counts_cover_all_micro_batches(spark, tmp_path):
     stream = (
         spark.readStream.schema("k string, v int").option("maxFilesPerTrigger", 1).parquet(source)
     )
-    query = append_stream(
+    run = append_stream(
         expect_or_drop(observe_rules(stream, "rules", RULES), RULES),
         str(tmp_path / "out"),
         str(tmp_path / "progress"),
     )
-    assert len([p for p in query.recentProgress if p.numInputRows]) == 4
-    report = [tuple(r) for r in observed_report(spark, query, "rules", RULES).collect()]
+    assert run.micro_batches == 4
+    report = [tuple(r) for r in observed_report(spark, run.observed, "rules", RULES).collect()]
     assert report == [("positive", 8, 12), ("known", 12, 8)]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
 

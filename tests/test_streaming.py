@@ -1,7 +1,16 @@
+import pytest
 from observations import COLUMNS, ROWS, write_padded
 from pyspark.sql import functions as F
 
-from orebelt import append_stream, read_appended, read_files_stream, read_table_stream, rows_added
+from orebelt import (
+    append_stream,
+    observe_rules,
+    observed_report,
+    read_appended,
+    read_files_stream,
+    read_table_stream,
+    rows_added,
+)
 from orebelt.plans import products
 
 
@@ -58,15 +67,34 @@ def test_a_backlog_is_cut_into_micro_batches(spark, tmp_path):
     for n, row in enumerate(ROWS[:6]):
         write_padded(tmp_path / "landing" / f"{n}.csv", [row])
     stream = read_files_stream(spark, landing, products.RAW_OBSERVATION, max_files=2)
-    query = append_stream(stream, out, progress)
-    assert rows_added(query) == 6
-    assert len([p for p in query.recentProgress if p.numInputRows]) == 3
+    run = append_stream(stream, out, progress)
+    assert (rows_added(run), run.micro_batches) == (6, 3)
 
 
-def test_progress_setting_is_restored(spark, tmp_path):
+def test_counts_of_more_micro_batches_than_a_query_remembers(spark, tmp_path):
     name = "spark.sql.streaming.numRecentProgressUpdates"
     before = spark.conf.get(name)
+    landing, out, progress = paths(tmp_path)
+    for n, row in enumerate(ROWS):
+        write_padded(tmp_path / "landing" / f"{n}.csv", [row])
+    spark.conf.set(name, "3")
+    try:
+        stream = read_files_stream(spark, landing, products.RAW_OBSERVATION, max_files=1)
+        counted = observe_rules(products.typed_observations(stream), "rules", products.OBSERVATION_RULES)
+        run = append_stream(counted, out, progress)
+    finally:
+        spark.conf.set(name, before)
+    assert (rows_added(run), run.micro_batches) == (12, 12)
+    report = observed_report(spark, run.observed, "rules", products.OBSERVATION_RULES)
+    assert sorted(map(tuple, report.collect())) == [("valid_value", 10, 2), ("valid_year", 11, 1)]
+
+
+def test_a_layout_that_lands_unannounced_is_an_error(spark, tmp_path):
     landing, out, progress = paths(tmp_path)
     write_padded(tmp_path / "landing" / "a.csv", ROWS)
-    append_stream(read_files_stream(spark, landing, products.RAW_OBSERVATION), out, progress)
-    assert spark.conf.get(name) == before
+    stream = read_files_stream(spark, landing, products.RAW_OBSERVATION)
+    lines = (tmp_path / "landing" / "a.csv").read_text().splitlines()
+    swapped = ["\t".join([*line.split("\t")[1::-1], *line.split("\t")[2:]]) for line in lines]
+    (tmp_path / "landing" / "b.csv").write_text("\n".join(swapped) + "\n")
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        append_stream(stream, out, progress)
