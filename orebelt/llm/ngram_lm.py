@@ -34,6 +34,7 @@ from orebelt.llm.text import U, chunks, constants, mix, words
 
 ALPHA = 0.4
 BLOCK_BYTES = 8 << 20
+GRAMS_AT_ONCE = 1 << 17
 RANGE_BYTES = 16 << 20  # text bytes per range of the count tables
 KNOWN_BITS = ~U(255)  # the last byte of every key is 0, and takes no space in the shuffle
 TOTAL = U(0)  # the key under which the number of all words is counted
@@ -122,10 +123,16 @@ def counts(asked: Asked, replies: dict[int, bytes]) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *(_numbers(replies[i], np.int64) for i in sorted(replies))])
 
 
-def _elsewhere(text: np.ndarray, asked: Asked, inverse: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Counts of the n-grams in other texts, for those of the texts ``text``."""
-    _, pair, own = np.unique(text * len(asked.keys) + inverse, return_inverse=True, return_counts=True)
-    return total[inverse] - own[pair]
+def _elsewhere(text: np.ndarray, inverse: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Counts of n-grams in other texts; ``text`` is in order, and some texts are taken at a time."""
+    found, a = total[inverse], 0
+    while a < len(text):
+        b = int(np.searchsorted(text, text[min(a + GRAMS_AT_ONCE, len(text)) - 1], side="right"))
+        pairs = (text[a:b] - text[a]) * len(total) + inverse[a:b]
+        _, pair, own = np.unique(pairs, return_inverse=True, return_counts=True)
+        found[a:b] -= own[pair]
+        a = b
+    return found
 
 
 class Known(NamedTuple):
@@ -144,10 +151,9 @@ def first_asked(g: Grams) -> Asked:
 def known(g: Grams, replies: dict[int, bytes]) -> Known:
     asked = first_asked(g)
     total = counts(asked, replies)
-    later = g.place >= 1
-    found = _elsewhere(np.r_[g.text, g.text[later]], asked, asked.inverse, total)
-    one, two = found[: len(g.one)], np.zeros(len(g.one), np.int64)
-    two[later] = found[len(g.one) :]
+    later, n = g.place >= 1, len(g.one)
+    one, two = _elsewhere(g.text, asked.inverse[:n], total), np.zeros(n, np.int64)
+    two[later] = _elsewhere(g.text[later], asked.inverse[n:], total)
     before = np.r_[0, two[:-1]] if len(two) else two
     return Known(one, two, int(total[0]), np.flatnonzero((g.place >= 2) & (two > 0) & (before > 0)))
 
@@ -216,7 +222,7 @@ def score_texts(
         k = known(g, _replies(replies, 1))
         asked = ask(g.three[k.wanted])
         three = np.zeros(len(g.one), np.int64)
-        three[k.wanted] = _elsewhere(g.text[k.wanted], asked, asked.inverse, counts(asked, _replies(replies, 2)))
+        three[k.wanted] = _elsewhere(g.text[k.wanted], asked.inverse, counts(asked, _replies(replies, 2)))
         total, by_order = scores(g, k, three, alpha)
         return pa.table(
             [group["id"], pa.array(g.count, pa.int64()), pa.array(total, pa.float64())]
