@@ -61,14 +61,20 @@ class Distinct(NamedTuple):
 
 
 def distinct(keys: Keys) -> Distinct:
-    order = np.lexsort((keys.check, keys.hash))
+    order = np.argsort(keys.hash)
     h, c = keys.hash[order], keys.check[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+    new, differ = np.ones(len(h), bool), c[1:] != c[:-1]
+    new[1:] = h[1:] != h[:-1]
+    if (differ & ~new[1:]).any():  # one hash with two checks
+        order = np.lexsort((keys.check, keys.hash))
+        h, c = keys.hash[order], keys.check[order]
+        new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
     inverse = np.empty(len(h), np.int64)
     inverse[order] = np.cumsum(new) - 1
     at = np.flatnonzero(new)
-    return Distinct(Keys(h[at], c[at]), np.diff(np.r_[at, len(h)]), order[at], inverse)
+    # The sort may leave equal keys in any order.
+    first = np.minimum.reduceat(order, at) if len(at) else at
+    return Distinct(Keys(h[at], c[at]), np.diff(np.r_[at, len(h)]), first, inverse)
 
 
 def range_cuts(hashes: np.ndarray, parts: int) -> np.ndarray:

@@ -37,7 +37,7 @@ from orebelt.llm.text import Chunk, Rolling, U, chunks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 PIECE_COST = 5.0
 UNKNOWN_PENALTY = 10.0  # below the least score, for each byte of a character without a piece
 
@@ -52,23 +52,33 @@ class Pieces(NamedTuple):
     score: np.ndarray
     hash: np.ndarray
     check: np.ndarray
-    lengths: np.ndarray  # byte lengths that pieces have
+    prefix: np.ndarray  # hashes of all their beginnings
     byte_id: np.ndarray  # id of the byte piece of each byte
     byte_score: int
     all_bytes: bytes  # spelling of every id, one after the other
     all_start: np.ndarray
 
     @property
-    def sieve(self) -> np.ndarray:
-        found = np.zeros(1 << 20, bool)
-        found[(self.hash >> U(44)).astype(np.int64)] = True
-        return found
+    def sieve(self) -> "Sieve":
+        tables = []
+        for hashes in (self.hash, self.prefix):
+            found = np.zeros(1 << 20, bool)
+            found[(hashes >> U(44)).astype(np.int64)] = True
+            tables.append(found)
+        return Sieve(*tables)
+
+
+class Sieve(NamedTuple):
+    """By the first bits of a hash, whether a piece or the beginning of one may have it."""
+
+    whole: np.ndarray
+    prefix: np.ndarray
 
 
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Keys:
     one, two = _one.sums(data), _two.sums(data)
     check = (mix(_two.ranges(two, start, end)) >> U(32)).astype(np.uint32)
-    return Keys(mix(_one.ranges(one, start, end)), check)
+    return Keys(_one.ranges(one, start, end), check)
 
 
 def load_pieces(path: str = MODEL) -> Pieces:
@@ -100,6 +110,8 @@ def load_pieces(path: str = MODEL) -> Pieces:
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(spellings[i] for i in usable), np.uint8)
     keys = _hashes(data, ends - sizes, ends)
+    begins = np.repeat(ends - sizes, sizes)
+    prefixes = np.unique(_one.ranges(_one.sums(data), begins, np.arange(1, len(data) + 1)))
     order = np.argsort(keys.hash)
     return Pieces(
         [spellings[usable[i]] for i in order],
@@ -107,7 +119,7 @@ def load_pieces(path: str = MODEL) -> Pieces:
         score[order],
         keys.hash[order],
         keys.check[order],
-        np.unique(sizes),
+        prefixes,
         byte_id,
         int(score.min() - UNKNOWN_PENALTY * 1e6),
         b"".join(spellings),
@@ -153,30 +165,37 @@ class Lattice(NamedTuple):
     id: np.ndarray
 
 
-def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, sieve: np.ndarray) -> Lattice:
+def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, sieve: Sieve) -> Lattice:
     """Substrings joined to the pieces, and bytes of characters that have no piece of their own."""
     one, two = _one.sums(data), _two.sums(data)
     at = _expand(start, end - start)
-    left = np.repeat(end, end - start) - at
     first_byte = (data[at] & 0xC0) != 0x80
     spelt = np.zeros(len(data) + 1, bool)  # characters with a piece
     width = np.ones(256, np.int64)
     width[0xC0:0xE0], width[0xE0:0xF0], width[0xF0:] = 2, 3, 4
     starts, lengths, scores, ids = [], [], [], []
-    for length in pieces.lengths.tolist():
-        fits = at[(left >= length) & first_byte]
-        hashed = mix(_one.ranges(one, fits, fits + length))
-        some = np.flatnonzero(sieve[(hashed >> U(44)).astype(np.int64)])
-        fits, hashed = fits[some], hashed[some]
+    alive, stop, length = at[first_byte], np.repeat(end, end - start)[first_byte], 0
+    while len(alive):
+        length += 1
+        hashed = _one.ranges(one, alive, alive + length)
+        slot = (hashed >> U(44)).astype(np.int64)
+        # Only what may begin a piece is spelt out further.
+        begins = sieve.prefix[slot]
+        some = np.flatnonzero(begins & sieve.whole[slot])
+        fits, hashed = alive[some], hashed[some]
         place = np.minimum(np.searchsorted(pieces.hash, hashed), len(pieces.hash) - 1)
+        hit = pieces.hash[place] == hashed
+        fits, place = fits[hit], place[hit]
         check = (mix(_two.ranges(two, fits, fits + length)) >> U(32)).astype(np.uint32)
-        hit = (pieces.hash[place] == hashed) & (pieces.check[place] == check)
+        hit = pieces.check[place] == check
         fits, place = fits[hit], place[hit]
         starts.append(fits)
         lengths.append(np.full(len(fits), length))
         scores.append(pieces.score[place])
         ids.append(pieces.id[place])
         spelt[fits[width[data[fits]] == length]] = True
+        begins &= alive + length < stop
+        alive, stop = alive[begins], stop[begins]
     heads = at[first_byte & ~spelt[at]]
     size = np.minimum(width[data[heads]], len(data) - heads)
     rest = _expand(heads, size)
@@ -187,15 +206,17 @@ def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces
     return Lattice(*(np.concatenate(x) for x in (starts, lengths, scores, ids)))
 
 
-def best_paths(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def best_paths(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, sieve: Sieve) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of the best path of each word, one after the other, and where each word's begin.
 
     The words lie one after the other in ``data``.
     """
     edges = lattice(data, start, end, pieces, sieve)
-    word = np.searchsorted(start, edges.start, side="right") - 1
+    word = np.repeat(np.arange(len(start)), end - start)[edges.start]
     offset = edges.start - start[word]
-    order = np.lexsort((edges.length, offset))
+    # By start within the word; edges come by length, and a stable sort leaves them so.
+    narrow = offset.astype(np.uint16) if len(offset) and offset.max() < 1 << 16 else offset
+    order = np.argsort(narrow, kind="stable")
     offset = offset[order]
     goal, begin = (edges.start + edges.length)[order] + word[order], edges.start[order] + word[order]
     score, edge_id, length = edges.score[order], edges.id[order], edges.length[order]
@@ -224,11 +245,15 @@ def best_paths(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pie
     if not owners:
         return np.zeros(0, np.int64), np.zeros(len(start) + 1, np.int64)
     owner, ids, steps = np.concatenate(owners), np.concatenate(ids), np.concatenate(steps)
-    order = np.lexsort((steps, owner))
-    return ids[order], np.searchsorted(owner[order], np.arange(len(start) + 1))
+    # Pieces were found last to first: each word's go to its places from the end.
+    count = np.bincount(owner, minlength=len(start))
+    first = np.r_[0, np.cumsum(count)]
+    found = np.empty(len(ids), np.int64)
+    found[first[owner + 1] - 1 + steps] = ids
+    return found, first
 
 
-def encode_chunk(chunk: Chunk, pieces: Pieces, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_chunk(chunk: Chunk, pieces: Pieces, sieve: Sieve) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a chunk, and where those of each begin."""
     found = words(chunk)
     own = distinct(_hashes(found.data, found.start, found.end))
