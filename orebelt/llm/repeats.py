@@ -41,7 +41,7 @@ from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, mix
 LENGTH = 400
 TRIGGER_BYTES = 16
 PHRASE_BYTES = 40
-RANGE_BYTES = 32 << 20  # text bytes per key range
+RANGE_BYTES = 8 << 20  # text bytes per key range
 
 _one, _two = Rolling(31), Rolling(33)
 _salt = constants(8, 35)
