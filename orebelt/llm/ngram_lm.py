@@ -94,7 +94,7 @@ def _planes(values: np.ndarray) -> bytes:
 
 def _numbers(data: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    cells = np.frombuffer(data, np.uint8).reshape(width, -1)
+    cells = np.frombuffer(data, np.uint8).reshape(width, len(data) // width)
     return np.ascontiguousarray(cells.T).reshape(-1).view(kind)
 
 
@@ -109,18 +109,30 @@ def requests(asked: Asked, parts: int) -> list[tuple[int, bytes, bytes]]:
 
 
 def answers(keys: list[bytes], times: list[bytes]) -> list[bytes]:
-    """Per request the counts over all requests of one range."""
+    """Per request how much more often all requests of one range have its keys.
+
+    A bit per key tells whether others have it, and only then there is a number.
+    """
     own = [np.cumsum(_numbers(k, U), dtype=U) for k in keys]
     sizes = np.cumsum([len(k) for k in own])
     _, inverse = np.unique(np.concatenate(own), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([_numbers(t, np.uint32) for t in times]))[inverse]
+    mine = np.concatenate([_numbers(t, np.uint32) for t in times]).astype(np.int64)
     # Counts above 2 ** 53 would not be exact.
-    return [_planes(total[b - len(k) : b].astype(np.int64)) for k, b in zip(own, sizes)]
+    more = np.bincount(inverse, mine)[inverse].astype(np.int64) - mine
+    parts = [more[b - len(k) : b] for k, b in zip(own, sizes)]
+    return [np.packbits(p > 0).tobytes() + _planes(p[p > 0]) for p in parts]
 
 
-def counts(asked: Asked, replies: dict[int, bytes]) -> np.ndarray:
-    """Counts of the distinct keys, from the replies by range."""
-    return np.concatenate([np.zeros(0, np.int64), *(_numbers(replies[i], np.int64) for i in sorted(replies))])
+def counts(asked: Asked, replies: dict[int, bytes], parts: int) -> np.ndarray:
+    """Counts of the distinct keys over the corpus, from the replies by range."""
+    total = asked.times.astype(np.int64)
+    cuts = blocks.range_cuts(asked.keys, parts)
+    for i, reply in replies.items():
+        a, b = cuts[i], cuts[i + 1]
+        bits = (b - a + 7) // 8
+        has = np.unpackbits(np.frombuffer(reply, np.uint8, bits), count=b - a).astype(bool)
+        total[a:b][has] += _numbers(reply[bits:], np.int64)
+    return total
 
 
 def _elsewhere(text: np.ndarray, inverse: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -148,9 +160,9 @@ def first_asked(g: Grams) -> Asked:
     return ask(np.r_[g.one, g.two[g.place >= 1]], len(g.one))
 
 
-def known(g: Grams, replies: dict[int, bytes]) -> Known:
+def known(g: Grams, replies: dict[int, bytes], parts: int) -> Known:
     asked = first_asked(g)
-    total = counts(asked, replies)
+    total = counts(asked, replies, parts)
     later, n = g.place >= 1, len(g.one)
     one, two = _elsewhere(g.text, asked.inverse[:n], total), np.zeros(n, np.int64)
     two[later] = _elsewhere(g.text[later], asked.inverse[n:], total)
@@ -213,16 +225,16 @@ def score_texts(
 
     def ask_trigrams(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         g = explode(blocks.in_order(group)["text"])
-        asked = ask(g.three[known(g, _replies(replies, 1)).wanted])
+        asked = ask(g.three[known(g, _replies(replies, 1), parts).wanted])
         return _messages([(i, key[0].as_py(), 0, k, t) for i, k, t in requests(asked, parts)])
 
     def score(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         group = blocks.in_order(group)
         g = explode(group["text"])
-        k = known(g, _replies(replies, 1))
+        k = known(g, _replies(replies, 1), parts)
         asked = ask(g.three[k.wanted])
         three = np.zeros(len(g.one), np.int64)
-        three[k.wanted] = _elsewhere(g.text[k.wanted], asked.inverse, counts(asked, _replies(replies, 2)))
+        three[k.wanted] = _elsewhere(g.text[k.wanted], asked.inverse, counts(asked, _replies(replies, 2), parts))
         total, by_order = scores(g, k, three, alpha)
         return pa.table(
             [group["id"], pa.array(g.count, pa.int64()), pa.array(total, pa.float64())]
