@@ -75,7 +75,8 @@ def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
 
     A global sort samples its input for the ranges first, and would run a scan and join below it
     a second time for that. The rows are therefore put down in a shuffle before, balanced in
-    size, and both the sample and the sort read them from there. Rows that are equal in ``order``
+    size, and both the sample and the sort read them from there; a stored table needs no more than
+    ``orderBy``. Rows that are equal in ``order``
     end up in one task: add columns that tell them apart where one value may be frequent.
     """
     return df.hint("rebalance").orderBy(*order)

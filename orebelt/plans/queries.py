@@ -549,7 +549,7 @@ def _product(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
 
 
 def gold_best_year(spark: SparkSession, sf: str) -> DataFrame:
-    return sort_rows(_product(spark, sf, "gold_best_year"), "series_id", "year")
+    return _product(spark, sf, "gold_best_year").orderBy("series_id", "year")
 
 
 def gold_population_mean_stddev(spark: SparkSession, sf: str) -> DataFrame:
@@ -557,7 +557,7 @@ def gold_population_mean_stddev(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_population_series(spark: SparkSession, sf: str) -> DataFrame:
-    return sort_rows(_product(spark, sf, "gold_population_series"), "year", "value")
+    return _product(spark, sf, "gold_population_series").orderBy("year", "value")
 
 
 def refresh_audit(spark: SparkSession, sf: str) -> DataFrame:
