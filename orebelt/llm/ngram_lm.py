@@ -89,7 +89,7 @@ def ask(keys: np.ndarray, words_: int | None = None) -> Asked:
 
 def _planes(values: np.ndarray) -> bytes:
     """First bytes of all numbers, then the second ones: small numbers then compress in the shuffle."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
 
 
 def _numbers(data: bytes, kind: type) -> np.ndarray:
