@@ -44,6 +44,7 @@ FREQUENT = 1 / 16  # share of the items from which a term is frequent
 RETRIEVED = 0.6
 CONFIRMED = 0.6
 GRAM = 3
+ROWS_AT_ONCE = 512
 
 INSIDE = np.zeros(256, bool)
 INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -320,9 +321,11 @@ def drop_leaking(
 
         def run(batches: Iterable[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[[h.row for h in hits(index, batch[text], confirmed)]] = False
-                yield batch.filter(pa.array(keep))
+                for a in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(a, ROWS_AT_ONCE)
+                    keep = np.ones(part.num_rows, bool)
+                    keep[[h.row for h in hits(index, part[text], confirmed)]] = False
+                    yield part.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

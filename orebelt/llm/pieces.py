@@ -37,7 +37,8 @@ from orebelt.llm.text import Chunk, Rolling, U, chunks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+ROWS_AT_ONCE = 512
 PIECE_COST = 5.0
 UNKNOWN_PENALTY = 10.0  # below the least score, for each byte of a character without a piece
 
@@ -292,19 +293,17 @@ def decode(encoded: DataFrame, pieces: Pieces, *, id: str = "doc_id", ids: str =
         spelling = np.frombuffer(pieces.all_bytes, np.uint8)
         size = np.diff(pieces.all_start)
         for batch in batches:
-            lists = batch["ids"].fill_null([]) if batch["ids"].null_count else batch["ids"]
-            flat, bounds = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
-            texts = []
-            for a in range(0, len(lists), 1024):
-                b = min(a + 1024, len(lists))
-                own = flat[bounds[a] : bounds[b]]
+            for a in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(a, ROWS_AT_ONCE)
+                lists = part["ids"].fill_null([]) if part["ids"].null_count else part["ids"]
+                own, bounds = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
                 data = spelling[_expand(pieces.all_start[own], size[own])].tobytes()
-                at = np.r_[0, np.cumsum(size[own])][bounds[a : b + 1] - bounds[a]]
+                at = np.r_[0, np.cumsum(size[own])][bounds]
                 # The blank before the first word was not in the text.
-                texts += [data[i + (i < j and data[i] == 32) : j].decode() for i, j in zip(at.tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"]
-            )
+                texts = [data[i + (i < j and data[i] == 32) : j].decode() for i, j in zip(at.tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"], part["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"]
+                )
 
     own = encoded.select(F.col(id).alias("id"), F.col(ids).alias("ids"))
     return own.mapInArrow(run, "id bigint, ids array<int>, text string").withColumnRenamed("id", id)

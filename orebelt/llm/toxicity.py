@@ -214,8 +214,16 @@ def mine_voters(sample: DataFrame, voters: int = VOTERS) -> list[str]:
     return sorted({*LEXICON, *(row.voter for row in best.collect())})
 
 
-def sample_votes(sample: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Votes of the sample as a 0/1 matrix, and labels with -1 for none."""
+class Ballots(NamedTuple):
+    """Equal votes and labels are one row; most texts have no vote at all."""
+
+    votes: np.ndarray  # 0/1
+    label: np.ndarray  # -1 for none
+    times: np.ndarray
+
+
+def sample_votes(sample: DataFrame, voters: list[str]) -> Ballots:
+    """The votes on the texts of the sample."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = Votes(voters)
@@ -229,23 +237,23 @@ def sample_votes(sample: DataFrame, voters: list[str]) -> tuple[np.ndarray, np.n
                     names=["label", "votes"],
                 )
 
-    rows = sample.mapInArrow(run, "label int, votes array<int>").collect()
+    rows = sample.mapInArrow(run, "label int, votes array<int>").groupBy("label", "votes").count().collect()
+    rows = sorted((-1 if r.label is None else r.label, sorted(r.votes), r["count"]) for r in rows)
     matrix = np.zeros((len(rows), len(voters)), np.float32)
-    for i, row in enumerate(rows):
-        matrix[i, row.votes] = 1
-    return matrix, np.array([-1 if r.label is None else r.label for r in rows], np.int64)
+    for i, (_, votes, _) in enumerate(rows):
+        matrix[i, votes] = 1
+    return Ballots(matrix, np.array([r[0] for r in rows], np.int64), np.array([r[2] for r in rows], float))
 
 
-def label_model(
-    votes: np.ndarray, label: np.ndarray, *, rounds: int = 30, hand_accuracy: float = 0.95
-) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior probability of the hidden label per text, and the share of each voter's evidence.
+def label_model(ballots: Ballots, *, rounds: int = 30, hand_accuracy: float = 0.95) -> tuple[np.ndarray, np.ndarray]:
+    """Posterior probability of the hidden label per ballot, and the share of each voter's evidence.
 
     Every voter has two rates of firing, one per hidden label, fitted by expectation maximisation
     from a start that the labels given by hand and the numbers of votes set. The correlation of two
     voters is that of what the rates leave unexplained; a voter's evidence is divided by one plus the
     squares of its correlations.
     """
+    votes, label, times = ballots
     silent = ~votes.any(axis=1)
     votes = np.concatenate([votes, silent[:, None].astype(votes.dtype)], axis=1)
     known = label >= 0
@@ -253,30 +261,34 @@ def label_model(
     post = np.where(known, np.where(label == 1, hand_accuracy, 1 - hand_accuracy), np.where(silent, 0.05, 0.5))
     share = np.ones(votes.shape[1])
     for step in range(rounds):
-        yes, no = post.sum(), (1 - post).sum()
-        fire_yes = (votes.T @ post + 0.5) / (yes + 1)
-        fire_no = (votes.T @ (1 - post) + 0.05) / (no + 1)
+        yes, no = (times * post).sum(), (times * (1 - post)).sum()
+        fire_yes = (votes.T @ (times * post) + 0.5) / (yes + 1)
+        fire_no = (votes.T @ (times * (1 - post)) + 0.05) / (no + 1)
         prior = np.log((yes + 1) / (no + 1))
         odds = prior + hand + votes @ (share * np.log(fire_yes / fire_no))
         post = 1 / (1 + np.exp(-odds.clip(-30, 30)))
         if step in (2, rounds // 2):
             left = votes - post[:, None] * fire_yes - (1 - post)[:, None] * fire_no
+            left *= np.sqrt(times)[:, None]
             cover = left.T @ left
             spread = np.sqrt(np.diag(cover)).clip(1e-9)
             share = 1 / ((cover / spread[:, None] / spread[None]) ** 2).sum(axis=1)
     return post, share[:-1]
 
 
-def train_classifier(votes: np.ndarray, target: np.ndarray, *, ridge: float = 0.3, rounds: int = 20) -> tuple[np.ndarray, float]:
+def train_classifier(
+    ballots: Ballots, target: np.ndarray, *, ridge: float = 0.3, rounds: int = 20
+) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Newton steps; the bias is not shrunk."""
+    votes, _, times = ballots
     x = np.concatenate([votes, np.ones((len(votes), 1), np.float32)], axis=1).astype(np.float64)
     w = np.zeros(x.shape[1])
     shrink = np.full(x.shape[1], ridge)
     shrink[-1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-(x @ w).clip(-30, 30)))
-        slope = x.T @ (p - target) + shrink * w
-        curve = (x * (p * (1 - p)).clip(1e-6)[:, None]).T @ x + np.diag(shrink)
+        slope = x.T @ (times * (p - target)) + shrink * w
+        curve = (x * (times * (p * (1 - p)).clip(1e-6))[:, None]).T @ x + np.diag(shrink)
         change = np.linalg.solve(curve, slope)
         w -= change
         if np.abs(change).max() < 1e-6:
@@ -288,11 +300,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int
     """Fit on ``docs(id, text)`` and ``labels(id, label)``; held-out rows are left alone."""
     rows = training_sample(docs, labels, sample)
     names = mine_voters(rows, voters)
-    votes, label = sample_votes(rows, names)
-    if not (label == 1).any() or not (label == 0).any():
+    ballots = sample_votes(rows, names)
+    if not (ballots.label == 1).any() or not (ballots.label == 0).any():
         return Model(names, np.full(len(names), 4.0), -4.0)
-    post, _ = label_model(votes, label)
-    return Model(names, *train_classifier(votes, post))
+    post, _ = label_model(ballots)
+    return Model(names, *train_classifier(ballots, post))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -328,8 +340,9 @@ def drop_toxic(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = Votes(model.voters)
         for batch in batches:
-            keep = [model.scores(votes, chunk) < threshold for chunk in chunks(batch[text])]
-            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *keep])))
+            for chunk in chunks(batch[text]):
+                keep = model.scores(votes, chunk) < threshold
+                yield batch.slice(chunk.first, chunk.count).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
 

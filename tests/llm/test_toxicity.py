@@ -73,7 +73,7 @@ def test_correlated_voters_share_their_evidence():
     other = np.where(y, pick.random(2000) < 0.5, pick.random(2000) < 0.05)
     votes = np.stack([one, one, one, other], axis=1).astype(np.float32)
     label = np.where(pick.random(2000) < 0.5, y, -1)
-    post, share = toxicity.label_model(votes, label)
+    post, share = toxicity.label_model(toxicity.Ballots(votes, label, np.ones(2000)))
     assert share[0] < 0.4 < 0.6 < share[3]
     assert ((post > 0.5) == y)[label >= 0].mean() > 0.95
 
