@@ -4,7 +4,7 @@ Every block element of a page is a node with features of its place (depth, sibli
 subtree (text, density of links, tags and list items) and its tag and attribute tokens, its own and
 those of its ancestors. Boosted trees give each node the probability of holding main text. Decoding
 takes the most probable choice for all nodes together in which a kept node has kept ancestors, so a
-paragraph can't be kept in a rejected sidebar. The text that stands directly in a kept node is a block of
+paragraph can't be kept in a rejected sidebar, and plain paragraphs of one element tend to stay together. The text that stands directly in a kept node is a block of
 the result; blocks follow each other in page order.
 
 The trees are trained on a bounded sample of pages (``SAMPLE_PAGES``): on the pages themselves, labelled
@@ -36,6 +36,7 @@ TREES, DEPTH, RATE, LEAST_HESSIAN = 160, 6, 0.2, 1.0
 # Each tree is grown on some of the rows and features.
 ROWS_PER_TREE, FEATURES_PER_TREE = 16_000, 96
 BINS = 32
+BOND = 1.5  # log odds that a plain paragraph needs to be dropped from a kept element
 PAGES_AT_ONCE = 256
 
 # Elements of HTML and customary attribute tokens.
@@ -55,6 +56,7 @@ TOKENS = (
 ).split()
 TOKENS = [*dict.fromkeys(TOKENS)]
 
+TEXT_TAGS = {BLOCK_TAGS.index(t) for t in "p h1 h2 h3 h4 h5 h6 li dt dd tr td blockquote pre".split()}
 TAG_OF = {tag: i for i, tag in enumerate(BLOCK_TAGS)}
 TOKEN_OF = {token: i for i, token in enumerate(TOKENS)}
 NUMBERS = 14
@@ -373,6 +375,8 @@ class _Builder:
         return self.random.choice([" | ", " ", ", "]).join(anchors)
 
     def prose(self, least: int, most: int) -> str:
+        if self.random.random() < 0.3 and most > 25:  # as long as an article
+            return "".join(f"<p>{self.words(3, 100)}</p>" for _ in range(self.random.randint(2, 9)))
         body = self.words(least, most)
         return body if self.random.random() < 0.4 else f"<p>{body}</p>"
 
@@ -387,11 +391,11 @@ class _Builder:
             return e("footer div", "footer bottom copyright legal contentinfo", "&copy; " + self.prose(3, 25) + (self.links(2, 5) if r.random() < 0.5 else ""), 0)
         if kind == "sidebar":
             head = f"<h3>{self.words(1, 3)}</h3>" if r.random() < 0.6 else ""
-            return e("aside div section", "sidebar side aside widget related recommended trending complementary", head + (self.links(3, 7) if r.random() < 0.6 else self.prose(5, 40)), 0, 0.1)
+            return e("aside div section", "sidebar side aside widget related recommended trending complementary", head + (self.links(3, 7) if r.random() < 0.6 else self.prose(5, 40)), 0, 0)
         if kind == "notice":
             return e("div section p dialog aside", "notice notices cookie cookies consent alert popup modal gdpr newsletter subscribe", self.prose(4, 35), 0, 0)
         if kind == "advert":
-            return e("div aside section ins", "ad ads advert adverts advertisement sponsored sponsor promo promoted", self.prose(3, 35), 0, 0)
+            return e("div aside section", "ad ads advert adverts advertisement sponsored sponsor promo promoted", self.prose(3, 35), 0, 0)
         if kind == "form":
             inner = f"<label>{self.words(1, 4)}</label><input type=text><button>{self.words(1, 2)}</button>"
             return e("form", "form search login contact signup", self.prose(1, 10) + inner, 0)
@@ -422,9 +426,10 @@ class _Builder:
         title = f"<h1>{self.words(2, 10)}</h1>"
         if r.random() < 0.8:
             parts.insert(0, title)
-        for kind in ("advert", "notice", "share", "sidebar", "form", "comments", "menu"):
+        for kind in ("advert", "notice", "share", "sidebar", "form", "menu", "footer", "comments"):
             if r.random() < 0.12:
-                parts.insert(len(parts) if kind == "comments" else r.randint(0, len(parts)), self.unwanted(kind))
+                last = kind in ("footer", "comments")
+                parts.insert(len(parts) if last else r.randint(0, len(parts)), self.unwanted(kind))
         return self.element("article article main section div div", "content article post entry story body text main", "".join(parts), 1, 0.25)
 
     def page(self) -> str:
@@ -465,23 +470,30 @@ def train(pages: list[str], *, variants: int = VARIANTS, seed: int = 7) -> Trees
 # Extraction
 
 
-def decode(parent: list[int], odds: np.ndarray) -> np.ndarray:
+def bonds(page: Page) -> np.ndarray:
+    """What it costs to drop a node from a kept parent: for plain text elements, which go together."""
+    plain = [t in TEXT_TAGS and not own and p > 0 for t, own, p in zip(page.tag, page.tokens, page.parent)]
+    return np.where(plain, BOND, 0.0)
+
+
+def decode(parent: list[int], odds: np.ndarray, bond: np.ndarray) -> np.ndarray:
     """The most probable choice in which every kept node has a kept parent; the body is kept.
 
     Nodes come after their parents. ``keep`` is the best total of a subtree whose top is kept, ``drop``
-    that of the subtree left out.
+    that of the subtree left out, which costs a bond more where the parent is kept.
     """
+    bond = bond.tolist()
     keep = (-np.logaddexp(0, -odds)).tolist()
     drop = (-np.logaddexp(0, odds)).tolist()
     n = len(parent)
     for i in range(n - 1, 0, -1):
         p = parent[i]
-        keep[p] += max(keep[i], drop[i])
+        keep[p] += max(keep[i], drop[i] - bond[i])
         drop[p] += drop[i]
     kept = np.zeros(n, bool)
     kept[0] = True
     for i in range(1, n):
-        kept[i] = kept[parent[i]] and keep[i] > drop[i]
+        kept[i] = kept[parent[i]] and keep[i] > drop[i] - bond[i]
     return kept
 
 
@@ -505,7 +517,7 @@ def extract(pages: list[str], trees: Trees) -> list[str]:
     odds = trees.log_odds(np.concatenate([features(p) for p in parsed])) if parsed else np.zeros(0)
     texts, at = [], 0
     for page, size in zip(parsed, sizes):
-        texts.append(assemble(page, decode(page.parent, odds[at : at + size])))
+        texts.append(assemble(page, decode(page.parent, odds[at : at + size], bonds(page))))
         at += size
     return texts
 

@@ -48,9 +48,14 @@ def test_decoding_is_the_best_consistent_choice():
         n = int(pick.integers(1, 8))
         parent = [-1] + [int(pick.integers(0, i)) for i in range(1, n)]
         odds = pick.normal(0, 2, n)
-        got = m.decode(parent, odds)
+        bond = pick.choice([0.0, 1.5], n)
+        got = m.decode(parent, odds, bond)
         assert got[0] and all(got[parent[i]] for i in range(1, n) if got[i])
-        value = lambda kept: sum(-np.logaddexp(0, -o if k else o) for o, k in zip(odds, kept))  # noqa: E731, B023
+
+        def value(kept):
+            own = sum(-np.logaddexp(0, -o if k else o) for o, k in zip(odds, kept))
+            return own - sum(bond[i] for i in range(1, n) if kept[parent[i]] and not kept[i])
+
         best = -np.inf
         for mask in range(1 << n):
             kept = [bool(mask >> i & 1) for i in range(n)]
