@@ -267,10 +267,21 @@ def encode_chunk(chunk: Chunk, pieces: Pieces, sieve: Sieve) -> tuple[np.ndarray
     return all_ids, np.r_[0, np.cumsum(count)][found.bounds]
 
 
+def spell(ids: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> list[str]:
+    """The texts of lists of ids that lie one after the other."""
+    size = np.diff(pieces.all_start)[ids]
+    spelling = np.frombuffer(pieces.all_bytes, np.uint8)
+    data = spelling[_expand(pieces.all_start[ids], size)].tobytes()
+    at = np.r_[0, np.cumsum(size)][bounds].tolist()
+    # The blank before the first word was not in the text.
+    return [data[i + (i < j and data[i] == 32) : j].decode() for i, j in zip(at, at[1:])]
+
+
 def encode(
-    docs: DataFrame, pieces: Pieces, *, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, pieces: Pieces, *, id: str = "doc_id", text: str = "text", decoded: bool = False
 ) -> DataFrame:
-    """``(id, ids)`` per row: the piece ids of the text."""
+    """``(id, ids)`` per row: the piece ids of the text; ``decoded`` adds the ``text`` they give back."""
+    names = ["id", "ids", *["text"][:decoded]]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = pieces.sieve
@@ -278,29 +289,26 @@ def encode(
             for chunk in chunks(batch["text"], CHUNK):
                 ids, bounds = encode_chunk(chunk, pieces, sieve)
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["id"].slice(chunk.first, chunk.count), lists], names=["id", "ids"]
-                )
+                columns = [batch["id"].slice(chunk.first, chunk.count), lists]
+                if decoded:
+                    columns.append(pa.array(spell(ids, bounds, pieces), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     own = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return own.mapInArrow(run, "id bigint, ids array<int>").withColumnRenamed("id", id)
+    schema = "id bigint, ids array<int>" + (", text string" if decoded else "")
+    return own.mapInArrow(run, schema).withColumnRenamed("id", id)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, *, id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``(id, ids, text)`` per row of ``encoded``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelling = np.frombuffer(pieces.all_bytes, np.uint8)
-        size = np.diff(pieces.all_start)
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(a, ROWS_AT_ONCE)
                 lists = part["ids"].fill_null([]) if part["ids"].null_count else part["ids"]
-                own, bounds = lists.flatten().to_numpy(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
-                data = spelling[_expand(pieces.all_start[own], size[own])].tobytes()
-                at = np.r_[0, np.cumsum(size[own])][bounds]
-                # The blank before the first word was not in the text.
-                texts = [data[i + (i < j and data[i] == 32) : j].decode() for i, j in zip(at.tolist(), at[1:].tolist())]
+                bounds = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
+                texts = spell(lists.flatten().to_numpy(), bounds, pieces)
                 yield pa.RecordBatch.from_arrays(
                     [part["id"], part["ids"], pa.array(texts, pa.string())], names=["id", "ids", "text"]
                 )

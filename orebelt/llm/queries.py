@@ -14,7 +14,7 @@ from orebelt.llm.host_rank import Rule
 from orebelt.llm.main_text import main_text
 from orebelt.llm.near_dedup import near_duplicates
 from orebelt.llm.ngram_lm import score_texts
-from orebelt.llm.pieces import decode, encode, load_pieces
+from orebelt.llm.pieces import encode, load_pieces
 from orebelt.llm.repeats import remove_repeats
 from orebelt.llm.toxicity import score_toxicity
 from orebelt.session import new_scratch
@@ -77,9 +77,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = load_pieces()
-    decoded = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
-    return decoded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
+    coded = encode(table(spark, sf_dir, "documents"), load_pieces(), decoded=True)
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -30,7 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -247,11 +247,11 @@ def remove_repeats(
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in
     the same text or another, as the texts were given; none spans two texts.
     """
-    return _cut(docs, id, text, length, []).withColumnRenamed("id", id)
+    return _cut(docs, id, text, length, []).drop("text").withColumnRenamed("id", id)
 
 
 def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str]) -> DataFrame:
-    """The same with further columns along, as ``carried_0`` and so on."""
+    """The same with the whole characters of what is left, and more columns as ``carried_0`` and so on."""
     if length < 5 * TRIGGER_BYTES:
         raise ValueError(f"length is at least {5 * TRIGGER_BYTES}")
     along = [f"carried_{i}" for i in range(len(carry))]
@@ -363,8 +363,9 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
                 *(group[a] for a in along),
                 *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
                 pa.array(kept, pa.binary()),
+                pa.array([k.decode(errors="ignore") for k in kept], pa.string()),
             ],
-            names=["id", *along, "n_bytes", "n_removed", "n_spans", "kept"],
+            names=["id", *along, "n_bytes", "n_removed", "n_spans", "kept", "text"],
         )
 
     by_block = dealt.groupBy("block")
@@ -375,7 +376,9 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
     schema = StructType([docs.schema["id"], *(docs.schema[a] for a in along)])
     for name in ("n_bytes", "n_removed", "n_spans"):
         schema = schema.add(name, "long")
-    return by_block.cogroup(replies.groupBy("block")).applyInArrow(cut, schema.add("kept", "binary"))
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(
+        cut, schema.add("kept", "binary").add("text", "string")
+    )
 
 
 def with_repeats_removed(
@@ -387,17 +390,8 @@ def with_repeats_removed(
     number of characters, if there is one.
     """
     others = [c for c in docs.columns if c not in (id, text)]
-    rest = _cut(docs, id, text, length, others).withColumn("text", whole_characters("kept"))
+    rest = _cut(docs, id, text, length, others)
     columns = {id: F.col("id"), text: F.col("text")} | {c: F.col(f"carried_{i}") for i, c in enumerate(others)}
     if size in columns:
         columns[size] = F.length("text")
     return rest.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in docs.schema])
-
-
-def whole_characters(data: str) -> Column:
-    """The UTF-8 text in a binary column, without bytes that are no whole character."""
-
-    def run(values: pa.Array) -> pa.Array:
-        return pa.array([v.decode(errors="ignore") for v in values.to_pylist()], pa.string())
-
-    return F.arrow_udf(run, "string")(data)

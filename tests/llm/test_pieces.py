@@ -56,7 +56,9 @@ def brute(text, table):
 def test_round_trip_and_best_path(spark, table):
     coded = p.encode(f.documents(spark, TEXTS), table)
     got = {r.doc_id: r for r in p.decode(coded, table).collect()}
+    at_once = {r.doc_id: r for r in p.encode(f.documents(spark, TEXTS), table, decoded=True).collect()}
     for i, text in enumerate(TEXTS):
+        assert got[i] == at_once[i]
         assert got[i].text == (text or "")
         assert got[i].ids == brute(text, table), text
 
