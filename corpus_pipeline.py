@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orebelt.llm.decontaminate import drop_leaking
 from orebelt.llm.near_dedup import drop_near_duplicates
-from orebelt.llm.pieces import decode, encode, load_pieces
+from orebelt.llm.pieces import encode, load_pieces
 from orebelt.llm.repeats import with_repeats_removed
 from orebelt.llm.toxicity import drop_toxic
 from orebelt.session import stage
@@ -46,8 +46,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, ids, n_pieces, text)``: the pieces of every text, and the text that they give back."""
-    table = load_pieces()
-    coded = decode(encode(docs, table), table)
+    coded = encode(docs, load_pieces(), decoded=True)
     return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "text")
 
 
