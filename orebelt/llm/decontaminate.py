@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, lower, mix, runs
+from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, lower, mix, runs
 
 SLICE_BYTES = 8 << 20
 SHORT_ITEM = 64  # words up to which items share a window size
@@ -75,13 +75,6 @@ def grams(hashes: np.ndarray) -> np.ndarray:
     return np.unique(mix(sum(hashes[i : n + i] * _gram[i] for i in range(GRAM))))
 
 
-def _expand(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For lists ``first[i]``, ``first[i] + 1``, ... of ``size[i]``: the list of each, and all numbers."""
-    owner = np.repeat(np.arange(len(first)), size)
-    ends = np.cumsum(size)
-    return owner, np.arange(len(owner)) + np.repeat(first - (ends - size), size)
-
-
 class Postings(NamedTuple):
     """For term ``t`` the rows ``first[t]:first[t + 1]``: items or blocks, and weights."""
 
@@ -90,7 +83,8 @@ class Postings(NamedTuple):
     weight: np.ndarray
 
     def look_up(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        owner, at = _expand(self.first[term], self.first[term + 1] - self.first[term])
+        size = self.first[term + 1] - self.first[term]
+        owner, at = np.repeat(np.arange(len(term)), size), expand(self.first[term], size)
         return owner, self.of[at], self.weight[at]
 
 

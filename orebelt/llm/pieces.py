@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.llm.blocks import Keys, distinct
-from orebelt.llm.text import Chunk, Rolling, U, chunks, mix
+from orebelt.llm.text import Chunk, Rolling, U, chunks, expand, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -128,12 +128,6 @@ def load_pieces(path: str = MODEL) -> Pieces:
     )
 
 
-def _expand(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """All the numbers ``first[i]``, ``first[i] + 1``, ... of ``size[i]`` one after the other."""
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
-
-
 class Words(NamedTuple):
     data: np.ndarray  # bytes of the texts, each with a blank before it
     start: np.ndarray
@@ -147,7 +141,7 @@ def words(chunk: Chunk) -> Words:
     some = size > 0
     starts = chunk.starts[:-1] + np.cumsum(some) - some
     data = np.full(len(chunk.data) + int(some.sum()), 32, np.uint8)
-    data[_expand(starts + some, size)] = chunk.data
+    data[expand(starts + some, size)] = chunk.data
     begins = data == 32
     control = data < 32
     begins |= control
@@ -169,7 +163,7 @@ class Lattice(NamedTuple):
 def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces, sieve: Sieve) -> Lattice:
     """Substrings joined to the pieces, and bytes of characters that have no piece of their own."""
     one, two = _one.sums(data), _two.sums(data)
-    at = _expand(start, end - start)
+    at = expand(start, end - start)
     first_byte = (data[at] & 0xC0) != 0x80
     spelt = np.zeros(len(data) + 1, bool)  # characters with a piece
     width = np.ones(256, np.int64)
@@ -199,7 +193,7 @@ def lattice(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces: Pieces
         alive, stop = alive[begins], stop[begins]
     heads = at[first_byte & ~spelt[at]]
     size = np.minimum(width[data[heads]], len(data) - heads)
-    rest = _expand(heads, size)
+    rest = expand(heads, size)
     starts.append(rest)
     lengths.append(np.ones(len(rest), np.int64))
     scores.append(np.full(len(rest), pieces.byte_score))
@@ -259,11 +253,11 @@ def encode_chunk(chunk: Chunk, pieces: Pieces, sieve: Sieve) -> tuple[np.ndarray
     found = words(chunk)
     own = distinct(_hashes(found.data, found.start, found.end))
     size = (found.end - found.start)[own.first]
-    spelt = found.data[_expand(found.start[own.first], size)]
+    spelt = found.data[expand(found.start[own.first], size)]
     ends = np.cumsum(size)
     ids, first = best_paths(spelt, ends - size, ends, pieces, sieve)
     count = np.diff(first)[own.inverse]
-    all_ids = ids[_expand(first[:-1][own.inverse], count)]
+    all_ids = ids[expand(first[:-1][own.inverse], count)]
     return all_ids, np.r_[0, np.cumsum(count)][found.bounds]
 
 
@@ -271,7 +265,7 @@ def spell(ids: np.ndarray, bounds: np.ndarray, pieces: Pieces) -> list[str]:
     """The texts of lists of ids that lie one after the other."""
     size = np.diff(pieces.all_start)[ids]
     spelling = np.frombuffer(pieces.all_bytes, np.uint8)
-    data = spelling[_expand(pieces.all_start[ids], size)].tobytes()
+    data = spelling[expand(pieces.all_start[ids], size)].tobytes()
     at = np.r_[0, np.cumsum(size)][bounds].tolist()
     # The blank before the first word was not in the text.
     return [data[i + (i < j and data[i] == 32) : j].decode() for i, j in zip(at, at[1:])]

@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from orebelt.llm import blocks
 from orebelt.llm.blocks import Keys
-from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, mix
+from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, mix
 
 LENGTH = 400
 TRIGGER_BYTES = 16
@@ -150,13 +150,6 @@ def _edges(p: Parse, whole, near, far, leads, length: int) -> Edges:
     )
 
 
-def _spread(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """All numbers from each first to its last."""
-    size = last - first + 1
-    ends = np.cumsum(size)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
-
-
 class Block(NamedTuple):
     """What a block knows of its texts once the first counts are there."""
 
@@ -288,7 +281,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
         for chunk, p, _, e in _settle(own, _replies(replies, 2), length):
             data = chunk.data.tobytes()
             cold = e.count < blocks.MOST
-            rest = _spread(e.first[~cold], e.last[~cold])
+            rest = expand(e.first[~cold], e.last[~cold] - e.first[~cold] + 1)
             hot.append(window_keys(p.sums, rest, length))
             where = ((e.keys.hash >> U(32)) * U(parts) >> U(32)).astype(np.int64)
             for i in np.flatnonzero(cold).tolist():
@@ -330,7 +323,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
         hot = []
         for _, p, _, e in settled:
             far = e.count == blocks.MOST
-            hot.append(window_keys(p.sums, _spread(e.first[far], e.last[far]), length))
+            hot.append(window_keys(p.sums, expand(e.first[far], e.last[far] - e.first[far] + 1), length))
         again, _ = blocks.counts(blocks.distinct(Keys.join(hot)), _replies(replies, 3))
         slot = at = 0
         sizes, removed, spans, kept = [], [], [], []
@@ -342,7 +335,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
             np.add.at(step, p.last[twice] + length, -1)
             singles = [p.lone[lone >= 2]]
             far = e.count == blocks.MOST
-            rest = _spread(e.first[far], e.last[far])
+            rest = expand(e.first[far], e.last[far] - e.first[far] + 1)
             singles.append(rest[again[at : at + len(rest)] >= 2])
             at += len(rest)
             singles += [e.trigger[i] - matched[slot + i] for i in np.flatnonzero(~far).tolist() if slot + i in matched]

@@ -30,6 +30,12 @@ def constants(n: int, seed: int) -> np.ndarray:
         return mix(steps) | U(1)
 
 
+def expand(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All the numbers ``first[i]``, ``first[i] + 1``, ... of ``size[i]``, one list after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
