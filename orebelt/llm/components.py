@@ -10,13 +10,13 @@ from orebelt.session import stage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.filter("u > v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     joined = down.join(least, "u")
     return (
         joined.filter("v <> m")
@@ -32,9 +32,9 @@ def _star(edges: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the edges ``(u, v)``; the component is its least node.
 
-    Minima are combined before each shuffle and the joins are ones that adaptive execution can
-    split, so a hub with very many edges is no task of its own. The edges of each round are
-    written to the shared folder; what the driver sees is their number and checksum.
+    Minima are combined before each shuffle and stored, so that the join that brings them back is one
+    that adaptive execution can split: a hub with very many edges is no task of its own. The edges
+    of each round are written to the shared folder; what the driver sees is their number and checksum.
     """
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     edges = stage(_star(down), "edges")
