@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, lower, mix, runs
+from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, lower, mix, runs, tidy
 
 SLICE_BYTES = 8 << 20
 SHORT_ITEM = 64  # words up to which items share a window size
@@ -282,6 +282,7 @@ def find_leaks(
     found = None
     for index in indexes(items, id=item_id, text=item_text, retrieved=retrieved):
 
+        @tidy
         def run(batches: Iterable[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows = [*hits(index, batch["text"], confirmed)]
@@ -313,6 +314,7 @@ def drop_leaking(
     """The rows of ``docs``, with all their columns, whose text holds no test item."""
     for index in indexes(items, id=item_id, text=item_text, retrieved=retrieved):
 
+        @tidy
         def run(batches: Iterable[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a in range(0, batch.num_rows, ROWS_AT_ONCE):

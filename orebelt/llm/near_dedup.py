@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.llm.components import connected_components
-from orebelt.llm.text import U, chunks, constants, mix, shingles, words
+from orebelt.llm.text import U, chunks, constants, mix, shingles, words, tidy
 from orebelt.session import stage
 
 BLOCK = 512
@@ -94,6 +94,7 @@ class Sketcher:
 def fingerprints(docs: DataFrame, p: Sketching) -> DataFrame:
     """``(id, n, s1, s2, bands, odd)`` per row of ``docs(id, text)``; bands are null without shingles."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(p)
         for batch in batches:
@@ -128,6 +129,7 @@ def full_sets(members: DataFrame, p: Sketching) -> DataFrame:
     """The sets of ``members(id, text, s1, s2, comp, blocks, hub, odd)`` whose text is that of s1, s2."""
     schema = "node bigint, comp bigint, blocks int, hub boolean, odd binary, own binary"
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher, done = Sketcher(p), set()
         for batch in batches:
@@ -206,10 +208,13 @@ def _link_blocks(rows: DataFrame, p: Sketching, *, residual: bool) -> DataFrame:
     ``label`` has what is connected already.
     """
 
+    @tidy
     def run(group: pa.Table) -> pa.Table:
-        order = group.select(["comp", "block"]).to_pandas()
+        comp, block = (group[c].to_numpy() for c in ("comp", "block"))
+        order = np.lexsort((block, comp))
+        cuts = np.flatnonzero((np.diff(comp[order]) != 0) | (np.diff(block[order]) != 0)) + 1
         us, vs = [], []
-        for at in order.groupby(["comp", "block"], sort=False).indices.values():
+        for at in np.split(order, cuts):
             if len(at) < 2:
                 continue
             part = group.take(pa.array(at))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.llm import blocks
-from orebelt.llm.text import U, chunks, constants, mix, words
+from orebelt.llm.text import U, chunks, constants, mix, words, tidy
 
 ALPHA = 0.4
 BLOCK_BYTES = 8 << 20
@@ -211,11 +211,13 @@ def score_texts(
     parts = max(1, math.ceil(size / RANGE_BYTES))
     dealt = blocks.in_blocks(docs, size, BLOCK_BYTES)
 
+    @tidy
     def ask_first(key: tuple, group: pa.Table) -> pa.Table:
         g = explode(blocks.in_order(group)["text"])
         return _messages([(i, key[0].as_py(), 0, k, t) for i, k, t in requests(first_asked(g), parts)])
 
     def count(kind: int):
+        @tidy
         def run(key: tuple, group: pa.Table) -> pa.Table:
             own = answers(group["key"].to_pylist(), group["payload"].to_pylist())
             part = key[0].as_py()
@@ -223,11 +225,13 @@ def score_texts(
 
         return run
 
+    @tidy
     def ask_trigrams(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         g = explode(blocks.in_order(group)["text"])
         asked = ask(g.three[known(g, _replies(replies, 1), parts).wanted])
         return _messages([(i, key[0].as_py(), 0, k, t) for i, k, t in requests(asked, parts)])
 
+    @tidy
     def score(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         group = blocks.in_order(group)
         g = explode(group["text"])

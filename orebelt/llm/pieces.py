@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orebelt.llm.blocks import Keys, distinct
-from orebelt.llm.text import Chunk, Rolling, U, chunks, expand, mix
+from orebelt.llm.text import Chunk, Rolling, U, chunks, expand, mix, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -277,6 +277,7 @@ def encode(
     """``(id, ids)`` per row: the piece ids of the text; ``decoded`` adds the ``text`` they give back."""
     names = ["id", "ids", *["text"][:decoded]]
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = pieces.sieve
         for batch in batches:
@@ -296,6 +297,7 @@ def encode(
 def decode(encoded: DataFrame, pieces: Pieces, *, id: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``(id, ids, text)`` per row of ``encoded``."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, ROWS_AT_ONCE):

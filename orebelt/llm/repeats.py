@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from orebelt.llm import blocks
 from orebelt.llm.blocks import Keys
-from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, mix
+from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, mix, tidy
 
 LENGTH = 400
 TRIGGER_BYTES = 16
@@ -257,12 +257,14 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
     parts = max(1, math.ceil(size / RANGE_BYTES))
     dealt = blocks.in_blocks(docs, size)
 
+    @tidy
     def ask(key: tuple, group: pa.Table) -> pa.Table:
         own = _read(blocks.in_order(group), length)
         return _messages(
             [(i, key[0].as_py(), 0, None, None, None, None, p) for i, p in blocks.requests(own.asked, parts)]
         )
 
+    @tidy
     def count(key: tuple, group: pa.Table) -> pa.Table:
         return _count(key[0].as_py(), group, 2)
 
@@ -275,6 +277,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
             [(part, b, kind, None, None, None, None, p) for b, p in zip(group["block"].to_pylist(), own)]
         )
 
+    @tidy
     def ask_edges(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         number, rows, hot, slot = key[0].as_py(), [], [], 0
         own = _read(blocks.in_order(group), length)
@@ -294,6 +297,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
         rows += [(i, number, 0, None, None, None, None, p) for i, p in blocks.requests(asked, parts)]
         return _messages(rows)
 
+    @tidy
     def match_edges(key: tuple, group: pa.Table) -> pa.Table:
         part = key[0].as_py()
         kind = group["kind"].to_numpy()
@@ -311,6 +315,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
         ]
         return pa.concat_tables([counted, _messages(rows)])
 
+    @tidy
     def cut(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         group = blocks.in_order(group)
         own = _read(group, length)

@@ -6,7 +6,10 @@ same values. Texts are worked on in chunks of a bounded size; a longer text is a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+from inspect import signature
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +19,38 @@ U = np.uint64
 CHUNK_BYTES = 1 << 18
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on, and other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function of a group, or a generator over batches, that gives back its memory in the end."""
+
+    @wraps(run)
+    def wrapped(*args):
+        try:
+            found = run(*args)
+            if isinstance(found, Iterator):
+                return _until_done(found)
+            return found
+        finally:
+            give_back()
+
+    wrapped.__signature__ = signature(run)  # Spark tells by it whether a group's key is wanted
+    return wrapped
+
+
+def _until_done(found: Iterator) -> Iterator:
+    try:
+        yield from found
+    finally:
+        give_back()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: every input bit moves every output bit."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orebelt.llm.text import Chunk, Rolling, U, chunks, lower, mix, runs
+from orebelt.llm.text import Chunk, Rolling, U, chunks, lower, mix, runs, tidy
 
 SAMPLE = 20_000
 VOTERS = 512
@@ -166,6 +166,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) ->
 def mine_voters(sample: DataFrame, voters: int = VOTERS) -> list[str]:
     """Words and stems that labelled toxic texts have far more often than others."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = np.array(batch["label"].to_pylist(), np.int64)
@@ -225,6 +226,7 @@ class Ballots(NamedTuple):
 def sample_votes(sample: DataFrame, voters: list[str]) -> Ballots:
     """The votes on the texts of the sample."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = Votes(voters)
         for batch in batches:
@@ -310,6 +312,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, voters: int
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(id, score)`` of ``docs(id, text)``."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = Votes(model.voters)
         for batch in batches:
@@ -337,6 +340,7 @@ def drop_toxic(
     own, known = _inputs(docs, labels, id, text, label)
     model = fit(own, known, sample=sample, voters=voters)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes = Votes(model.voters)
         for batch in batches:
