@@ -29,15 +29,19 @@ def _selected(glob: str | None, encoding: str) -> dict[str, str]:
 def file_headers(spark: SparkSession, path: str, *, glob: str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """``(file, header, modified)``: the first line of every file, from one distributed pass.
 
-    Only the first split of each file is read.
+    Only the first split of each file is read. Lines never leave their task: the first one of a file is
+    found there, by a key that sorts as a number.
     """
     lines = spark.read.options(**WHOLE_LINES, **_selected(glob, encoding)).schema("line string").csv(path)
-    first = lines.filter("_metadata.file_block_start = 0").select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-        F.struct(F.monotonically_increasing_id().alias("place"), "line").alias("line"),
+    file, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    placed = lines.filter("_metadata.file_block_start = 0").select(
+        F.xxhash64(file).alias("key"),
+        F.struct(
+            F.monotonically_increasing_id().alias("place"), F.col("line").alias("header"), file.alias("file"), modified.alias("modified")
+        ).alias("line"),
     )
-    return first.groupBy("file").agg(F.min("line")["line"].alias("header"), F.min("modified").alias("modified"))
+    first = placed.groupBy("key").agg(F.min("line").alias("line"))
+    return first.select("line.file", "line.header", "line.modified")
 
 
 def header_names(header: str, sep: str) -> list[str]:
