@@ -27,6 +27,9 @@ PREPARED = {
     "shipment_files": workload.shipment_files,
     "stored_links": workload.stored_links,
     "refresh": workload.refreshed,
+    "mixed_landing": workload.mixed_landing,
+    "number_snapshots": workload.number_snapshots,
+    "refresh_twice": workload.refreshed_twice,
 }
 
 
