@@ -16,6 +16,9 @@ from orebelt.llm.repeats import with_repeats_removed
 from orebelt.llm.toxicity import drop_toxic
 from orebelt.session import stage
 
+# A passage of over 50 words that stands elsewhere, too, goes from every text.
+PASSAGE_WORDS = 51
+
 # No SQL: the first stage is a trained model, the others are no relational queries.
 ORACLE_SQL = None
 
@@ -36,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose what stands elsewhere, too; every document stays."""
-    return with_repeats_removed(docs)
+    return with_repeats_removed(docs, words=PASSAGE_WORDS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

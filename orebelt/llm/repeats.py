@@ -14,6 +14,10 @@ and a prefix of the parse that starts there, and equal windows have equal halves
 3. Parses that 127 places or more share are not brought together: their windows are counted one by
    one, as are those without a trigger near their start.
 
+Passages of so many ``words`` are looked for along with these, if wanted, whatever bytes they take
+and whatever white space is between the words. About one in six places of half that length is
+counted; a passage in which each of them occurs again is then counted itself.
+
 Blocks of texts ask for counts (see ``blocks``), hence the texts are shuffled once, and no group
 grows with the number of copies. Keys have 96 bits.
 
@@ -37,11 +41,13 @@ from pyspark.sql.types import StructType
 from orebelt.llm import blocks
 from orebelt.llm.blocks import Keys
 from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, mix, tidy
+from orebelt.llm.text import words as words_of
 
 LENGTH = 400
 TRIGGER_BYTES = 16
 PHRASE_BYTES = 40
 RANGE_BYTES = 8 << 20  # text bytes per key range
+ANCHOR_WORDS = 6  # one in so many places of a text is an anchor
 
 _one, _two = Rolling(31), Rolling(33)
 _salt = constants(8, 35)
@@ -122,6 +128,52 @@ def parse(chunk: Chunk, length: int) -> Parse:
     )
 
 
+class Passages(NamedTuple):
+    """The words of a chunk, and the anchors that tell which passages may occur again."""
+
+    size: int
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray  # words that a passage starts with
+    anchor: np.ndarray
+    keys: Keys  # of the anchors
+    sums: tuple[np.ndarray, np.ndarray]
+
+    @property
+    def half(self) -> int:
+        return (self.size + 1) // 2
+
+    def passage_keys(self, first: np.ndarray) -> Keys:
+        return _keys(self.sums, first, first + self.size, 6)
+
+    def wanted(self, count: np.ndarray) -> np.ndarray:
+        """Passages without an anchor that stands nowhere else; ``count`` is that of the anchors."""
+        alone = np.zeros(len(self.start) + 1, np.int64)
+        alone[self.anchor[count < 2] + 1] = 1
+        alone = np.cumsum(alone)
+        return self.first[alone[self.first + self.size - self.half + 1] == alone[self.first]]
+
+
+def passages(chunk: Chunk, sums, size: int) -> Passages:
+    found = words_of(chunk)
+    n = len(found.start)
+    over = []
+    for rolling, own in zip((_one, _two), sums):
+        total = np.zeros(n + 1, U)
+        np.cumsum(mix(rolling.ranges(own, found.start, found.end)) * rolling.power[:n], out=total[1:])
+        over.append(total)
+
+    def places(length: int) -> np.ndarray:
+        at = np.arange(max(0, n - length + 1))
+        return at[found.text[at] == found.text[at + length - 1]]
+
+    half = places((size + 1) // 2)
+    keys = _keys(over, half, half + (size + 1) // 2, 7)
+    some = keys.check < (1 << 32) // ANCHOR_WORDS  # not by the hash, which deals them to the ranges
+    keys = Keys(keys.hash[some], keys.check[some])
+    return Passages(size, found.start, found.end, places(size), half[some], keys, tuple(over))
+
+
 class Edges(NamedTuple):
     """Windows of triggers that their whole strings don't settle, for these or for others."""
 
@@ -153,24 +205,50 @@ def _edges(p: Parse, whole, near, far, leads, length: int) -> Edges:
 class Block(NamedTuple):
     """What a block knows of its texts once the first counts are there."""
 
-    parsed: list[tuple[Chunk, Parse]]
+    parsed: list[tuple[Chunk, Parse, Passages | None]]
     asked: blocks.Distinct
 
 
-def _read(group: pa.Table, length: int) -> Block:
-    parsed = [(c, parse(c, length)) for c in chunks(group["text"])]
-    keys = Keys.join([k for _, p in parsed for k in (p.whole, p.near, p.far, p.lone_keys)])
+def _asked(p: Parse, q: Passages | None) -> list[Keys]:
+    return [p.whole, p.near, p.far, p.lone_keys] + ([q.keys] if q else [])
+
+
+def _read(group: pa.Table, length: int, words: int | None) -> Block:
+    parsed = []
+    for chunk in chunks(group["text"]):
+        p = parse(chunk, length)
+        parsed.append((chunk, p, passages(chunk, p.sums, words) if words else None))
+    keys = Keys.join([k for _, p, q in parsed for k in _asked(p, q)])
     return Block(parsed, blocks.distinct(keys))
 
 
-def _settle(block: Block, replies: dict[int, bytes], length: int) -> Iterator[tuple[Chunk, Parse, tuple, Edges]]:
+class Settled(NamedTuple):
+    """What the first counts say of a chunk, and what is counted next."""
+
+    chunk: Chunk
+    parse: Parse
+    counts: list[np.ndarray]
+    edges: Edges
+    hot: np.ndarray  # windows of hot edges
+    passages: Passages | None
+    wanted: np.ndarray  # passages that may occur again
+
+    def next_keys(self, length: int) -> list[Keys]:
+        own = [window_keys(self.parse.sums, self.hot, length)]
+        return own + ([self.passages.passage_keys(self.wanted)] if self.passages else [])
+
+
+def _settle(block: Block, replies: dict[int, bytes], length: int) -> Iterator[Settled]:
     (count, leads), at = blocks.counts(block.asked, replies), 0
-    for chunk, p in block.parsed:
+    for chunk, p, q in block.parsed:
         parts, lead = [], leads[at : at + len(p.whole.hash)]
-        for keys in (p.whole, p.near, p.far, p.lone_keys):
+        for keys in _asked(p, q):
             parts.append(count[at : at + len(keys.hash)])
             at += len(keys.hash)
-        yield chunk, p, tuple(parts), _edges(p, *parts[:3], lead, length)
+        e = _edges(p, *parts[:3], lead, length)
+        far = e.count == blocks.MOST
+        hot = expand(e.first[far], e.last[far] - e.first[far] + 1)
+        yield Settled(chunk, p, parts, e, hot, q, q.wanted(parts[4]) if q else np.zeros(0, np.int64))
 
 
 def equal_windows(
@@ -233,17 +311,20 @@ def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
 
 
 def remove_repeats(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH
+    docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None
 ) -> DataFrame:
     """``(id, n_bytes, n_removed, n_spans, kept)``: per row the bytes that are left of its text.
 
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in
-    the same text or another, as the texts were given; none spans two texts.
+    the same text or another, as the texts were given; none spans two texts. With ``words``, so do
+    the passages of that many words that stand anywhere else, too.
     """
-    return _cut(docs, id, text, length, []).drop("text").withColumnRenamed("id", id)
+    return _cut(docs, id, text, length, words, []).drop("text").withColumnRenamed("id", id)
 
 
-def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str]) -> DataFrame:
+def _cut(
+    docs: DataFrame, id: str, text: str, length: int, words: int | None, carry: Sequence[str]
+) -> DataFrame:
     """The same with the whole characters of what is left, and more columns as ``carried_0`` and so on."""
     if length < 5 * TRIGGER_BYTES:
         raise ValueError(f"length is at least {5 * TRIGGER_BYTES}")
@@ -259,7 +340,7 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
 
     @tidy
     def ask(key: tuple, group: pa.Table) -> pa.Table:
-        own = _read(blocks.in_order(group), length)
+        own = _read(blocks.in_order(group), length, words)
         return _messages(
             [(i, key[0].as_py(), 0, None, None, None, None, p) for i, p in blocks.requests(own.asked, parts)]
         )
@@ -280,12 +361,11 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
     @tidy
     def ask_edges(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         number, rows, hot, slot = key[0].as_py(), [], [], 0
-        own = _read(blocks.in_order(group), length)
-        for chunk, p, _, e in _settle(own, _replies(replies, 2), length):
-            data = chunk.data.tobytes()
+        own = _read(blocks.in_order(group), length, words)
+        for s in _settle(own, _replies(replies, 2), length):
+            data, e = s.chunk.data.tobytes(), s.edges
             cold = e.count < blocks.MOST
-            rest = expand(e.first[~cold], e.last[~cold] - e.first[~cold] + 1)
-            hot.append(window_keys(p.sums, rest, length))
+            hot += s.next_keys(length)
             where = ((e.keys.hash >> U(32)) * U(parts) >> U(32)).astype(np.int64)
             for i in np.flatnonzero(cold).tolist():
                 t, a, b = int(e.trigger[i]), int(e.first[i]), int(e.last[i])
@@ -318,21 +398,18 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
     @tidy
     def cut(key: tuple, group: pa.Table, replies: pa.Table) -> pa.Table:
         group = blocks.in_order(group)
-        own = _read(group, length)
+        own = _read(group, length, words)
         matched = {
             r["slot"]: np.frombuffer(r["payload"], np.uint16).astype(np.int64)
             for r in replies.select(["kind", "slot", "payload"]).to_pylist()
             if r["kind"] == 1
         }
         settled = list(_settle(own, _replies(replies, 2), length))
-        hot = []
-        for _, p, _, e in settled:
-            far = e.count == blocks.MOST
-            hot.append(window_keys(p.sums, expand(e.first[far], e.last[far] - e.first[far] + 1), length))
-        again, _ = blocks.counts(blocks.distinct(Keys.join(hot)), _replies(replies, 3))
+        hot = Keys.join([k for s in settled for k in s.next_keys(length)])
+        again, _ = blocks.counts(blocks.distinct(hot), _replies(replies, 3))
         slot = at = 0
         sizes, removed, spans, kept = [], [], [], []
-        for chunk, p, (whole, _, _, lone), e in settled:
+        for chunk, p, (whole, _, _, lone, *_), e, rest, q, wanted in settled:
             n = len(chunk.data)
             step = np.zeros(n + 1, np.int32)
             twice = whole >= 2
@@ -340,9 +417,13 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
             np.add.at(step, p.last[twice] + length, -1)
             singles = [p.lone[lone >= 2]]
             far = e.count == blocks.MOST
-            rest = expand(e.first[far], e.last[far] - e.first[far] + 1)
             singles.append(rest[again[at : at + len(rest)] >= 2])
             at += len(rest)
+            if q:
+                shared = wanted[again[at : at + len(wanted)] >= 2]
+                at += len(wanted)
+                np.add.at(step, q.start[shared], 1)
+                np.add.at(step, q.end[shared + q.size - 1], -1)
             singles += [e.trigger[i] - matched[slot + i] for i in np.flatnonzero(~far).tolist() if slot + i in matched]
             slot += len(far)
             start = np.concatenate(singles).astype(np.int64)
@@ -380,7 +461,13 @@ def _cut(docs: DataFrame, id: str, text: str, length: int, carry: Sequence[str])
 
 
 def with_repeats_removed(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: str | None = "n_chars", length: int = LENGTH
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    size: str | None = "n_chars",
+    length: int = LENGTH,
+    words: int | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, with all their columns, without repeats in their texts.
 
@@ -388,7 +475,7 @@ def with_repeats_removed(
     number of characters, if there is one.
     """
     others = [c for c in docs.columns if c not in (id, text)]
-    rest = _cut(docs, id, text, length, others)
+    rest = _cut(docs, id, text, length, words, others)
     columns = {id: F.col("id"), text: F.col("text")} | {c: F.col(f"carried_{i}") for i, c in enumerate(others)}
     if size in columns:
         columns[size] = F.length("text")

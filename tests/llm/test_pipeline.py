@@ -55,6 +55,24 @@ def test_stages_on_planted_documents(spark, tmp_path):
     assert got[90].text == got[91].text == "" and got[90].n_pieces == 0
 
 
+def test_passages_of_over_50_words_go(spark):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    sizes = (51, 52, 55)
+    shared = {n: f.prose(700 + n, n) for n in (*sizes, 12, 30, 50)} | {510: " ".join("abcdefghijklmnopq" * 3)}
+    assert all(len(p) < 400 for p in shared.values())
+    rows = []
+    for n, passage in shared.items():
+        for i in (0, 1):
+            text = f"{f.prose(2000 + 2 * n + i, 80)} {passage} {f.prose(4000 + 2 * n + i, 80)}"
+            rows.append((2 * n + i, text, "en", "s", len(text)))
+    got = {r.doc_id: r for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, schema), "").collect()}
+    assert len(got) == len(rows)
+    for id, text, *_ in rows:
+        gone = id // 2 in (*sizes, 510)
+        assert got[id].text == (text.replace(shared[id // 2], "") if gone else text), id
+        assert got[id].n_chars == len(got[id].text)
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     docs = spark.createDataFrame([(1, "a b c", "en", "s", 5)], schema)

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import fixtures as f
@@ -86,3 +87,37 @@ def test_cut_characters_go_as_a_whole(spark):
 def test_short_length_is_refused(spark):
     with pytest.raises(ValueError):
         repeats.remove_repeats(f.documents(spark, ["a"]), length=20)
+
+
+def brute_passages(texts, length, size):
+    """What is left of each text without repeated strings and without passages of ``size`` words that stand twice."""
+    places = [[m.span() for m in re.finditer(r"[^ \t\n]+", t)] for t in texts]
+    split = [t.split() for t in texts]
+    seen = Counter(tuple(w[i : i + size]) for w in split for i in range(len(w) - size + 1))
+    strings = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    for t, at, w in zip(texts, places, split):
+        gone = [False] * len(t)
+        for i in range(len(w) - size + 1):
+            if seen[tuple(w[i : i + size])] > 1:
+                a, b = at[i][0], at[i + size - 1][1]
+                gone[a:b] = [True] * (b - a)
+        for i in range(len(t) - length + 1):
+            if strings[t[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        yield "".join(c for c, g in zip(t, gone) if not g)
+
+
+@pytest.mark.parametrize("most", [127, 3])
+def test_passages_by_words(spark, small_blocks, monkeypatch, most):
+    monkeypatch.setattr(blocks, "MOST", most)
+    pick = random.Random(6)
+    shared = [f.prose(200 + i, n) for i, n in enumerate((8, 10, 11, 12, 12, 13, 16, 25, 40))] + [" ".join("abcdefghijklmno")]
+    texts = ["a " * 40, "", "b"]
+    for i in range(60):
+        parts = [f.prose(i, pick.randint(0, 20))]
+        for _ in range(pick.randint(0, 3)):
+            parts += [pick.choice(shared).replace(" ", pick.choice([" ", " ", "  "])), f.prose(2000 + pick.randint(0, 9999), pick.randint(0, 12))]
+        texts.append(pick.choice([" ", "\n"]).join(parts))
+    got = {r.doc_id: r.text for r in repeats.with_repeats_removed(f.documents(spark, texts), length=150, words=12).collect()}
+    for i, left in enumerate(brute_passages(texts, 150, 12)):
+        assert got[i] == left, i
