@@ -8,8 +8,11 @@
    groups of candidates without any pair of a group being written out.
 4. Groups are cut into blocks of some hundred sets. A block links its members, and the hubs of
    their group, wherever the sketches allow it and the full sets confirm it; pairs that are
-   connected already are not looked at again. In a group of several blocks, members outside its
-   largest component are then held against every other block.
+   connected already are not looked at again.
+5. In groups of several blocks, members that share a band but are not connected yet are held
+   against each other: of each band those outside its largest component against all that have it,
+   first by size and sketch alone, in cells of some thousand, and a pair only where it shares its
+   first band. The sets of those that remain are fetched in blocks to confirm the links.
 
 A link is certain once confirmed. One at the threshold is missed with probability
 ``(1 - similarity ** rows) ** bands``, 5e-6 at 0.75, and a sketch that strays by five deviations.
@@ -38,6 +41,7 @@ from orebelt.session import stage
 BLOCK = 512
 MEMBERS_PER_TASK = 256
 ROWS_AT_ONCE = 4096
+CELL = 4096  # members of a band on each side of a cell
 
 
 class Sketching(NamedTuple):
@@ -152,6 +156,18 @@ def full_sets(members: DataFrame, p: Sketching) -> DataFrame:
     return members.mapInArrow(run, schema)
 
 
+def _sift(
+    odd: np.ndarray, size: np.ndarray, label: np.ndarray, left: np.ndarray, right: np.ndarray, p: Sketching
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair how far its sketches differ, and whether it may be a link between two labels."""
+    part, whole = p.similarity
+    differ = np.bitwise_count(odd[left][:, None] ^ odd[right][None]).sum(axis=2, dtype=np.int64)
+    small = np.minimum(size[left][:, None], size[right][None])
+    large = np.maximum(size[left][:, None], size[right][None])
+    good = (differ <= p.most_differing) & (whole * small >= part * large)
+    return differ, good & (label[left][:, None] != label[right][None])
+
+
 class Linker:
     """Confirms links between the sets of one block, least differing sketches first."""
 
@@ -180,15 +196,10 @@ class Linker:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        part, whole = self.p.similarity
         pairs = []
         for a in range(0, len(left), 64):
             own = left[a : a + 64]
-            differ = np.bitwise_count(self.odd[own][:, None] ^ self.odd[right][None]).sum(axis=2, dtype=np.int64)
-            small = np.minimum(self.size[own][:, None], self.size[right][None])
-            large = np.maximum(self.size[own][:, None], self.size[right][None])
-            good = (differ <= self.p.most_differing) & (whole * small >= part * large)
-            good &= label[own][:, None] != label[right][None]
+            differ, good = _sift(self.odd, self.size, label, own, right, self.p)
             i, j = np.nonzero(good)
             pairs.append(np.stack([differ[i, j], own[i], right[j]], axis=1))
         found = []
@@ -204,7 +215,7 @@ class Linker:
 def _link_blocks(rows: DataFrame, p: Sketching, *, residual: bool) -> DataFrame:
     """Links ``(u, v)`` within the blocks ``(comp, block)``, a task taking many small ones.
 
-    Otherwise (``residual``) rows marked ``minor`` are held against the others of their block, and
+    In ``residual`` blocks rows marked ``minor`` are held against the others of their block, and
     ``label`` has what is connected already.
     """
 
@@ -232,6 +243,75 @@ def _link_blocks(rows: DataFrame, p: Sketching, *, residual: bool) -> DataFrame:
     return rows.groupBy("task").applyInArrow(run, "u bigint, v bigint")
 
 
+def _residual_members(cells: DataFrame, p: Sketching) -> DataFrame:
+    """Members of the cells ``(comp, block)`` that may have a link there, in blocks of their own.
+
+    Rows marked ``minor`` are held against the others; of two that are both outside the largest
+    component (``lesser``), only the less against the greater.
+    """
+
+    @tidy
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("comp", "block", "minor", "node")])
+        comp, block, node, label, size, place = (
+            group[c].to_numpy() for c in ("comp", "block", "node", "label", "n", "place")
+        )
+        minor, lesser = (group[c].to_numpy(zero_copy_only=False) for c in ("minor", "lesser"))
+        odd = np.frombuffer(b"".join(group["odd"].to_pylist()), U).reshape(len(group), -1)
+        bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(len(group), -1)
+        cuts = np.flatnonzero((np.diff(comp) != 0) | (np.diff(block) != 0)) + 1
+        found = []
+        for at in np.split(np.arange(len(group)), cuts):
+            left, right = at[minor[at]], at[~minor[at]]
+            number = int(block[at[0]]) << 20
+            for a in range(0, len(left), BLOCK // 2):
+                own = left[a : a + BLOCK // 2]
+                good = np.zeros((len(own), len(right)), bool)
+                for b in range(0, len(own), 64):
+                    good[b : b + 64] = _sift(odd, size, label, own[b : b + 64], right, p)[1]
+                good &= ~lesser[right][None] | (node[own][:, None] < node[right][None])
+                for k in range(int(place[at[0]])):
+                    if not good.any():
+                        break
+                    good &= bands[own, k][:, None] != bands[right, k][None]
+                hit = np.flatnonzero(good.any(axis=0))
+                for b in range(0, len(hit), BLOCK // 2):
+                    some = hit[b : b + BLOCK // 2]
+                    found += [(i, number) for i in (own[good[:, some].any(axis=1)], right[some])]
+                    number += 1
+        rows = np.concatenate([i for i, _ in found]) if found else np.zeros(0, np.int64)
+        numbers = np.repeat([n for _, n in found], [len(i) for i, _ in found]).astype(np.int64)
+        return pa.table(
+            {"comp": comp[rows], "block": numbers, "node": node[rows], "label": label[rows], "minor": minor[rows]}
+        )
+
+    return cells.groupBy("task").applyInArrow(run, "comp bigint, block bigint, node bigint, label bigint, minor boolean")
+
+
+def _more_links(large: DataFrame, sets: DataFrame, p: Sketching) -> DataFrame:
+    """Links between the members ``large(node, label, n, odd, bands)`` that share a band and differ in label."""
+    keys = large.select("node", "label", F.posexplode("bands").alias("place", "comp"))
+    per = keys.groupBy("comp", "label").agg(F.count("*").alias("n"))
+    mixed = per.groupBy("comp").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"))
+    mixed = mixed.filter("n > top.n").select(
+        "comp",
+        F.col("top.label").alias("main"),
+        F.ceil((F.col("n") - F.col("top.n")) / CELL).alias("down"),
+        F.ceil(F.col("n") / CELL).alias("across"),
+    )
+    met = keys.join(mixed, "comp").withColumn("lesser", F.col("label") != F.col("main"))
+    row, column = F.pmod(F.xxhash64("node"), F.col("down")), F.pmod(F.xxhash64("node"), F.col("across"))
+    to = lambda size: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(size) - 1))
+    left = met.filter("lesser").withColumns({"minor": F.lit(True), "row": row, "column": to("across")})
+    right = met.withColumns({"minor": F.lit(False), "row": to("down"), "column": column})
+    cells = left.unionByName(right).withColumn("block", F.col("row") * F.col("across") + F.col("column"))
+    cells = stage(cells.select("comp", "block", "node", "place", "minor", "lesser"), "band-cells")
+    cells = _in_tasks(cells.join(large, "node"), cells.count())
+    found = stage(_residual_members(cells, p), "residual-members")
+    rows = _in_tasks(found.join(sets.select("node", "odd", "own"), "node"), found.count())
+    return stage(_link_blocks(rows, p, residual=True), "more-links")
+
+
 def _in_tasks(rows: DataFrame, count: int) -> DataFrame:
     return rows.withColumn("task", F.pmod(F.xxhash64("comp", "block"), F.lit(max(1, count // MEMBERS_PER_TASK))))
 
@@ -300,16 +380,9 @@ def near_duplicates(
     large = sets.filter("blocks > 1")
     if not large.isEmpty():
         label = connected_components(links).withColumnRenamed("component", "label")
-        large = large.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        large = stage(large, "large-groups")
-        per = large.groupBy("comp", "label").agg(F.count("*").alias("n"))
-        main = per.groupBy("comp").agg(F.max(F.struct("n", "label")).alias("top"))
-        large = large.join(main.select("comp", F.col("top.label").alias("main")), "comp")
-        minor = large.filter("label <> main").withColumns({"minor": F.lit(True), "block": every})
-        rest = large.withColumns({"minor": F.lit(False), "block": home})
-        left = minor.select(rest.columns).unionByName(rest)
-        more = _link_blocks(_in_tasks(left, count), p, residual=True)
-        links = links.unionByName(stage(more, "more-links"))
+        large = large.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        large = stage(large.join(reps.select("node", "n", "odd", "bands"), "node"), "large-groups")
+        links = links.unionByName(_more_links(large, sets, p))
 
     component = connected_components(links.unionByName(_same_id(prints, reps)))
     of_class = reps.select("s1", "s2", "n", "node").join(component, "node", "left")

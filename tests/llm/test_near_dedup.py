@@ -71,6 +71,27 @@ def test_large_groups_in_blocks(spark, monkeypatch):
     check(spark, [edited(pick, base, pick.randint(0, 7)) for _ in range(40)] + chain)
 
 
+def test_boilerplate_without_links(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 6)
+    monkeypatch.setattr(nd, "MEMBERS_PER_TASK", 8)
+    monkeypatch.setattr(nd, "CELL", 5)
+    held = []
+
+    def link_blocks(rows, p, *, residual):
+        if residual:
+            held.append(rows.count())
+        return whole(rows, p, residual=residual)
+
+    whole = nd._link_blocks
+    monkeypatch.setattr(nd, "_link_blocks", link_blocks)
+    passage = f.prose(1, 60)
+    texts = [f"{passage} {f.prose(100 + i, 40)}" for i in range(90)]
+    check(spark, texts)
+    (rows,) = held
+    assert rows < 4 * len(texts)
+    check(spark, texts + [texts[7] + " end", texts[60] + " end", "start " + texts[61]] + [f"{passage} {f.prose(300 + i, 9)}" for i in range(20)])
+
+
 def test_repeated_and_lost_ids(spark):
     one, two = f.prose(1, 30), f.prose(2, 30)
     docs = f.documents(spark, [(4, one), (4, one), (7, one), (7, two), (9, two), (None, one), (None, None)])
