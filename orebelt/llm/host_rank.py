@@ -2,7 +2,9 @@
 
 Hosts without a rule are judged by the link graph: personalised PageRank from the hosts that
 the rules allow follows the links, distrust from the hosts that they block runs against them, and
-a host that has gathered more distrust than trust is blocked. Built-in functions only.
+a host that has gathered more distrust than trust is blocked. Steps are made until no rank changes
+by more than ``TOLERANCE`` of itself, so that every host that a seed leads to is reached, and close
+verdicts are those of the PageRank. Built-in functions only.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is
 allowed; repeated rows and null ids are judged row by row; an empty table gives an empty result;
@@ -11,6 +13,7 @@ only the named columns are read, so further columns may have any name.
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -22,7 +25,10 @@ from orebelt.session import stage
 
 HREF = r"""(?i)\bhref\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]*)"""
 DAMPING = 0.85
-ITERATIONS = 10
+ITERATIONS = 10  # steps where their number is given, as in the SQL
+# A step that changes no rank by more than this share of it is the last. Ranks of a kind add up to 1
+# at most, so their summed change is below it, too, and no host is reached anew.
+TOLERANCE = 1e-6
 # A host is blocked when this share of what it has gathered is distrust, and more.
 DISTRUST_SHARE = 0.5
 
@@ -94,14 +100,18 @@ def propagate(
     seeds: DataFrame,
     *,
     damping: float = DAMPING,
-    iterations: int = ITERATIONS,
+    iterations: int | None = ITERATIONS,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(kind, host, rank)`` after ``iterations`` steps; hosts that nothing reaches are left out.
 
+    Without ``iterations``, after the first step that changes no rank by more than ``tolerance``
+    of it; later steps change none by more either.
+
     ``seeds`` has ``(kind, host, seed)`` with kind ``trust`` or ``distrust`` and the seeds of each
     kind adding up to 1. Trust is handed out evenly along the links of a host, distrust evenly to
     the hosts that link to it. Every step is written to the shared folder, so a lost executor
-    costs one step.
+    costs one step; what the driver sees of it is whether a rank has changed.
     """
     outward = links.select(F.lit("trust").alias("kind"), "src", "dst")
     inward = links.select(
@@ -113,14 +123,21 @@ def propagate(
     start = stage(seeds.select("kind", "host", F.col("seed").alias("rank")), "host-seeds")
     jump = start.withColumn("rank", F.col("rank") * (1 - damping))
     rank = start
-    for _ in range(iterations):
+    for _ in itertools.count() if iterations is None else range(iterations):
         handed = (
             rank.withColumnRenamed("host", "src")
             .join(ways, ["kind", "src"])
             .select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank"))
         )
-        summed = handed.unionByName(jump).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        rank = stage(summed, "host-rank")
+        new = handed.unionByName(jump).withColumn("old", F.lit(0.0))
+        old = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
+        summed = new.unionByName(old).groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("old").alias("old"))
+        step = stage(summed, "host-rank")
+        rank = step.select("kind", "host", "rank")
+        if iterations is None:
+            moved = F.abs(F.col("rank") - F.col("old")) > tolerance * F.col("rank")
+            if not step.agg(F.max(moved)).first()[0]:
+                break
     return rank
 
 
@@ -141,7 +158,7 @@ def judge_urls(
     url: str = "url",
     html: str = "html",
     damping: float = DAMPING,
-    iterations: int = ITERATIONS,
+    iterations: int | None = None,
     share: float = DISTRUST_SHARE,
 ) -> DataFrame:
     """``(id, host, path, rule, verdict)`` per row: the longest rule's verdict, else the graph's.

@@ -87,5 +87,24 @@ def test_propagation_against_brute_force(spark):
         assert r["rank"] == pytest.approx((trust if r.kind == "trust" else distrust)[r.host])
 
 
+def test_chain_of_more_than_ten_hosts(spark):
+    hosts = [f"h{i}.net" for i in range(14)]
+    rows = [(i, f"https://{h}/", link(after)) for i, (h, after) in enumerate(zip(hosts, hosts[1:] + ["bad.net"]))]
+    rows += [(90, "https://bad.net/", ""), (91, "https://else.net/", link("other.net"))]
+    got = {r.page_id: r.verdict for r in host_rank.judge_urls(pages(spark, rows), RULES).collect()}
+    assert got == {i: "block" for i in range(14)} | {90: "block", 91: "allow"}
+
+
+def test_ranks_are_those_of_the_page_rank(spark):
+    pairs = {("good.org", "a.net"), ("a.net", "b.net"), ("b.net", "good.org"), ("b.net", "bad.net"), ("bad.net", "a.net")}
+    trust, distrust = brute({"links": pairs, "trust": {"good.org": 1.0}, "distrust": {"bad.net": 1.0}}, 0.85, 300)
+    links = spark.createDataFrame(sorted(pairs), "src string, dst string")
+    seeds = spark.createDataFrame([("trust", "good.org", 1.0), ("distrust", "bad.net", 1.0)], "kind string, host string, seed double")
+    rank = host_rank.propagate(links, seeds, iterations=None).collect()
+    assert len(rank) == len(trust) + len(distrust)
+    for r in rank:
+        assert r["rank"] == pytest.approx((trust if r.kind == "trust" else distrust)[r.host], rel=1e-4)
+
+
 def test_empty_table(spark):
     assert host_rank.judge_urls(pages(spark, []).limit(0), RULES).count() == 0
