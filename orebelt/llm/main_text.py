@@ -94,8 +94,11 @@ class Page(NamedTuple):
     texts: list[tuple[int, str, bool]]
 
 
-def parse(html: str) -> Page:
-    """The block elements of a page and its text; scripts, styles, head and comments are left out."""
+def parse(html: str, *, built: bool = False) -> Page:
+    """The block elements of a page and its text; scripts, styles, head and comments are left out.
+
+    Only pages ``built`` for training have labels in their attributes.
+    """
     page = Page([-1], [TAG_OF["body"]], [[]], [0], [None], [])
     stack, here, link, at, end = [0], 0, False, 0, len(html)
     names = ["body"]
@@ -122,7 +125,7 @@ def parse(html: str) -> Page:
                     at = end
         elif name == "body":
             if not closing:
-                _attributes(page, 0, attributes)
+                _attributes(page, 0, attributes, built)
         elif name not in TAG_OF:
             page.markup[here] += 1
             if name in ("br", "hr"):
@@ -150,7 +153,7 @@ def parse(html: str) -> Page:
             page.markup.append(0)
             page.label.append(None)
             if attributes:
-                _attributes(page, node, attributes)
+                _attributes(page, node, attributes, built)
             stack.append(node)
             names.append(name)
             here, link = node, False
@@ -158,11 +161,12 @@ def parse(html: str) -> Page:
     return page
 
 
-def _attributes(page: Page, node: int, attributes: str) -> None:
+def _attributes(page: Page, node: int, attributes: str, built: bool) -> None:
     for name, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values)
         if name.lower() == "data-main":
-            page.label[node] = int(value)
+            if built:
+                page.label[node] = int(value)
         else:
             parts = {part.lower() for part in PART.findall(value)}
             page.tokens[node] += [TOKEN_OF[p] for p in parts if p in TOKEN_OF]
@@ -461,7 +465,7 @@ def train(pages: list[str], *, variants: int = VARIANTS, seed: int = 7) -> Trees
                 labels.append(own)
     builder = _Builder([entities.unescape(t) for t in texts], seed)
     for _ in range(variants * max(len(pages), SAMPLE_PAGES // 2)):
-        page = parse(builder.page())
+        page = parse(builder.page(), built=True)
         rows.append(features(page))
         labels.append(labelled(page))
     return boost(np.concatenate(rows), np.concatenate(labels).astype(float))

@@ -73,6 +73,18 @@ def test_odd_pages(spark, trees):
     assert [r.text for r in got if r.page_id == 1 and r.text] == [r.text for r in got if r.page_id == 1 and r.text]
 
 
+@pytest.mark.parametrize("value", ['="app"', '="true"', '=""', "=app", "='0'", '="1"', ""])
+def test_label_of_training_pages_elsewhere(spark, trees, value):
+    page = "<body{0}><nav><a href=/>home</a></nav><div{0} class='post-content'><h2>Head line</h2>" + BODY + "</div></body>"
+    df = f.table(spark, [(1, "u", page.format(f" data-main{value}"))], "page_id bigint, url string, html string")
+    assert [r.text for r in m.main_text(df, trees=trees).collect()] == [text(page.format(""), trees)]
+
+
+def test_training_on_pages_with_a_label_of_their_own():
+    pages = [f"<body data-main='app'><article data-main='x'>{f.prose(i, 40)}</article></body>" for i in range(3)]
+    assert m.train(pages)
+
+
 def test_table_without_pages(spark):
     df = f.table(spark, [(1, "u", None)], "page_id bigint, url string, html string")
     assert m.main_text(df).collect()[0].text == ""
