@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import host_rank, sql, warc
+from orebelt.llm import host_rank, mix, sql, warc
 from orebelt.llm.decontaminate import find_leaks
+from orebelt.llm.filter_audit import audit_filters
 from orebelt.llm.fingerprint import edit_and_compare
 from orebelt.llm.host_rank import Rule
 from orebelt.llm.main_text import main_text
@@ -81,6 +82,16 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix.mix_sources(table(spark, sf_dir, "documents"))
+    taken = mix.words_taken(F.col("size"), F.col("passes"), F.col("spans"))
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprint": op1_fingerprint,
     "op2_ngram_lm": op2_ngram_lm,
@@ -92,9 +103,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_pieces": op10_pieces,
+    "op12_mix": op12_mix,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_host_rank": sql.host_rank(RULES),
     "op4_warc": sql.WARC,
+    "op12_mix": sql.mix(mix.WEIGHTS, mix.MOST, mix.BLOCK_WORDS, mix.SHARD_WORDS, mix.SHARD_ROWS, mix.SEED),
+    "op13_filter_audit": sql.FILTER_AUDIT,
 }
