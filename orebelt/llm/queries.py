@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orebelt.llm import host_rank, mix, sql, warc
+from orebelt.llm import collocations, host_rank, mix, sql, warc
 from orebelt.llm.decontaminate import find_leaks
 from orebelt.llm.filter_audit import audit_filters
 from orebelt.llm.fingerprint import edit_and_compare
@@ -82,6 +82,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix.mix_sources(table(spark, sf_dir, "documents"))
     taken = mix.words_taken(F.col("size"), F.col("passes"), F.col("spans"))
@@ -103,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_pieces": op10_pieces,
+    "op11_collocations": op11_collocations,
     "op12_mix": op12_mix,
     "op13_filter_audit": op13_filter_audit,
 }
@@ -110,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_host_rank": sql.host_rank(RULES),
     "op4_warc": sql.WARC,
+    "op11_collocations": sql.collocations(collocations.LEAST, collocations.TOP),
     "op12_mix": sql.mix(mix.WEIGHTS, mix.MOST, mix.BLOCK_WORDS, mix.SHARD_WORDS, mix.SHARD_ROWS, mix.SEED),
     "op13_filter_audit": sql.FILTER_AUDIT,
 }

@@ -177,3 +177,40 @@ SELECT part, name AS filter_order, step::INT AS step, kept::BIGINT AS kept, remo
   toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
 FROM sums
 """
+
+
+def collocations(least: int, top: int) -> str:
+    """All phrases of up to three words are counted."""
+    return f"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), pieces AS (SELECT lang, unnest(regexp_extract_all(text, '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM docs),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS p FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+), f AS (SELECT lang, p, size, count(*) AS a FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+candidates AS (SELECT *, string_split(p, ' ') AS w FROM f WHERE size > 1 AND a >= {least}),
+longer AS (
+  SELECT lang, p, max(a) AS longer FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS p, a FROM candidates WHERE size = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM candidates WHERE size = 3
+  ) GROUP BY lang, p
+), parts AS (
+  SELECT lang, p, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS second
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), cuts AS (
+  SELECT c.lang, c.p, c.a, k, l.a AS l, r.a AS r, (1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM parts c JOIN f l ON l.lang = c.lang AND l.p = c.first JOIN f r ON r.lang = c.lang AND r.p = c.second
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), ranked AS (
+  SELECT lang, p AS phrase, a, l, r, score FROM weakest LEFT JOIN longer USING (lang, p)
+  WHERE longer IS NULL OR 100 * longer < 50 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN n USING (lang) QUALIFY rank <= {top}
+"""
