@@ -24,7 +24,6 @@ empty table gives an empty result. Only the named columns are read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from fractions import Fraction
 
@@ -151,17 +150,16 @@ def mix_sources(
     at = F.pmod("number", F.lit(len(weights))).cast("int") + 1
     sources = stage(sources.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), at)), "mix-sources")
     shards = F.ceil(F.greatest(F.col("source_size") / SHARD_WORDS, F.col("rows") / SHARD_ROWS))
-    sources = stage(with_targets(sources, share=share, most=most).withColumn("shards", shards), "mix-targets")
+    sources = with_targets(sources, share=share, most=most).withColumns({"shards": shards, "group": F.lit(0)})
+    sources = stage(sources, "mix-targets")
 
-    total = sources.agg(F.sum("target")).first()[0] or 0.0
-    seats = sources.sparkSession.range(1).select(
-        F.lit(0).alias("group"), F.lit(math.floor(total / block_words + 0.5)).alias("seats")
-    )
-    votes = sources.select(F.lit(0).alias("group"), F.col("number").alias("part"), F.col("target").alias("votes"))
+    # A stored column, so that the one group is a key like those of the shards.
+    seats = sources.groupBy("group").agg(F.floor(F.sum("target") / block_words + 0.5).alias("seats"))
+    votes = sources.select("group", F.col("number").alias("part"), F.col("target").alias("votes"))
     quotas = apportion(votes, seats).select(F.col("part").alias("group"), F.col("quota").alias("seats"))
     quotas = stage(quotas, "source-quotas")
 
-    found = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
+    found = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"], "group")
     draw = _drawn(seed, "id", "size")
     found = found.withColumns({"draw": draw, "shard": F.pmod(_number(draw), F.col("shards"))})
     words = found.filter("size > 0")
