@@ -99,22 +99,38 @@ def read_audit(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-RUN = "run_id string, after bigint, upto bigint"
+LOAD = "_load"
+RUN = "run_id string, after bigint, upto bigint, load bigint"
 
 
-def run_window(spark: SparkSession, location: str, run_id: str, newest: int | None) -> tuple[int | None, int | None]:
-    """The load times ``(after, upto]``, in microseconds, of the rows that a run accounts for.
+def _runs(spark: SparkSession, location: str) -> DataFrame | None:
+    return spark.read.schema(RUN).json(location) if path_exists(spark, location) else None
+
+
+def _note(spark: SparkSession, location: str, **values: str | int | None) -> None:
+    kinds = dict(field.split() for field in RUN.split(", "))
+    literal_rows(spark, [tuple(map(values.get, kinds))], kinds).write.mode("append").json(location)
+
+
+def begin_load(spark: SparkSession, location: str) -> int:
+    """The number of a load that begins, one more than that of the last; noted before it takes any row in."""
+    runs = _runs(spark, location)
+    last = None if runs is None else runs.agg(F.max("load")).first()[0]
+    load = 1 if last is None else last + 1
+    _note(spark, location, load=load)
+    return load
+
+
+def run_window(spark: SparkSession, location: str, run_id: str, load: int) -> tuple[int, int]:
+    """The loads ``(after, upto]`` that a run accounts for; ``load`` is the one that it has made.
 
     A run starts where the last other one that has been filed ended, so what a failed run took in is
     counted by its retry or by the next one. A run that is filed again keeps its start, and its end
-    too if another has followed. ``newest`` is the latest load time that is stored.
+    too if another has followed. Numbers of loads tell the order, no clock.
     """
-    if not path_exists(spark, location):
-        return None, newest
     mine = F.col("run_id") == run_id
     row = (
-        spark.read.schema(RUN)
-        .json(location)
+        _runs(spark, location)
         .agg(
             F.count_if(mine).alias("filed"),
             F.min(F.when(mine, F.col("after"))).alias("after"),
@@ -124,21 +140,17 @@ def run_window(spark: SparkSession, location: str, run_id: str, newest: int | No
         .first()
     )
     if not row.filed:
-        return row.others, newest
-    followed = row.others is not None and row.upto is not None and row.others > row.upto
-    return row.after, row.upto if followed else newest
+        return row.others or 0, load
+    followed = row.others is not None and row.others > row.upto
+    return row.after, row.upto if followed else load
 
 
-def file_run(spark: SparkSession, location: str, run_id: str, after: int | None, upto: int | None) -> None:
-    """Remember the window of a run whose counts have been filed."""
-    literal_rows(spark, [(run_id, after, upto)], {"run_id": "string", "after": "bigint", "upto": "bigint"}).write.mode(
-        "append"
-    ).json(location)
+def file_run(spark: SparkSession, location: str, run_id: str, after: int, upto: int) -> None:
+    """Remember the loads of a run whose counts have been filed."""
+    _note(spark, location, run_id=run_id, after=after, upto=upto)
 
 
-def loaded_between(df: DataFrame, time_column: str, after: int | None, upto: int | None) -> DataFrame:
-    """Rows with a load time in ``(after, upto]``; a missing bound is open."""
-    time = F.col(time_column)
-    if after is not None:
-        df = df.filter(time > F.timestamp_micros(F.lit(after)))
-    return df if upto is None else df.filter(time <= F.timestamp_micros(F.lit(upto)))
+def loaded_between(df: DataFrame, after: int, upto: int) -> DataFrame:
+    """Rows of the loads ``(after, upto]``; rows without a load are those from before the first."""
+    load = F.col(LOAD)
+    return df.filter((load > after) & (load <= upto) if after else (load <= upto) | load.isNull())

@@ -28,17 +28,21 @@ from orebelt.operators.joins import enrich_by_year
 from orebelt.operators.mirror import extract_links, mirror, refuse_empty
 from orebelt.operators.payload import wrap_envelope
 from orebelt.operators.quality import (
+    LOAD,
     append_audit,
+    begin_load,
     dq_report,
     expect_or_drop,
     file_run,
     loaded_between,
+    observe_rules,
+    observed_report,
     run_window,
 )
 from orebelt.operators.ranking import arg_max_per_group
 from orebelt.sinks.tables import annotate, materialize, register_files
-from orebelt.sources.files import infer_raw_schema, latest_file, read_json_documents
-from orebelt.streaming.ingest import Run, append_stream, read_files_stream, read_table_stream
+from orebelt.sources.files import latest_file, read_json_documents
+from orebelt.streaming.ingest import Run, append_stream, load_files, read_table_stream
 
 # Rules, columns and the range of years of the datasets.
 OBSERVATION_RULES = {"valid_year": "year IS NOT NULL", "valid_value": "value IS NOT NULL"}
@@ -70,17 +74,21 @@ def bronze_observations(
     schema: T.StructType | None = None,
     table: str | None = None,
     max_files: int | None = None,
+    load: int | None = None,
 ) -> Run:
     """Append the landed text files that no earlier run has seen, as strings with lineage.
 
-    Without a schema it is inferred from all headers and remembered next to the checkpoint.
+    Without a schema it is inferred from all headers and remembered next to the checkpoint. ``load`` is a
+    number that the rows carry as ``_load``, see ``begin_load``.
     """
-    if schema is None:
-        schema = infer_raw_schema(spark, landing, glob=glob, remember=f"{checkpoint}_schema")
-    raw = read_files_stream(
-        spark, landing, schema, glob=glob, max_files=max_files, metadata=True
+
+    def lineage(raw: DataFrame) -> DataFrame:
+        rows = with_lineage(raw)
+        return rows if load is None else rows.withColumn(LOAD, F.lit(load).cast("bigint"))
+
+    return load_files(
+        spark, landing, target, checkpoint, schema=schema, glob=glob, max_files=max_files, table=table, transform=lineage
     )
-    return append_stream(with_lineage(raw), target, checkpoint, table=table)
 
 
 def bronze_population(
@@ -133,7 +141,7 @@ def sync_landing(
 
 def typed_observations(bronze: DataFrame) -> DataFrame:
     """Trimmed and typed, before any rule; columns beyond the known ones are left out."""
-    lineage = [c for c in ("_source_file", "_ingestion_time") if c in bronze.columns]
+    lineage = [c for c in ("_source_file", "_ingestion_time", LOAD) if c in bronze.columns]
     known = bronze.select(*RAW_OBSERVATION.names, *lineage)
     trimmed = trim_strings(known, "series_id", "period", "footnote_codes")
     return cast_columns(trimmed, {"year": "smallint", "value": "double"})
@@ -259,10 +267,13 @@ def refresh(
     The observation tables only take in what has newly landed; everything else is recomputed
     from the stored tables. ``store`` is a shared folder for table files and checkpoints, and
     ``namespace`` a prefix for the table names; use the same two on every run. A column that comes up
-    in a later file is added to the bronze table, NULL in earlier rows. With a ``run_id`` the rule
-    counts of the run go to ``store/audit``. Those of the observations are counted over the stored
-    bronze rows that the run has loaded, known by their load time, so a run that is repeated, or
-    fails before it has filed them, loses none.
+    in a later file is added to the bronze table, NULL in earlier rows.
+
+    Every call is a load with a number of its own, which its observations carry. All that reads the observations
+    after they have been stored, audit and gold, reads those up to this load, so it agrees with itself
+    whatever is appended meanwhile. With a ``run_id`` the rule counts of the run go to ``store/audit``: of
+    the observations they are counted as these pass. Only where a load before broke off, or the run is repeated,
+    they are counted again over the stored rows of the loads that the run accounts for.
     """
     described = {d.name: d for d in DATASETS}
     tables = {name: f"{namespace}_{name}" for name in described}
@@ -273,6 +284,8 @@ def refresh(
             df, tables[name], d.comment, {"quality": d.quality}, path=f"{store}/{name}", **layout
         )
 
+    runs = f"{store}/_progress/runs"
+    load = begin_load(spark, runs)
     bronze = bronze_observations(
         spark,
         landing,
@@ -280,26 +293,29 @@ def refresh(
         f"{store}/_progress/bronze_observations",
         glob=glob,
         max_files=max_files,
+        load=load,
     )
     register_files(spark, tables["bronze_observations"], f"{store}/bronze_observations", bronze.schema)
     snapshot = keep("bronze_population", bronze_population(spark, snapshots, population_schema))
     population = keep("silver_population", silver_population(snapshot))
 
     incoming = typed_observations(read_table_stream(spark, tables["bronze_observations"]))
-    append_stream(
-        expect_or_drop(incoming, OBSERVATION_RULES),
+    passing = append_stream(
+        expect_or_drop(observe_rules(incoming, "rules", OBSERVATION_RULES), OBSERVATION_RULES),
         f"{store}/silver_observations",
         f"{store}/_progress/silver_observations",
         table=tables["silver_observations"],
     )
-    observations = spark.read.table(tables["silver_observations"])
+    observations = loaded_between(spark.read.table(tables["silver_observations"]), 0, load)
     if run_id is not None:
-        audit, runs = f"{store}/audit", f"{store}/_progress/runs"
-        raw = spark.read.table(tables["bronze_observations"])
-        newest = raw.agg(F.max(F.unix_micros("_ingestion_time"))).first()[0]
-        after, upto = run_window(spark, runs, run_id, newest)
-        taken_in = typed_observations(loaded_between(raw, "_ingestion_time", after, upto))
-        append_audit(dq_report(taken_in, OBSERVATION_RULES), audit, run_id, "silver_observations")
+        audit = f"{store}/audit"
+        after, upto = run_window(spark, runs, run_id, load)
+        if (after, upto) == (load - 1, load):
+            report = observed_report(spark, passing.observed, "rules", OBSERVATION_RULES)
+        else:
+            raw = spark.read.table(tables["bronze_observations"])
+            report = dq_report(typed_observations(loaded_between(raw, after, upto)), OBSERVATION_RULES)
+        append_audit(report, audit, run_id, "silver_observations")
         file_run(spark, runs, run_id, after, upto)
         recomputed = dq_report(typed_population(snapshot), POPULATION_RULES)
         append_audit(recomputed, audit, run_id, "silver_population")

@@ -1,5 +1,6 @@
 from orebelt.sources.files import (
     file_inventory,
+    file_layouts,
     infer_raw_schema,
     inventory_by_folder,
     latest_file,
@@ -10,6 +11,7 @@ from orebelt.sources.files import (
 
 __all__ = [
     "file_inventory",
+    "file_layouts",
     "infer_raw_schema",
     "inventory_by_folder",
     "latest_file",

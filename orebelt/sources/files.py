@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +17,14 @@ from pyspark.sql.streaming import DataStreamReader
 
 from orebelt.functions.columns import clean_column_names, quoted
 from orebelt.functions.text import thousands
-from orebelt.session import list_folder, literal_rows, stage
+from orebelt.session import list_folder, literal_rows, path_exists
 
 ENTRY_NAME = r"([^/]+)/?$"
 REMEMBERED = {"version": "int", "place": "int", "name": "string"}
 
 
+UNKNOWN_LAYOUT = "a file has landed whose header is not known yet"
+
 # A separator and a quote that no text has: every line is then one column.
 WHOLE_LINES = {"sep": "\u0001", "quote": "", "header": "false"}
 
@@ -26,22 +33,86 @@ def _selected(glob: str | None, encoding: str) -> dict[str, str]:
     return {"encoding": encoding} | ({"pathGlobFilter": glob} if glob else {})
 
 
-def file_headers(spark: SparkSession, path: str, *, glob: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """``(file, header, modified)``: the first line of every file, from one distributed pass.
+LOGGED = "file string, header string, modified bigint"
+HEAD_BYTES = 1 << 13
+HEADS_AT_ONCE = 16
+LONGEST_HEADER = 16 << 20
+
+
+@dataclass(frozen=True)
+class Layouts:
+    """Which header each file has, and the distinct headers in the order in which they came up."""
 
-    Only the first split of each file is read. Lines never leave their task: the first one of a file is
-    found there, by a key that sorts as a number.
+    files: DataFrame
+    headers: list[str]
+
+
+def first_line(spark: SparkSession, file: str, encoding: str = "UTF-8") -> str | None:
+    """The first line of a file that is not blank, from as many bytes as that takes; compressed ones are unpacked."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    stream = place.getFileSystem(conf).open(place)
+    try:
+        source = stream if codec is None else codec.createInputStream(stream)
+        decode, text, ended = codecs.getincrementaldecoder(encoding)(), "", False
+        while not ended:
+            block = bytes(source.readNBytes(HEAD_BYTES))
+            ended = len(block) < HEAD_BYTES
+            text += decode.decode(block, ended)
+            lines = re.split(r"\r\n|\r|\n", text.removeprefix("\ufeff"))
+            # The last line may go on in the next block.
+            for line in lines if ended else lines[:-1]:
+                if line.strip():
+                    return line
+            if len(text) > LONGEST_HEADER:
+                raise ValueError(f"no line ends within the first {LONGEST_HEADER} characters of {file}")
+        return None
+    finally:
+        stream.close()
+
+
+def file_layouts(
+    spark: SparkSession, path: str, *, glob: str | None = None, encoding: str = "UTF-8", log: str | None = None
+) -> Layouts:
+    """The headers of the files at ``path``; a file is opened once, and only at its head.
+
+    ``log`` is a folder that keeps what is known of files between calls, for one ``path`` and ``glob``: the listing is
+    held against it, and only files that it lacks are opened. Listing and heads take no task that reads
+    text; the driver opens some files at a time, as it does to list them, and sees paths of new files only.
+    A file is known by its path.
     """
-    lines = spark.read.options(**WHOLE_LINES, **_selected(glob, encoding)).schema("line string").csv(path)
-    file, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
-    placed = lines.filter("_metadata.file_block_start = 0").select(
-        F.xxhash64(file).alias("key"),
-        F.struct(
-            F.monotonically_increasing_id().alias("place"), F.col("line").alias("header"), file.alias("file"), modified.alias("modified")
-        ).alias("line"),
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    listed = reader.load(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.unix_micros("_metadata.file_modification_time").alias("modified"),
+    )
+    logged = log is not None and path_exists(spark, log)
+    if logged:
+        listed = listed.join(spark.read.schema(LOGGED).parquet(log).select("file"), "file", "left_anti")
+    new = sorted((row.modified, row.file) for row in listed.collect())
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        heads = list(pool.map(lambda entry: first_line(spark, entry[1], encoding), new))
+    if log is None:
+        return Layouts(_layout_rows(spark, new, heads), list(dict.fromkeys(h for h in heads if h is not None)))
+    if new or not logged:
+        _layout_rows(spark, new, heads).coalesce(1).write.mode("append").parquet(log)
+    files = spark.read.schema(LOGGED).parquet(log)
+    return Layouts(files, distinct_headers(files))
+
+
+def _layout_rows(spark: SparkSession, entries: list[tuple[int, str]], headers: list[str | None]) -> DataFrame:
+    table = pa.table(
+        [
+            pa.array([file for _, file in entries], pa.string()),
+            pa.array(headers, pa.string()),
+            pa.array([modified for modified, _ in entries], pa.int64()),
+        ],
+        names=["file", "header", "modified"],
     )
-    first = placed.groupBy("key").agg(F.min("line").alias("line"))
-    return first.select("line.file", "line.header", "line.modified")
+    return spark.createDataFrame(table)
 
 
 def header_names(header: str, sep: str) -> list[str]:
@@ -52,9 +123,9 @@ def header_names(header: str, sep: str) -> list[str]:
     return names
 
 
-def distinct_headers(headers: DataFrame) -> list[str]:
+def distinct_headers(files: DataFrame) -> list[str]:
     """The distinct header lines, in the order in which they came up; as many as there are layouts."""
-    first = headers.groupBy("header").agg(F.min(F.struct("modified", "file")).alias("first"))
+    first = files.filter("header IS NOT NULL").groupBy("header").agg(F.min(F.struct("modified", "file")).alias("first"))
     return [row.header for row in first.orderBy("first").collect()]
 
 
@@ -68,17 +139,18 @@ def read_by_name(
     glob: str | None,
     encoding: str,
     metadata: bool = False,
+    layouts: Layouts | None = None,
 ) -> DataFrame:
     """The columns of ``schema`` (default: all there are), looked up by name in each file's header.
 
     A column that a file doesn't have is NULL in its rows. As long as all files have the same header,
-    they are read as they are, and a file with another one that lands meanwhile is an error. Otherwise
+    they are read as they are, and a file with another one that ``layouts`` does not know is an error. Otherwise
     lines are read, joined to the header of their file, and taken apart by the layout that it gives;
     the file's hidden ``_metadata`` column gets lost in the join, unless ``metadata`` makes it a visible
     one, which ``with_lineage`` takes away again.
     """
-    headers = stage(file_headers(spark, path, glob=glob, encoding=encoding), "headers")
-    layouts = distinct_headers(headers)
+    known = layouts or file_layouts(spark, path, glob=glob, encoding=encoding)
+    layouts = known.headers
     found = list(dict.fromkeys(name for header in layouts for name in header_names(header, sep)))
     names = schema.names if schema is not None else found
     text = lambda columns: T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -95,9 +167,9 @@ def read_by_name(
     lines = reader.options(**WHOLE_LINES, **_selected(glob, encoding)).schema("line string").csv(path)
     more = [c for c in lines.columns if c != "line"]
     lines = lines.select("line", *map(quoted, more), "_metadata", F.col("_metadata.file_path").alias("_file"))
-    of_file = headers.select(F.col("file").alias("_file"), F.col("header").alias("_header")).distinct()
+    of_file = known.files.select(F.col("file").alias("_file"), F.col("header").alias("_header")).distinct()
     joined = lines.join(of_file, "_file", "left").filter(~F.col("line").eqNullSafe(F.col("_header")))
-    unknown = F.raise_error(F.concat(F.lit("a file has landed whose header is not known yet: "), F.col("_file")))
+    unknown = F.raise_error(F.concat(F.lit(f"{UNKNOWN_LAYOUT}: "), F.col("_file")))
     parsed = F.when(F.col("_header").isNull(), unknown.cast(text(names)))
     for header in layouts:
         own = header_names(header, sep)
@@ -116,15 +188,17 @@ def read_delimited(
     glob: str | None = None,
     encoding: str = "UTF-8",
     metadata: bool = False,
+    layouts: Layouts | None = None,
 ) -> DataFrame:
     """Text files with a header row, all columns as strings, padding kept, names stripped.
 
     ``glob`` selects files by base name. Columns are matched by name; without a schema they are
     those of all headers. A file without a column gives NULL for it. ``metadata=True`` where
-    ``with_lineage`` follows and files may differ in layout.
+    ``with_lineage`` follows and files may differ in layout. ``layouts`` saves looking at the files, see
+    ``file_layouts``.
     """
     return read_by_name(
-        spark.read, spark, path, schema, sep=sep, glob=glob, encoding=encoding, metadata=metadata
+        spark.read, spark, path, schema, sep=sep, glob=glob, encoding=encoding, metadata=metadata, layouts=layouts
     )
 
 
@@ -136,13 +210,17 @@ def infer_raw_schema(
     glob: str | None = None,
     encoding: str = "UTF-8",
     remember: str | None = None,
+    layouts: Layouts | None = None,
 ) -> T.StructType:
     """All-string schema from the headers of all files, names stripped, in order of appearance.
 
     ``remember`` is a folder that keeps the schema between runs, as a stream needs one: columns
-    known from earlier runs keep their place and new ones are added at the end.
+    known from earlier runs keep their place and new ones are added at the end. It also keeps the log
+    of ``file_layouts``, so that a run opens only files that are new.
     """
-    layouts = distinct_headers(file_headers(spark, path, glob=glob, encoding=encoding))
+    log = None if remember is None else layout_log(remember)
+    found = layouts or file_layouts(spark, path, glob=glob, encoding=encoding, log=log)
+    layouts = found.headers
     if not layouts:
         raise FileNotFoundError(f"no file to infer a schema from: {path} (glob {glob})")
     version, known = remembered_columns(spark, remember) if remember else (0, [])
@@ -153,6 +231,11 @@ def infer_raw_schema(
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
+def layout_log(remember: str) -> str:
+    """Where the files known to a remembered schema are logged; Spark does not read it as part of the schema."""
+    return f"{remember}/_files"
+
+
 def remembered_columns(spark: SparkSession, location: str) -> tuple[int, list[str]]:
     """Version and column names kept by ``infer_raw_schema``; ``(0, [])`` before the first run.
 

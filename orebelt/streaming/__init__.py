@@ -1,5 +1,6 @@
 from orebelt.streaming.ingest import (
     append_stream,
+    load_files,
     read_appended,
     read_files_stream,
     read_table_stream,
@@ -8,6 +9,7 @@ from orebelt.streaming.ingest import (
 
 __all__ = [
     "append_stream",
+    "load_files",
     "read_appended",
     "read_files_stream",
     "read_table_stream",

@@ -228,3 +228,57 @@ def test_audit_survives_retries(spark, tmp_path, monkeypatch):
     assert audit(spark, tmp_path) == both
     landed_refresh(spark, tmp_path, "retried", run_id="run-1")
     assert audit(spark, tmp_path) == both
+
+
+def test_the_audit_needs_no_clock_and_no_second_look(spark, tmp_path, monkeypatch):
+    """Load times that go back, or are all the same, change nothing; stored rows are counted only after a failure."""
+    write_snapshot(tmp_path / "snapshots" / "census_1.json", RECORDS)
+    looked = []
+    counted = products.dq_report
+    monkeypatch.setattr(products, "dq_report", lambda df, rules: looked.append(rules) or counted(df, rules))
+    lineage = products.with_lineage
+    for run, (day, own) in enumerate([("2030-01-02", ROWS[:3]), ("2020-01-01", ROWS[3:8]), ("2020-01-01", ROWS[8:])], 1):
+        stamped = lambda raw, day=day: lineage(raw).withColumn("_ingestion_time", F.lit(day).cast("timestamp"))
+        monkeypatch.setattr(products, "with_lineage", stamped)
+        write_padded(tmp_path / "landing" / f"batch={run}" / "a.csv", own)
+        landed_refresh(spark, tmp_path, "clockless", run_id=f"run-{run}")
+    assert {k: v for k, v in audit(spark, tmp_path).items() if k[1] == "valid_value"} == {
+        ("run-1", "valid_value"): (3, 0),
+        ("run-2", "valid_value"): (4, 1),
+        ("run-3", "valid_value"): (3, 1),
+    }
+    assert products.OBSERVATION_RULES not in looked
+
+
+def test_rows_of_a_load_that_broke_off_are_counted_by_the_next_run(spark, tmp_path, monkeypatch):
+    write_snapshot(tmp_path / "snapshots" / "census_1.json", RECORDS)
+    write_padded(tmp_path / "landing" / "batch=1" / "a.csv", ROWS[:7])
+    with monkeypatch.context() as broken:  # bronze is stored, silver is not
+        broken.setattr(products, "read_table_stream", lambda *a: (_ for _ in ()).throw(RuntimeError("gone")))
+        with pytest.raises(RuntimeError, match="gone"):
+            landed_refresh(spark, tmp_path, "broken_off", run_id="run-1")
+    write_padded(tmp_path / "landing" / "batch=2" / "b.csv", ROWS[7:])
+    landed_refresh(spark, tmp_path, "broken_off", run_id="run-2")
+    assert audit(spark, tmp_path) == {("run-2", "valid_year"): (11, 1), ("run-2", "valid_value"): (10, 2)}
+
+
+def test_all_products_of_a_refresh_see_the_same_load(spark, tmp_path, monkeypatch):
+    """Rows that another refresh appends in between are in none of them."""
+    write_snapshot(tmp_path / "snapshots" / "census_1.json", RECORDS)
+    write_padded(tmp_path / "landing" / "batch=1" / "a.csv", [("A", "2013", "Q01", "1.0", "")])
+    filed = products.append_audit
+
+    def and_append(report, target, run_id, dataset):
+        filed(report, target, run_id, dataset)
+        if run_id == "run-1" and dataset == "silver_population":  # after the first has been filed
+            write_padded(tmp_path / "landing" / "batch=2" / "b.csv", [("A", "2014", "Q01", "9.0", "")] * 3)
+            landed_refresh(spark, tmp_path, "pinned", run_id="run-2")
+
+    with monkeypatch.context() as between:
+        between.setattr(products, "append_audit", and_append)
+        tables = landed_refresh(spark, tmp_path, "pinned", run_id="run-1")
+    assert spark.read.table(tables["silver_observations"]).count() == 4
+    counts = audit(spark, tmp_path)
+    assert (counts["run-1", "valid_year"], counts["run-2", "valid_year"]) == ((1, 0), (3, 0))
+    assert rows(spark.read.table(tables["gold_best_year"])) == [("A", 2013, 1.0)]
+    assert rows(spark.read.table(tables["gold_population_series"])) == [("A", 2013, "Q01", 1.0, 10)]
