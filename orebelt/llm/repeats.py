@@ -21,9 +21,9 @@ counted; a passage in which each of them occurs again is then counted itself.
 Blocks of texts ask for counts (see ``blocks``), hence the texts are shuffled once, and no group
 grows with the number of copies. Keys have 96 bits.
 
-Defined cases: a null text is empty; a text below ``length`` bytes loses nothing; repeated rows are
-copies of each other; null ids are kept; an empty table gives an empty result. Only the named
-columns are read.
+Defined cases: a null text is empty; a text below ``length`` bytes, or of fewer words than a passage, loses
+nothing; a very long text is parsed as a whole; repeated rows are copies of each other, and of equal strings
+(ties) all go; null ids are kept; an empty table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -47,6 +47,7 @@ LENGTH = 400
 TRIGGER_BYTES = 16
 PHRASE_BYTES = 40
 RANGE_BYTES = 8 << 20  # text bytes per key range
+COUNTS = ["n_bytes", "n_removed", "n_spans", "n_passage_bytes", "n_passages"]
 ANCHOR_WORDS = 6  # one in so many places of a text is an anchor
 
 _one, _two = Rolling(31), Rolling(33)
@@ -305,25 +306,45 @@ def _messages(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, k) for c, k in zip(columns, KINDS)], names=NAMES)
 
 
+def _covered(mask: np.ndarray) -> tuple[int, int]:
+    """How many bytes are marked, and in how many runs."""
+    runs = int(np.count_nonzero(mask[1:] & ~mask[:-1])) + int(len(mask) > 0 and mask[0])
+    return int(np.count_nonzero(mask)), runs
+
+
 def _replies(table: pa.Table, kind: int) -> dict[int, bytes]:
     found = table.select(["range", "kind", "payload"]).to_pylist()
     return {r["range"]: r["payload"] for r in found if r["kind"] == kind}
 
 
 def remove_repeats(
-    docs: DataFrame, *, id: str = "doc_id", text: str = "text", length: int = LENGTH, words: int | None = None
+    docs: DataFrame,
+    *,
+    id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    words: int | None = None,
+    keep_passages: bool = False,
 ) -> DataFrame:
-    """``(id, n_bytes, n_removed, n_spans, kept)``: per row the bytes that are left of its text.
+    """``(id, n_bytes, n_removed, n_spans, kept, n_passage_bytes, n_passages)``: per row what is left of its text.
 
     Every byte goes that a string of ``length`` bytes covers which also starts anywhere else, in
     the same text or another, as the texts were given; none spans two texts. With ``words``, so do
-    the passages of that many words that stand anywhere else, too.
+    the passages of that many words that stand anywhere else, too; ``keep_passages`` leaves them in place.
+    Their bytes, and the runs that they make up, are counted either way.
     """
-    return _cut(docs, id, text, length, words, []).drop("text").withColumnRenamed("id", id)
+    found = _cut(docs, id, text, length, words, [], keep_passages).withColumnRenamed("id", id)
+    return found.select(id, *COUNTS[:3], "kept", *COUNTS[3:])
 
 
 def _cut(
-    docs: DataFrame, id: str, text: str, length: int, words: int | None, carry: Sequence[str]
+    docs: DataFrame,
+    id: str,
+    text: str,
+    length: int,
+    words: int | None,
+    carry: Sequence[str],
+    keep_passages: bool = False,
 ) -> DataFrame:
     """The same with the whole characters of what is left, and more columns as ``carried_0`` and so on."""
     if length < 5 * TRIGGER_BYTES:
@@ -408,10 +429,10 @@ def _cut(
         hot = Keys.join([k for s in settled for k in s.next_keys(length)])
         again, _ = blocks.counts(blocks.distinct(hot), _replies(replies, 3))
         slot = at = 0
-        sizes, removed, spans, kept = [], [], [], []
+        counts, kept = [], []
         for chunk, p, (whole, _, _, lone, *_), e, rest, q, wanted in settled:
             n = len(chunk.data)
-            step = np.zeros(n + 1, np.int32)
+            step, inside = np.zeros(n + 1, np.int32), np.zeros(n + 1, np.int32)
             twice = whole >= 2
             np.add.at(step, p.first[twice], 1)
             np.add.at(step, p.last[twice] + length, -1)
@@ -422,29 +443,29 @@ def _cut(
             if q:
                 shared = wanted[again[at : at + len(wanted)] >= 2]
                 at += len(wanted)
-                np.add.at(step, q.start[shared], 1)
-                np.add.at(step, q.end[shared + q.size - 1], -1)
+                np.add.at(inside, q.start[shared], 1)
+                np.add.at(inside, q.end[shared + q.size - 1], -1)
             singles += [e.trigger[i] - matched[slot + i] for i in np.flatnonzero(~far).tolist() if slot + i in matched]
             slot += len(far)
             start = np.concatenate(singles).astype(np.int64)
             np.add.at(step, start, 1)
             np.add.at(step, start + length, -1)
-            gone = np.cumsum(step[:n]) > 0
+            gone, shared = np.cumsum(step[:n]) > 0, np.cumsum(inside[:n]) > 0
+            if not keep_passages:
+                gone |= shared
             for a, b in zip(chunk.starts, chunk.starts[1:]):
                 mask = gone[a:b]
-                sizes.append(int(b - a))
-                removed.append(int(np.count_nonzero(mask)))
-                spans.append(int(np.count_nonzero(mask[1:] & ~mask[:-1])) + int(len(mask) > 0 and mask[0]))
-                kept.append(chunk.data[a:b][~mask].tobytes() if removed[-1] else chunk.data[a:b].tobytes())
+                counts.append((int(b - a), *_covered(mask), *_covered(shared[a:b])))
+                kept.append(chunk.data[a:b][~mask].tobytes() if counts[-1][1] else chunk.data[a:b].tobytes())
         return pa.table(
             [
                 group["id"],
                 *(group[a] for a in along),
-                *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
+                *(pa.array([c[i] for c in counts], pa.int64()) for i in range(len(COUNTS))),
                 pa.array(kept, pa.binary()),
                 pa.array([k.decode(errors="ignore") for k in kept], pa.string()),
             ],
-            names=["id", *along, "n_bytes", "n_removed", "n_spans", "kept", "text"],
+            names=["id", *along, *COUNTS, "kept", "text"],
         )
 
     by_block = dealt.groupBy("block")
@@ -453,7 +474,7 @@ def _cut(
     matched = edges.groupBy("range").applyInArrow(match_edges, MESSAGE)
     replies = counted.unionByName(matched)
     schema = StructType([docs.schema["id"], *(docs.schema[a] for a in along)])
-    for name in ("n_bytes", "n_removed", "n_spans"):
+    for name in COUNTS:
         schema = schema.add(name, "long")
     return by_block.cogroup(replies.groupBy("block")).applyInArrow(
         cut, schema.add("kept", "binary").add("text", "string")

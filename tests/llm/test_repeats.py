@@ -121,3 +121,18 @@ def test_passages_by_words(spark, small_blocks, monkeypatch, most):
     got = {r.doc_id: r.text for r in repeats.with_repeats_removed(f.documents(spark, texts), length=150, words=12).collect()}
     for i, left in enumerate(brute_passages(texts, 150, 12)):
         assert got[i] == left, i
+
+
+def test_passages_are_told_and_left_in_place(spark, small_blocks):
+    shared = [f.prose(300 + i, n) for i, n in enumerate((11, 12, 12, 14, 30))]
+    texts = [" ".join([f.prose(i, 5), shared[i % 5], f.prose(100 + i, 7), shared[i % 3], f.prose(200 + i, i % 4)]) for i in range(15)]
+    texts += ["", None, "a " * 30, f.prose(400, 100_000)]
+    found = repeats.remove_repeats(f.documents(spark, texts), length=120, words=12, keep_passages=True)
+    got = {r.doc_id: r for r in found.collect()}
+    plain = [t or "" for t in texts]
+    for i, expected in enumerate(brute(texts[:-1], 120)):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, bytes(got[i].kept)) == expected, i
+    for i, left in enumerate(brute_passages(plain[:-1], 1 << 30, 12)):
+        assert got[i].n_passage_bytes == len(plain[i]) - len(left), i
+        assert (got[i].n_passages > 0) == (got[i].n_passage_bytes > 0)
+    assert got[len(texts) - 1].n_passage_bytes == 0
