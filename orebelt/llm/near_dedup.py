@@ -379,10 +379,12 @@ def near_duplicates(
 
     large = sets.filter("blocks > 1")
     if not large.isEmpty():
-        label = connected_components(links).withColumnRenamed("component", "label")
+        label = stage(connected_components(links).withColumnRenamed("component", "label"), "labels")
         large = large.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         large = stage(large.join(reps.select("node", "n", "odd", "bands"), "node"), "large-groups")
-        links = links.unionByName(_more_links(large, sets, p))
+        # What is connected already goes on as stars around the labels.
+        known = label.select(F.col("node").alias("u"), F.col("label").alias("v"))
+        links = known.unionByName(_more_links(large, sets, p))
 
     component = connected_components(links.unionByName(_same_id(prints, reps)))
     of_class = reps.select("s1", "s2", "n", "node").join(component, "node", "left")
