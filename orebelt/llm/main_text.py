@@ -10,11 +10,12 @@ the result; blocks follow each other in page order.
 The trees are trained on a bounded sample of pages (``SAMPLE_PAGES``): on the pages themselves, labelled
 by their semantic elements, and on pages built anew from their text, in which the article and menus,
 headers, footers, sidebars, notices, adverts, forms and comments come in many elements, attributes and
-places. What training takes does not depend on the number of pages; extraction runs where they are read.
+places, or the article stands there without any element of its own. What training takes does not depend on the number of pages; extraction runs where they are read.
 
 Defined cases: null and empty pages give an empty text; markup that is cut off or not closed is read as
-far as it goes; text without any element is one block; equal pages give equal texts, null ids and URLs are
-kept; an empty table gives an empty result. Only the named columns are read.
+far as it goes; text without any element is one block; a very long page is read as a whole; equal pages give
+equal texts, of equally probable choices (ties) the one that drops is taken; null ids and URLs are kept, and
+repeated rows stay; an empty table gives an empty result, without training. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 160
 VARIANTS = 18
+PLAIN_PAGES = 0.25  # share of the pages built for training whose article has no element of its own
 TREES, DEPTH, RATE, LEAST_HESSIAN = 160, 6, 0.2, 1.0
 # Each tree is grown on some of the rows and features.
 ROWS_PER_TREE, FEATURES_PER_TREE = 16_000, 96
@@ -436,8 +438,31 @@ class _Builder:
                 parts.insert(len(parts) if last else r.randint(0, len(parts)), self.unwanted(kind))
         return self.element("article article main section div div", "content article post entry story body text main", "".join(parts), 1, 0.25)
 
+    def plain(self) -> str:
+        """An article in elements that say nothing: paragraphs of the page itself, or divs in divs."""
+        r, most = self.random, self.random.choice([6, 25, 120])
+        form = r.random()
+        if form < 0.45:
+            head = [f'<h{r.randint(1, 2)} data-main="1">{self.words(1, 9)}</h1>'] if r.random() < 0.6 else []
+            return "".join(head + [f'<p data-main="1">{self.words(1, most)}</p>' for _ in range(r.randint(1, 8))])
+        if form < 0.6:
+            tag = r.choice(["p", "p", "pre", "blockquote", "div"])
+            return f'<{tag} data-main="1">{self.words(1, most)}</{tag}>'
+        tags = r.choice([["div"], ["div"], ["div", "section"], ["center", "div"], ["p"]])
+        inner = "".join(f"<{t}>{self.words(1, most)}</{t}>" for t in r.choices(tags, k=r.randint(1, 8)))
+        if r.random() < 0.4:
+            inner = f"<h1>{self.words(1, 9)}</h1>" + inner
+        for _ in range(r.randint(0, 7)):
+            inner = f"<div>{inner}</div>"
+        return f'<div data-main="1">{inner}</div>'
+
     def page(self) -> str:
-        r, body = self.random, self.article()
+        r = self.random
+        if r.random() < PLAIN_PAGES:
+            before = [self.unwanted(k) for k in ("header", "menu", "notice") if r.random() < 0.25]
+            last = [self.unwanted(k) for k in ("sidebar", "advert", "comments", "footer") if r.random() < 0.2]
+            return "<html><body>" + "".join([*before, self.plain(), *last]) + "</body></html>"
+        body = self.article()
         after = [self.unwanted("comments")] if r.random() < 0.4 else []
         beside = [self.unwanted("sidebar")] if r.random() < 0.5 else []
         inner = beside + [body, *after] if r.random() < 0.5 else [body, *after, *beside]
@@ -526,13 +551,16 @@ def extract(pages: list[str], trees: Trees) -> list[str]:
     return texts
 
 
-def fit(pages: DataFrame, *, html: str = "html", sample: int = SAMPLE_PAGES) -> Trees:
-    """Train on ``sample`` pages at most, picked by a hash of the page.
+def fit(pages: DataFrame, *, html: str = "html", sample: int = SAMPLE_PAGES) -> Trees | None:
+    """Train on ``sample`` pages at most, picked by a hash of the page; nothing to train on gives none.
 
     The least hashes are wanted; a share of the hashes that holds about twice as many goes to the driver.
     """
     own = pages.select(F.col(html).alias("html")).filter("html is not null and html <> ''")
-    share = min(1.0, 2 * sample / max(1, own.count()))
+    count = own.count()
+    if not count:
+        return None
+    share = min(1.0, 2 * sample / count)
     own = own.withColumn("h", F.pmod(F.xxhash64("html"), F.lit(1 << 40))).filter(F.col("h") < int(share * (1 << 40)))
     rows = sorted(own.collect(), key=lambda row: row.h)
     return train([row.html for row in rows[:sample]])
@@ -549,6 +577,8 @@ def main_text(
     """``(id, url, text)`` per row; without ``trees`` they are trained on a sample of the pages."""
     trees = fit(pages, html=html) if trees is None else trees
     own = pages.select(F.col(id).cast("bigint").alias("id"), F.col(url).alias("url"), F.col(html).alias("html"))
+    if trees is None:  # no page has any text
+        return own.select(F.col("id").alias(id), F.col("url").alias(url), F.lit("").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
