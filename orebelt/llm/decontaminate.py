@@ -16,11 +16,13 @@ A found item is confirmed if the passage has enough of the word 3-grams of its q
 thirds of the item, and of its answer, the rest.
 
 The items go to the tasks as numpy arrays. They are cut into slices of ``SLICE_BYTES`` of text and by
-length, and every slice is searched for in turn, so no broadcast is larger, whatever the benchmark.
+length, and every slice is searched for in turn, so no broadcast is larger, whatever the benchmark. What
+BM25 knows of the items is counted over all of them first, so scores are the same however they are cut.
 
-Defined cases: null or empty texts and items have no words and no hits; equal items are all found;
-rows that repeat are each searched; null ids are kept; an empty benchmark finds nothing. Only the named
-columns are read.
+Defined cases: null or empty texts and items have no words and no hits; a very long text is searched window
+by window; equal items are all found, and of passages that do equally well (ties) the first is told;
+rows that repeat are each searched; null ids are kept; an empty table, or benchmark, finds nothing. Only the
+named columns are read.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orebelt.llm.text import Chunk, Rolling, U, chunks, constants, expand, lower, mix, runs, tidy
+from orebelt.session import stage
 
 SLICE_BYTES = 8 << 20
 SHORT_ITEM = 64  # words up to which items share a window size
@@ -88,10 +91,23 @@ class Postings(NamedTuple):
         return owner, self.of[at], self.weight[at]
 
 
+class Statistics(NamedTuple):
+    """What BM25 has to know of all items, for the terms of some of them."""
+
+    items: int
+    mean: float  # words of an item
+    stride: int  # words of the longest item of like lengths
+    terms: np.ndarray  # in order
+    df: np.ndarray
+
+    def of(self, terms: np.ndarray) -> np.ndarray:
+        return self.df[np.searchsorted(self.terms, terms)]
+
+
 class Index:
-    """Inverted index of a slice of items."""
+    """Inverted index of a slice of items; without ``corpus`` the slice is all there is."""
 
-    def __init__(self, ids: list, texts: list[str], retrieved: float):
+    def __init__(self, ids: list, texts: list[str], retrieved: float, corpus: Statistics | None = None):
         column = pa.array(texts, pa.string())
         words = [np.zeros(0, U)] * len(texts)
         for chunk in chunks(column):
@@ -99,14 +115,16 @@ class Index:
             for i, (a, b) in enumerate(zip(found.bounds, found.bounds[1:])):
                 words[chunk.first + i] = found.hash[a:b]
         self.ids, self.words = ids, words
-        self.stride = max(len(w) for w in words)
+        self.stride = corpus.stride if corpus else max(len(w) for w in words)
         size = np.array([len(w) for w in words], float)
         per = [np.unique(w, return_counts=True) for w in words]
         item = np.repeat(np.arange(len(words)), [len(h) for h, _ in per])
         self.terms, term, df = np.unique(np.concatenate([h for h, _ in per]), return_inverse=True, return_counts=True)
         tf = np.concatenate([c for _, c in per])
-        idf = np.log1p((len(words) - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / size.mean()))
+        count, mean = (corpus.items, corpus.mean) if corpus else (len(words), size.mean())
+        df = corpus.of(self.terms) if corpus else df
+        idf = np.log1p((count - df + 0.5) / (df + 0.5))
+        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[item] / mean))
         own = np.bincount(item, weight, len(words))
         self.bound = own * retrieved
         # Items with like bounds share a block, so that the least of them skips much.
@@ -114,7 +132,7 @@ class Index:
         rank[np.argsort(self.bound, kind="stable")] = np.arange(len(words))
         self.block = rank // BLOCK_ITEMS
         self.blocks = int(self.block.max()) + 1
-        self.frequent = df > max(1, FREQUENT * len(words))
+        self.frequent = df > max(1, FREQUENT * count)
         self.postings = self._postings(term, item, weight, len(self.terms))
         rare = ~self.frequent[term]
         best, slot = np.unique(term[rare] * self.blocks + self.block[item[rare]], return_inverse=True)
@@ -238,23 +256,73 @@ def hits(index: Index, column: pa.Array, confirmed: float) -> Iterator[Hit]:
         yield from best.values()
 
 
+ITEM_TERM = "length int, part bigint, term bigint, items int, words bigint"
+
+
+@tidy
+def _item_terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct term of an item; the first one stands for the item and has its number of words."""
+    for batch in batches:
+        for chunk in chunks(batch["text"]):
+            found = terms(chunk)
+            size = np.diff(found.bounds)
+            own = [np.unique(found.hash[a:b]) for a, b in zip(found.bounds, found.bounds[1:])]
+            count = np.array([len(t) for t in own], np.int64)
+            item = np.repeat(np.arange(len(own)), count)
+            first = np.zeros(len(item), bool)
+            first[(np.cumsum(count) - count)[count > 0]] = True
+            at = pa.array(item + chunk.first)
+            term = np.concatenate(own) if own else np.zeros(0, U)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["length"].take(at),
+                    batch["part"].take(at),
+                    pa.array(term.view(np.int64)),
+                    pa.array(first.astype(np.int32)),
+                    pa.array(np.where(first, size[item], 0)),
+                ],
+                names=[part.split()[0] for part in ITEM_TERM.split(", ")],
+            )
+
+
 def indexes(
     items: DataFrame, *, id: str = "item_id", text: str = "text", retrieved: float = RETRIEVED
 ) -> Iterator[Index]:
-    """Indexes of the items, each of some megabytes of text at most and of like lengths."""
+    """Indexes of the items, each of some megabytes of text at most and of like lengths.
+
+    Document frequencies, the number of items and their mean length are those of all items, and windows
+    those of all items of like lengths, so a score does not depend on how the items are cut. The driver
+    holds one slice, and what is known of its terms, at a time.
+    """
     rows = items.select(F.col(id).cast("bigint").alias("id"), F.col(text).alias("text")).filter("text is not null")
     size = F.octet_length("text")
     # A word has a byte and a separator at least.
-    rows = rows.withColumn("length", F.greatest(F.lit(0), F.ceil(F.log2(size / (12.0 * SHORT_ITEM)))).cast("int"))
+    length = F.greatest(F.lit(0), F.ceil(F.log2(size / (12.0 * SHORT_ITEM)))).cast("int")
+    rows = rows.withColumn("length", F.coalesce(length, F.lit(0)))
     per = rows.groupBy("length").agg(F.sum(size.cast("bigint")).alias("bytes")).collect()
-    for length, total in sorted((r.length or 0, r.bytes) for r in per):
-        parts = max(1, math.ceil(total / SLICE_BYTES))
-        own = rows.filter(F.coalesce("length", F.lit(0)) == length).withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(parts)))
-        for part in range(parts):
-            slice_ = own.filter(F.col("part") == part).orderBy("id", "text").collect()
-            slice_ = [r for r in slice_ if len(terms(next(chunks(pa.array([r.text])))).hash)]
-            if slice_:
-                yield Index([r.id for r in slice_], [r.text for r in slice_], retrieved)
+    parts = {r.length: max(1, math.ceil(r.bytes / SLICE_BYTES)) for r in sorted(per)}
+    if not parts:
+        return
+    of_length = F.element_at(F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]), F.col("length"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id", "text"), of_length))
+    found = stage(rows.select("length", "part", "text").mapInArrow(_item_terms, ITEM_TERM), "item-terms")
+    counts = stage(found.groupBy("term").agg(F.sum(F.lit(1)).alias("df")), "term-counts")
+    longest = found.groupBy("length").agg(F.sum("items").alias("items"), F.sum("words").alias("words"), F.max("words").alias("longest"))
+    about = {r.length: r for r in longest.collect()}
+    count = sum(r["items"] for r in about.values())
+    for length in sorted(about):
+        for part in range(parts[length]):
+            here = (F.col("length") == length) & (F.col("part") == part)
+            own = rows.filter(here).select("id", "text").orderBy("id", "text").collect()
+            own = [r for r in own if len(terms(next(chunks(pa.array([r.text])))).hash)]
+            if not own:
+                continue
+            known = found.filter(here).select("term").distinct().join(counts, "term").toArrow()
+            term, df = known["term"].to_numpy().view(U), known["df"].to_numpy()
+            order = np.argsort(term)
+            mean = sum(r["words"] for r in about.values()) / count
+            corpus = Statistics(count, mean, about[length]["longest"], term[order], df[order])
+            yield Index([r.id for r in own], [r.text for r in own], retrieved, corpus)
 
 
 LEAK = (

@@ -106,3 +106,19 @@ def test_odd_rows(spark):
     assert d.find_leaks(docs, items_of(spark, []).limit(0)).count() == 0
     assert d.find_leaks(docs.limit(0), items_of(spark, ITEMS)).count() == 0
     assert d.drop_leaking(docs.limit(0), items_of(spark, ITEMS)).count() == 0
+
+
+def test_scores_do_not_depend_on_slices(spark, monkeypatch):
+    items = items_of(spark, ITEMS + [f.prose(5000, 700), f.prose(5001, 900), ITEMS[3], None, "", "..."])
+    texts = [sentence(700 + i, 20) + " " + ITEMS[i] + " " + f.prose(i, 30) for i in range(30)]
+    docs = f.documents(spark, [*texts, f.prose(5000, 700), f.prose(1, 100_000) + ITEMS[2]])
+
+    def found():
+        leaks = d.find_leaks(docs, items).select("doc_id", "item_id", "score", "share", "start_byte", "end_byte")
+        return sorted(map(tuple, leaks.collect()))
+
+    whole = found()
+    assert len(whole) >= 32
+    for size in (4000, 900, 100):
+        monkeypatch.setattr(d, "SLICE_BYTES", size)
+        assert found() == whole
