@@ -2,13 +2,15 @@
 
 ``write_archives`` writes one record per row through the text sink: a WARC record is text, and the
 two line ends that close it are the sink's separator. The files are whole-file gzip members.
+No archive has more than ``ARCHIVE_BYTES`` of records, but for one record that is larger by itself.
 ``read_runs`` reads the archives back, one capture run per file, sorted by URL key and time.
-``merge_runs`` cuts the runs at common bounds and merges the k pieces of each range with a loser
-tree, which gives capture histories in one global order.
+``merge_runs`` cuts the runs at common bounds, and the pieces at further ones of their own, and merges the
+k pieces of each range with a loser tree, which gives capture histories in one global order.
 
 Defined cases: a null payload is empty, a null URL is written empty, null ids stay null (such a row
 is a response only where its payload has no row with an id), rows with equal ids and payloads are
-the same capture and share their record type, an empty table gives no archive and no rows. Line
+the same capture and share their record type; captures of equal key, time, id and type (ties) are in order of their
+archive and place; a very long payload is a record like others; an empty table gives no archive and no rows. Line
 ends in a URL are removed from its header. Only the named columns are read.
 """
 
@@ -32,9 +34,12 @@ VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 FIRST_CAPTURE = 1_577_836_800  # 2020-01-01, where the table has no capture time
-RECORDS_PER_FILE = 10_000
+ARCHIVE_BYTES = 256 << 20
+HEAD_BYTES = 4096  # of a record besides its payload, more than it ever takes but for its URL
+RECORD_CLASSES = (1 << 16, 1 << 20, 1 << 24)  # bytes of a record up to which so many as fit share an archive
 ENTRIES_PER_RANGE = 50_000
 SAMPLED_KEYS_PER_RANGE = 32
+FIRST_RANGES = 512  # into so many the driver cuts at most; further cuts are made where the pieces are
 
 ENTRY = (
     "urlkey string, captured string, record_id bigint, record_type string, refers_to bigint, "
@@ -125,16 +130,28 @@ def write_archives(
 ) -> None:
     """Write one record per row of ``pages`` to gzipped archives in the new folder ``path``.
 
-    ``captured`` is the capture time; without one it is derived from the id, a second for each.
+    ``captured`` is the capture time; without one it is derived from the id, a second for each. Records of
+    like sizes share archives, as many as fit into ``ARCHIVE_BYTES`` by the largest size of their class.
     """
     records = capture_records(pages, id=id, url=url, html=html, revisit_bytes=revisit_bytes)
     if captured is None:
         seconds = F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce("id", F.lit(0)), F.lit(1_000_000_000))
         captured = F.timestamp_seconds(seconds)
     block, text = record_text(captured)
-    records.withColumn("block", block).select(text.alias("record")).write.options(
-        compression="gzip", lineSep=END, maxRecordsPerFile=RECORDS_PER_FILE
-    ).text(path)
+    records = records.withColumn("block", block)
+    size = F.octet_length(F.col(html)).cast("bigint") + F.coalesce(F.octet_length(F.col(url)), F.lit(0))
+    largest = (pages.agg(F.max(F.coalesce(size, F.lit(0)))).first()[0] or 0) + HEAD_BYTES
+    of_record = F.col("payload_bytes") + F.coalesce(F.octet_length("url"), F.lit(0)) + HEAD_BYTES
+    low = -1
+    for most in (*RECORD_CLASSES, None):
+        own = of_record > low if most is None else (of_record > low) & (of_record <= most)
+        count = 1 if most is None else max(1, ARCHIVE_BYTES // most)
+        records.filter(own).select(text.alias("record")).write.mode("append").options(
+            compression="gzip", lineSep=END, maxRecordsPerFile=count
+        ).text(path)
+        if most is not None and largest <= most:
+            break
+        low = most
 
 
 # Reading
@@ -268,41 +285,61 @@ def loser_tree(runs: Sequence[Sequence], order=_order) -> Iterator[tuple[int, ob
         winner = replay(winner)
 
 
-def merge_runs(runs: DataFrame, *, entries_per_range: int = ENTRIES_PER_RANGE) -> DataFrame:
+def _bounds(keys: list[tuple], parts: int) -> list[tuple]:
+    return sorted({keys[len(keys) * i // parts] for i in range(1, parts)}) if keys else []
+
+
+def _cut(rows: list[dict], bounds: list[tuple]) -> list[tuple[int, list[dict]]]:
+    """The pieces of a sorted run between the bounds that it has entries in."""
+    keys = [_order([r[n] for n in NAMES])[:3] for r in rows]
+    ends = [bisect_left(keys, b) for b in bounds] + [len(rows)]
+    return [(i, rows[a:b]) for i, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+KEY = "struct<urlkey: string, captured: string, record_id: bigint>"
+
+
+def merge_runs(
+    runs: DataFrame, *, entries_per_range: int = ENTRIES_PER_RANGE, first_ranges: int = FIRST_RANGES
+) -> DataFrame:
     """The captures of all runs in one order: ``(range, position, archive)`` and the entry.
 
-    Bounds come from a sample of keys whose size depends on the number of ranges alone. They are
-    cut by URL key, time and id, so a URL with very many captures spans several ranges. Each range
-    is merged by one task; ranges follow each other in order.
+    Bounds are cut by URL key, time and id, so a URL with very many captures spans several ranges. The
+    driver takes a sample of keys, whose size is bounded, for ``first_ranges`` at most. Where that makes
+    ranges of more than ``entries_per_range``, each has a sample of its own, put in order by a task, and its pieces
+    meet their bounds in a join. Each range is merged by one task; ranges follow each other in order.
     """
     runs = stage(runs, "capture-runs")
     total = runs.agg(F.sum(F.size("entries"))).first()[0] or 0
-    ranges = max(1, math.ceil(total / entries_per_range))
+    wanted = max(1, math.ceil(total / entries_per_range))
+    ranges = min(wanted, first_ranges)
     key = F.struct("urlkey", "captured", F.coalesce("record_id", F.lit(-1)).alias("record_id"))
-    share = min(1.0, ranges * SAMPLED_KEYS_PER_RANGE / max(1, total))
-    picked = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) < int(share * (1 << 40))
-    entries = runs.select(F.inline("entries")).select(key.alias("key"))
-    sample = entries.filter(picked).collect() if ranges > 1 else []
-    keys = sorted({tuple(row.key) for row in sample})
-    bounds = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+
+    def sampled(entries: DataFrame, count: int) -> DataFrame:
+        share = min(1.0, count * SAMPLED_KEYS_PER_RANGE / max(1, total))
+        return entries.filter(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(share * (1 << 40)))
+
+    sample = sampled(runs.select(F.inline("entries")), ranges).select(key.alias("key")).collect() if ranges > 1 else []
+    bounds = _bounds(sorted({tuple(row.key) for row in sample}), ranges)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for run, entries in zip(batch["run"].to_pylist(), batch["entries"]):
-                rows = entries.as_py()
-                keys = [_order([r[n] for n in NAMES])[:3] for r in rows]
-                ends = [bisect_left(keys, b) for b in bounds] + [len(rows)]
-                parts = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
-                if parts:
+                if parts := _cut(entries.as_py(), bounds):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([i for i, _, _ in parts], pa.int64()),
+                            pa.array([i << 32 for i, _ in parts], pa.int64()),
                             pa.array([run] * len(parts)),
-                            pa.array([rows[a:b] for _, a, b in parts], entries_type()),
+                            pa.array([rows for _, rows in parts], entries_type()),
                         ],
                         names=["range", "run", "entries"],
                     )
 
+    schema = runs.schema["entries"].simpleString().partition(":")[2]
+    pieces = runs.mapInArrow(cut, f"range bigint, run string, entries {schema}")
+    if wanted > ranges:
+        pieces = _cut_again(stage(pieces, "capture-pieces"), sampled, wanted, entries_per_range, schema, key)
+
     def merge(group: pa.Table) -> pa.Table:
         pieces = sorted(group.to_pylist(), key=lambda r: r["run"])
         merged = loser_tree([[tuple(e[n] for n in NAMES) for e in p["entries"]] for p in pieces])
@@ -319,9 +356,37 @@ def merge_runs(runs: DataFrame, *, entries_per_range: int = ENTRIES_PER_RANGE) -
             names=["range", "position", "archive", *NAMES],
         )
 
-    schema = runs.schema["entries"].simpleString().partition(":")[2]
-    return (
-        runs.mapInArrow(cut, f"range bigint, run string, entries {schema}")
-        .groupBy("range")
-        .applyInArrow(merge, f"range bigint, position bigint, archive string, {ENTRY}")
-    )
+    return pieces.groupBy("range").applyInArrow(merge, f"range bigint, position bigint, archive string, {ENTRY}")
+
+
+def _cut_again(pieces: DataFrame, sampled, wanted: int, entries_per_range: int, schema: str, key: Column) -> DataFrame:
+    """Pieces of large ranges cut at bounds of their own; the driver sees none of them."""
+    sizes = pieces.groupBy("range").agg(F.sum(F.size("entries")).alias("size"))
+    keys = sampled(pieces.select("range", F.inline("entries")), wanted).select("range", key.alias("key"))
+
+    def bounds(group: pa.Table, rest: pa.Table) -> pa.Table:
+        parts = math.ceil(rest["size"][0].as_py() / entries_per_range)
+        found = sorted({(k["urlkey"], k["captured"], k["record_id"]) for k in group["key"].to_pylist()})
+        names = ("urlkey", "captured", "record_id")
+        rows = [dict(zip(names, b)) for b in _bounds(found, parts)]
+        kind = pa.list_(pa.struct([("urlkey", pa.string()), ("captured", pa.string()), ("record_id", pa.int64())]))
+        return pa.table([rest["range"].slice(0, 1), pa.array([rows], kind)], names=["range", "bounds"])
+
+    own = keys.groupBy("range").cogroup(sizes.groupBy("range")).applyInArrow(bounds, f"range bigint, bounds array<{KEY}>")
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, run, entries, own in zip(*(batch[c] for c in ("range", "run", "entries", "bounds"))):
+                at = [(b["urlkey"], b["captured"], b["record_id"]) for b in own.as_py()]
+                parts = _cut(entries.as_py(), at)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([first.as_py() + i for i, _ in parts], pa.int64()),
+                        pa.array([run.as_py()] * len(parts)),
+                        pa.array([rows for _, rows in parts], entries_type()),
+                    ],
+                    names=["range", "run", "entries"],
+                )
+
+    met = pieces.join(stage(own, "capture-bounds"), "range").select("range", "run", "entries", "bounds")
+    return met.mapInArrow(cut, f"range bigint, run string, entries {schema}")

@@ -91,3 +91,31 @@ def test_loser_tree():
 def test_url_key():
     assert warc.url_key("https://www.Example.org/a?b#c") == "org,example,www)/a?b"
     assert warc.url_key("http://example.org") == "org,example)/"
+
+
+def test_two_levels_of_bounds(spark):
+    rows = [(i, f"https://h{i * 37 % 11}.org/{i * 13 % 40}", f"text {i % 60}") for i in range(400)] + [(i, "https://hot.org/", "x") for i in range(400, 700)]
+    folder = new_scratch(spark, "archives")
+    warc.write_archives(pages(spark, rows).repartition(6), folder)
+    whole = warc.merge_runs(warc.read_runs(spark, folder)).drop("range", "position").collect()
+    for first in (1, 3, 50):
+        got = warc.merge_runs(warc.read_runs(spark, folder), entries_per_range=20, first_ranges=first).collect()
+        got.sort(key=lambda r: (r.range, r.position))
+        assert len({r.range for r in got}) >= 15
+        assert max(r.position for r in got) < 20 * 6
+        order = [(r.urlkey, r.captured, r.record_id) for r in got]
+        assert order == sorted((r.urlkey, r.captured, r.record_id) for r in whole) and len(got) == 700
+
+
+def test_archives_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 60_000)
+    monkeypatch.setattr(warc, "RECORD_CLASSES", (6_000, 12_000, 30_000))
+    sizes = [10] * 50 + [7_000] * 12 + [20_000] * 5 + [100_000] * 2
+    rows = [(i, f"https://a.org/{i}", chr(97 + i % 26) * size) for i, size in enumerate(sizes)]
+    folder = new_scratch(spark, "archives")
+    warc.write_archives(pages(spark, rows).coalesce(1), folder)
+    archives = [len(gzip.decompress(p.read_bytes())) for p in Path(folder).glob("*.gz")]
+    assert sorted(archives)[:-2] and all(a <= 60_000 for a in sorted(archives)[:-2])
+    assert min(sorted(archives)[-2:]) > 100_000  # one record each
+    got = warc.merge_runs(warc.read_runs(spark, folder)).collect()
+    assert sorted(r.record_id for r in got) == list(range(len(sizes)))
