@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orebelt.functions.columns import quoted
+from orebelt.session import stage
 
 BROADCAST_BYTES = 32 << 20
+SALT = "_salt"
+FINE = 16  # many small shares of a key even out where a few would meet in a task
 
 
 FIXED_WIDTH = (
@@ -89,7 +92,8 @@ def enrich_by_year(
     The observations are never shuffled for a dimension that fits into a broadcast. With
     ``unique=True`` and a one- or two-byte year that is certain without looking: at most 65,536
     fixed-width rows. Otherwise the size is measured first and ``limit`` decides; the rows are the
-    same either way.
+    same either way. A year that holds many of the rows is split by adaptive execution, or, where that is
+    off, by ``spread_hot_keys``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -110,8 +114,40 @@ def enrich_by_year(
             side = side.filter(F.col(key).between(low, high))
         side = one_row_per_key(side, key, attributes)
     bounded = unique and small_key and fixed
-    side = F.broadcast(side) if bounded else broadcast_if_small(side, limit)
-    return observations.join(side, observations[year] == side[key], how).drop(key)
+    small = F.broadcast(side) if bounded else broadcast_if_small(side, limit)
+    if small is side and not observations.isStreaming and not _splits_joins(observations.sparkSession):
+        columns = [F.col(quoted(c)) for c in (*observations.columns, *attributes)]
+        spread, shares = spread_hot_keys(observations, side, year, key)
+        met = [spread[year] == shares[key], spread[SALT] == shares[f"{SALT}_of_{key}"]]
+        return spread.join(shares, met, how).select(*columns)
+    return observations.join(small, observations[year] == small[key], how).drop(key)
+
+
+def _splits_joins(spark: SparkSession) -> bool:
+    """Whether adaptive execution splits a task of a join that reads too much."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    return all(spark.conf.get(name) == "true" for name in names)
+
+
+def spread_hot_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt, so that no key of ``left`` is more than a fraction of a task's share of the rows.
+
+    Keys with more than one ``FINE``-th of what a shuffle partition holds on average are dealt to salts of that size,
+    by a hash of the row, and have their rows in ``right`` once for each. There are at most ``FINE`` of those
+    for every shuffle partition, which is what is sent to all tasks. ``left`` is read once more, for its keys alone.
+    """
+    parts = FINE * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot, salts, name = f"{SALT}_key", f"{SALT}s", f"{SALT}_of_{right_key}"
+    counts = stage(left.groupBy(F.col(quoted(left_key)).alias(hot)).agg(F.count("*").alias("_rows")), "key-counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    share = F.ceil(F.col("_rows") * parts / F.lit(max(1, total)))
+    many = F.broadcast(counts.filter(F.col("_rows") * parts > total).select(hot, share.alias(salts)))
+    hashable = [F.col(quoted(f.name)) for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    dealt = F.pmod(F.xxhash64(*hashable), F.coalesce(salts, F.lit(1))).alias(SALT)
+    left = left.join(many, left[left_key] == many[hot], "left").select(*map(F.col, map(quoted, left.columns)), dealt)
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(salts, F.lit(1)) - 1)).alias(name)
+    columns = [F.col(quoted(c)) for c in right.columns]
+    return left, right.join(many, right[right_key] == many[hot], "left").select(*columns, each)
 
 
 def orphans(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -31,6 +31,8 @@ def mirror(
     *,
     fetched: str = "fetched",
     listed: str | None = None,
+    deletions: DataFrame | None = None,
+    deleted: str = "deleted",
     allow_empty_source: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Plan one sync run: ``(next_target, actions)``.
@@ -47,6 +49,11 @@ def mirror(
     references or sizes rather than file bytes, as rows pass a shuffle; both results run the join,
     so ``stage`` a source that is costly to compute.
 
+    Without ``deletions`` every entry that is no longer listed counts as deleted: that is the plan. Once
+    it has been carried out, ``deletions`` tells how: the key and the boolean ``deleted`` of each entry that was
+    tried, any number of times. An entry that no row says to be gone stays in the target, counts as an error, and is
+    planned again by the next run; outcomes of entries that are still listed say nothing.
+
     An empty listing would delete the whole target, so it is an error unless allowed.
     """
     if not allow_empty_source:
@@ -69,18 +76,23 @@ def mirror(
     stored = stored.select(one.alias(key), "_old")
     both = named.join(fresh, key, "left").join(stored, key, "full_outer")
     unlisted = F.col("_fetched").isNull()
+    gone = F.lit(True)
+    if deletions is not None:
+        tried = deletions.groupBy(key).agg(F.bool_or(deleted).alias("_deleted"))
+        both = both.join(tried, key, "left")
+        gone = F.coalesce(F.col("_deleted"), F.lit(False))
+    once = lambda hit: F.when(hit, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
     outcomes = F.array(
         F.struct(F.lit(UPLOADED).alias("action"), F.col("_fetched").alias("entries")),
-        F.struct(F.lit(ERROR).alias("action"), F.col("_failed").alias("entries")),
         F.struct(
-            F.lit(DELETED).alias("action"),
-            F.when(unlisted, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("entries"),
+            F.lit(ERROR).alias("action"), F.coalesce("_failed", once(unlisted & ~gone)).alias("entries")
         ),
+        F.struct(F.lit(DELETED).alias("action"), once(unlisted & gone).alias("entries")),
     )
     actions = both.select(key, F.inline(outcomes)).filter(F.col("entries") > 0)
 
-    kept = F.when(F.col("_fetched") > 0, F.col("_new")).when(~unlisted, F.col("_old"))
+    kept = F.when(F.col("_fetched") > 0, F.col("_new")).when(~unlisted | ~gone, F.col("_old"))
     next_target = (
         both.select(key, kept.alias("_entry")).filter(F.col("_entry").isNotNull()).select(key, "_entry.*")
     )

@@ -15,10 +15,14 @@ from orebelt.functions.columns import quoted
 def with_group_max(df: DataFrame, keys: Sequence[str], measure: str, name: str) -> DataFrame:
     """Attach the group's maximum to each of its rows.
 
-    Meant for rows already summed up to one per group and period: a group is then bounded by
-    its number of periods. To pick the best rows only, use ``arg_max_per_group``.
+    Maxima are taken on the map side first and joined back, a join in which adaptive execution can split a
+    group that holds too many rows: no group is brought together, as a window would. To pick the best
+    rows only, use ``arg_max_per_group``.
     """
-    return df.withColumn(name, F.max(measure).over(Window.partitionBy(*keys)))
+    own = [f"_key_{place}" for place in range(len(keys))]
+    best = df.groupBy(*[F.col(quoted(key)).alias(o) for key, o in zip(keys, own)]).agg(F.max(measure).alias("_best"))
+    same = reduce(and_, (df[key].eqNullSafe(best[o]) for key, o in zip(keys, own)))
+    return df.join(best, same).select(*[df[quoted(c)] for c in df.columns], F.col("_best").alias(name))
 
 
 def arg_max_per_group(
@@ -76,7 +80,8 @@ def sort_rows(df: DataFrame, *order: str | Column) -> DataFrame:
     A global sort samples its input for the ranges first, and would run a scan and join below it
     a second time for that. The rows are therefore put down in a shuffle before, balanced in
     size, and both the sample and the sort read them from there; a stored table needs no more than
-    ``orderBy``. Rows that are equal in ``order``
-    end up in one task: add columns that tell them apart where one value may be frequent.
+    ``orderBy``. Rows that are equal in ``order`` are told apart by a hash of the whole row, so that a value that
+    many rows have is cut into several ranges; only rows that are equal in all columns stay together.
     """
-    return df.hint("rebalance").orderBy(*order)
+    hashable = [F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return df.hint("rebalance").orderBy(*order, F.xxhash64(*hashable))

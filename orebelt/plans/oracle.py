@@ -272,6 +272,13 @@ UNION ALL SELECT 2, 0, {batch_1} FROM shipped
 UNION ALL SELECT 3, {batch_2}, count(*) FROM shipped""",
         "schema_evolution": f"{raw} "
         f"SELECT {raw_columns}, CASE WHEN batch = 2 THEN note END AS note, batch FROM shipped",
+        "layouts_by_load": f"{raw}, counts AS (SELECT count(*) FILTER (period = 'Q01') AS a, "
+        "count(*) FILTER (period = 'Q02') AS b, count(*) FILTER (period NOT IN ('Q01', 'Q02')) AS c FROM shipped) "
+        """
+SELECT 1 AS load, a AS rows_added, 1 AS layouts, CAST(0 AS BIGINT) AS noted FROM counts
+UNION ALL SELECT 2, b, 2, b FROM counts
+UNION ALL SELECT 3, 0, 2, b FROM counts
+UNION ALL SELECT 4, c, 3, b FROM counts""",
         "silver_stream": f"{silver} SELECT * FROM silver",
         "file_inventory": """
 SELECT 'year=' || CAST(year(l_shipdate) AS VARCHAR) AS folder,
@@ -299,6 +306,25 @@ WHERE name IN (SELECT name FROM source WHERE NOT fetched)""",
 SELECT CAST((SELECT sum(listed) FROM source WHERE fetched) AS BIGINT) AS uploaded,
        (SELECT count(*) FROM target WHERE name NOT IN (SELECT name FROM source)) AS deleted,
        CAST((SELECT sum(listed) FROM source WHERE NOT fetched) AS BIGINT) AS errors""",
+        "sync_delete_outcomes": f"{links} "
+        """
+SELECT name, CASE WHEN fetched THEN 'uploaded' ELSE 'error' END AS action, listed AS entries FROM source
+UNION ALL
+SELECT name, CASE WHEN length(name) % 3 = 0 THEN 'deleted' ELSE 'error' END, 1
+FROM target WHERE name NOT IN (SELECT name FROM source)""",
+        "sync_delete_state": f"{links} "
+        """
+SELECT name, 'new:' || name AS content FROM source WHERE fetched
+UNION ALL
+SELECT name, 'old:' || name FROM target
+WHERE name IN (SELECT name FROM source WHERE NOT fetched)
+   OR name NOT IN (SELECT name FROM source) AND length(name) % 3 <> 0""",
+        "sync_delete_stats": f"{links}, left_over AS (SELECT name FROM target WHERE name NOT IN (SELECT name FROM source)) "
+        """
+SELECT CAST((SELECT sum(listed) FROM source WHERE fetched) AS BIGINT) AS uploaded,
+       (SELECT count(*) FROM left_over WHERE length(name) % 3 = 0) AS deleted,
+       CAST((SELECT sum(listed) FROM source WHERE NOT fetched) AS BIGINT)
+         + (SELECT count(*) FROM left_over WHERE length(name) % 3 <> 0) AS errors""",
         "materialize_roundtrip": f"{silver} SELECT * FROM silver",
         "dataset_properties": f"{everything} "
         + " UNION ALL ".join(

@@ -121,19 +121,21 @@ def sync_landing(
     prefix: str,
     html: str = "html",
     attribute: str = "HREF",
+    deletions: DataFrame | None = None,
     allow_empty_source: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Mirror what the listing pages name into the target: ``(next_target, actions)``.
 
     ``fetches`` has one row per name that was fetched: ``name`` and the target's other columns. A
-    listed name without a row there failed to load.
+    listed name without a row there failed to load. ``deletions`` has the outcome of deletes, ``name`` and
+    ``deleted``, once they have been tried; see ``mirror``.
     """
     names = extract_links(pages, html, prefix, attribute=attribute)
     if not allow_empty_source:
         refuse_empty(names)
     listed = names.groupBy("name").agg(F.count("*").alias("listed"))
     source = listed.join(fetches.withColumn("fetched", F.lit(True)), "name", "left")
-    return mirror(source, target, "name", listed="listed", allow_empty_source=True)
+    return mirror(source, target, "name", listed="listed", deletions=deletions, allow_empty_source=True)
 
 
 # Silver

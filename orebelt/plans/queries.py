@@ -45,13 +45,22 @@ from orebelt.operators import (
 from orebelt.plans import products
 from orebelt.plans import workload as w
 from orebelt.session import literal_rows, new_scratch, stage
-from orebelt.sinks import materialize, preview, table_comment, table_properties, write_documents
+from orebelt.sinks import (
+    materialize,
+    preview,
+    table_comment,
+    table_properties,
+    write_delimited,
+    write_documents,
+)
 from orebelt.sources import (
     file_inventory,
+    file_layouts,
     inventory_by_folder,
     read_delimited,
     read_json_documents,
 )
+from orebelt.sources.files import layout_log
 from orebelt.streaming import (
     append_stream,
     read_appended,
@@ -436,6 +445,29 @@ def ingest_layouts_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_appended(spark, f"{work}/out", run.schema).select(*RAW, "note", "batch")
 
 
+def layouts_by_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Four loads over one checkpoint: a batch, one with a column more, nothing new, one with the columns reversed."""
+    work = new_scratch(spark, "loads")
+    rows = w.shipped_observations(spark, sf).withColumn("batch", w.mixed_batch())
+    loads = {1: RAW, 2: [*RAW, "note"], 4: [*reversed(RAW)]}
+    done = []
+    for load in range(1, 5):
+        if load in loads:
+            own = rows.filter(F.col("batch") == min(load, 3)).select(*loads[load])
+            write_delimited(w.padded(own), f"{work}/landing/batch={load}")
+        run = products.bronze_observations(
+            spark, f"{work}/landing", f"{work}/out", f"{work}/progress", glob=w.LANDED_FILES
+        )
+        layouts = file_layouts(
+            spark, f"{work}/landing", glob=w.LANDED_FILES, log=layout_log(f"{work}/progress_schema")
+        )
+        stored = read_appended(spark, f"{work}/out", run.schema)
+        noted = stored.agg(F.count("note") if "note" in stored.columns else F.lit(0)).first()[0]
+        done.append((load, rows_added(run), len(layouts.headers), noted))
+    columns = {"load": "int", "rows_added": "bigint", "layouts": "int", "noted": "bigint"}
+    return literal_rows(spark, done, columns)
+
+
 def silver_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze table by stream, silver by a stream over that table, read as a batch."""
     work = new_scratch(spark, "silver")
@@ -508,6 +540,28 @@ def sync_landing(spark: SparkSession, sf: str) -> DataFrame:
     return actions
 
 
+def _sync_after_deletes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    outcomes = w.delete_outcomes(spark, sf)
+    return mirror(w.source_listing(spark, sf), w.target_listing(spark, sf), "name", deletions=outcomes)
+
+
+def sync_delete_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Outcomes of a sync in which some deletes failed, or were not tried: those are errors."""
+    _, actions = _sync_after_deletes(spark, sf)
+    return actions
+
+
+def sync_delete_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The target after it: what could not be deleted is still there."""
+    state, _ = _sync_after_deletes(spark, sf)
+    return state
+
+
+def sync_delete_stats(spark: SparkSession, sf: str) -> DataFrame:
+    _, actions = _sync_after_deletes(spark, sf)
+    return sync_stats(actions)
+
+
 # Stored datasets
 
 
@@ -660,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "ingest_layouts_stream": ingest_layouts_stream,
     "ingest_stream_rerun": ingest_stream_rerun,
     "schema_evolution": schema_evolution,
+    "layouts_by_load": layouts_by_load,
     "silver_stream": silver_stream,
     "file_inventory": file_inventory_query,
     "extract_links": extract_links_query,
@@ -670,6 +725,9 @@ QUERIES: dict[str, Query] = {
     "sync_next_state": sync_next_state,
     "sync_stats": sync_stats_query,
     "sync_landing": sync_landing,
+    "sync_delete_outcomes": sync_delete_outcomes,
+    "sync_delete_state": sync_delete_state,
+    "sync_delete_stats": sync_delete_stats,
     "materialize_roundtrip": materialize_roundtrip,
     "dataset_properties": dataset_properties,
     "gold_best_year": gold_best_year,

@@ -135,3 +135,35 @@ def test_nested_attributes_are_never_broadcast_unmeasured(spark):
         joined = enrich_by_year(observations, dimension, ["tags"], unique=unique)
         assert "strategy=broadcast" not in joined._jdf.queryExecution().logical().toString()
         assert [tuple(r) for r in joined.collect()] == [("s", 2013, [1, 2])]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_hot_year_is_split_without_adaptive_execution(spark, monkeypatch, how):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr("orebelt.operators.joins.broadcast_if_small", lambda df, limit: df)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        observations = spark.range(0, 200_000, 1, 8).selectExpr(
+            "cast(if(id % 3 = 0, 1999, if(id % 50 = 1, null, 1000 + id % 997)) AS int) AS year", "id AS value"
+        )
+        # 1999 stands there twice, and not all years do.
+        years = spark.range(1000, 1900).selectExpr("cast(id AS int) year", "id AS population")
+        dimension = years.unionByName(spark.range(2).selectExpr("1999 AS year", "id AS population"))
+        joined = enrich_by_year(observations, dimension, how=how)
+        assert joined.columns == ["year", "value", "population"]
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] <= 3 * sizes[len(sizes) // 2]
+        plain = observations.join(dimension, "year", how).select("year", "value", "population")
+        assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+        assert "Cartesian" not in plan(joined) and "NestedLoop" not in plan(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -128,3 +128,44 @@ def test_a_target_entry_that_stands_twice(spark):
     two = spark.createDataFrame([("d", "old"), ("d", "older")], "name string, content string")
     with pytest.raises(Exception, match="two target entries"):
         mirror(source, two, "name")[1].collect()
+
+
+def test_failed_deletes_stay_and_are_tried_again(spark):
+    source = spark.createDataFrame([("a", True, "a2"), ("b", False, None)], SOURCE)
+    target = spark.createDataFrame([(n, n + "1") for n in "abdefg"], TARGET)
+    outcomes = spark.createDataFrame(
+        [("d", True), ("e", False), ("e", None), ("f", False), ("f", True), ("b", True), ("unknown", True)],
+        "name string, deleted boolean",
+    )
+    state, actions = mirror(source, target, "name", deletions=outcomes)
+    assert pairs(actions) == [
+        ("a", "uploaded", 1),
+        ("b", "error", 1),
+        ("d", "deleted", 1),
+        ("e", "error", 1),
+        ("f", "deleted", 1),
+        ("g", "error", 1),  # never tried
+    ]
+    assert tuple(sync_stats(actions).first()) == (1, 2, 3)
+    assert pairs(state) == [("a", "a2"), ("b", "b1"), ("e", "e1"), ("g", "g1")]
+    again, actions = mirror(source, state, "name", deletions=spark.createDataFrame([("e", True), ("g", True)], outcomes.schema))
+    assert pairs(actions.filter("action = 'deleted'")) == [("e", "deleted", 1), ("g", "deleted", 1)]
+    assert pairs(again) == [("a", "a2"), ("b", "b1")]
+
+
+def test_a_failed_delete_of_an_entry_that_is_only_a_key(spark):
+    source = spark.createDataFrame([("a", True)], "name string, fetched boolean")
+    target = spark.createDataFrame([("a",), ("b",), ("c",)], "name string")
+    outcomes = spark.createDataFrame([("b", True)], "name string, deleted boolean")
+    state, _ = mirror(source, target, "name", deletions=outcomes)
+    assert pairs(state) == [("a",), ("c",)]
+
+
+def test_sync_from_listing_pages_with_failed_deletes(spark):
+    pages = spark.createDataFrame([('<A HREF="/p/a">a</A>',)], "html string")
+    fetches = spark.createDataFrame([("a", "a2")], "name string, content string")
+    target = spark.createDataFrame([("x", "x1"), ("y", "y1")], TARGET)
+    outcomes = spark.createDataFrame([("x", True), ("y", False)], "name string, deleted boolean")
+    state, actions = products.sync_landing(pages, fetches, target, prefix="/p/", deletions=outcomes)
+    assert pairs(state) == [("a", "a2"), ("y", "y1")]
+    assert pairs(actions) == [("a", "uploaded", 1), ("x", "deleted", 1), ("y", "error", 1)]

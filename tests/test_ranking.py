@@ -129,3 +129,30 @@ def test_sort_puts_the_rows_down_once_before_it_samples_them(spark):
     assert [tuple(r) for r in ordered.collect()] == expected
     plan = ordered._jdf.queryExecution().executedPlan().toString()
     assert plan.index("rangepartitioning") < plan.index("REBALANCE_PARTITIONS_BY_NONE")
+
+
+def test_a_value_that_many_rows_have_is_sorted_by_several_tasks(spark):
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "16")
+    spark.conf.set(coalesce, "false")
+    try:
+        df = spark.range(90_000).selectExpr("if(id % 3 = 0, 7, id) AS v", "id AS w").repartition(4)
+        ordered = sort_rows(df, F.desc("v"))
+        sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * 90_000 / 16
+        values = [r["v"] for r in ordered.collect()]
+        assert values == sorted(values, reverse=True)
+    finally:
+        spark.conf.set(name, before)
+        spark.conf.unset(coalesce)
+
+
+def test_group_maximum_of_a_hot_group_takes_no_window(spark):
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, null, id % 100) AS k", "cast(id AS double) AS v", "id AS `a.b`")
+    best = with_group_max(df, ["k"], "v", "m")
+    assert best.columns == ["k", "v", "a.b", "m"]
+    assert "Window" not in best._jdf.queryExecution().executedPlan().toString()
+    tops = {r["k"]: r["m"] for r in best.select("k", "m").distinct().collect()}
+    assert tops == {r["k"]: r["m"] for r in df.groupBy("k").agg(F.max("v").alias("m")).collect()} and len(tops) == 101
+    assert best.count() == 30_000
