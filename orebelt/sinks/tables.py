@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -27,11 +28,23 @@ def annotate(
     properties: Mapping[str, str] | None = None,
 ) -> None:
     """Set the comment and properties of a table, e.g. ``{"quality": "gold"}``."""
+    if _is_view(spark, name):
+        given = {**({} if comment is None else {"comment": comment}), **(properties or {})}
+        if given:
+            spark.sql(f"ALTER VIEW {_table(name)} SET TBLPROPERTIES ({_pairs(given)})")
+        return
     if comment is not None:
         spark.sql(f"COMMENT ON TABLE {_table(name)} IS {_text(comment)}")
     if properties:
-        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
-        spark.sql(f"ALTER TABLE {_table(name)} SET TBLPROPERTIES ({pairs})")
+        spark.sql(f"ALTER TABLE {_table(name)} SET TBLPROPERTIES ({_pairs(properties)})")
+
+
+def _pairs(properties: Mapping[str, str]) -> str:
+    return ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+
+
+def _is_view(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.getTable(name).tableType == "VIEW"
 
 
 def table_comment(spark: SparkSession, name: str) -> str | None:
@@ -56,12 +69,12 @@ def materialize(
 ) -> DataFrame:
     """Store ``df`` as a table, replacing its earlier content, and return the stored table.
 
-    With a ``path`` the rows are first written in full to a new folder below it, and only then does
-    the table point there: a refresh that fails leaves the previous content in place, and ``df``
-    may read the table it replaces. Where columns and partitions are as before, the switch is one
-    change of the table's location; otherwise a second table is made ready and takes over the name.
-    Folders of earlier content stay until ``remove_old_contents``. Without a ``path`` the table is
-    overwritten in the warehouse folder.
+    With a ``path`` the rows are first written in full to a new folder below it, as a table of their own, and
+    only then does the name, a view, point there: a refresh that fails leaves the previous content in place,
+    and ``df`` may read the table it replaces. The switch is one change in the catalog, whatever changes in
+    columns or partitions, so a reader finds the previous content or the new one at any time; the table of the
+    previous one stays until the next switch. Folders of earlier content stay until ``remove_old_contents``.
+    Without a ``path`` the table is overwritten in the warehouse folder.
 
     ``sort_by`` sorts within each task, without a shuffle, so that a filter on those columns skips
     row groups.
@@ -75,7 +88,8 @@ def materialize(
     else:
         version = f"{path}/content-{uuid.uuid4().hex}"
         writer.save(version)
-        _switch(spark, name, version, _stored_schema(df.schema, partition_by), partition_by)
+        _switch(spark, name, version, _stored_schema(df.schema, partition_by), partition_by, comment, properties)
+        return spark.read.table(name)
     annotate(spark, name, comment, properties)
     return spark.read.table(name)
 
@@ -94,30 +108,50 @@ def _create(spark: SparkSession, name: str, location: str, schema: T.StructType,
         spark.catalog.recoverPartitions(name)
 
 
-def _switch(spark: SparkSession, name: str, version: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
-    following, previous = f"{name}__following", f"{name}__previous"
-    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(previous):
-        spark.sql(f"ALTER TABLE {_table(previous)} RENAME TO {_table(name)}")  # a switch that broke off
-    if not spark.catalog.tableExists(name):
-        _create(spark, name, version, schema, partition_by)
-        return
-    if not partition_by and _stored_schema(spark.read.table(name).schema, ()) == schema and not _partitions(spark, name):
-        spark.sql(f"ALTER TABLE {_table(name)} SET LOCATION {_text(version)}")
-        spark.catalog.refreshTable(name)
-        return
-    for rest in (following, previous):
-        spark.sql(f"DROP TABLE IF EXISTS {_table(rest)}")
-    _create(spark, following, version, schema, partition_by)
-    spark.sql(f"ALTER TABLE {_table(name)} RENAME TO {_table(previous)}")
-    spark.sql(f"ALTER TABLE {_table(following)} RENAME TO {_table(name)}")
-    spark.sql(f"DROP TABLE {_table(previous)}")
+CONTENT = "content_table"  # property of a view: the table that it shows
+
+
+def _switch(
+    spark: SparkSession,
+    name: str,
+    version: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+    comment: str | None,
+    properties: Mapping[str, str] | None,
+) -> None:
+    content = f"{name}__{version.rsplit('-', 1)[-1]}"
+    _create(spark, content, version, schema, partition_by)
+    known: dict[str, str] = {}
+    if spark.catalog.tableExists(name):
+        if _is_view(spark, name):
+            known = {r["key"]: r["value"] for r in table_properties(spark, name).collect()}
+            known = {k: v for k, v in known.items() if not k.startswith("view.") and k != "comment"}
+            comment = table_comment(spark, name) if comment is None else comment
+        else:  # one that was not stored by path so far
+            spark.sql(f"DROP TABLE {_table(name)}")
+    given = {**known, **(properties or {}), CONTENT: content}
+    said = "" if comment is None else f"COMMENT {_text(comment)}"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_table(name)} {said} TBLPROPERTIES ({_pairs(given)}) AS SELECT * FROM {_table(content)}"
+    )
+    for old in _contents(spark, name):
+        if old not in (content, known.get(CONTENT)):
+            spark.sql(f"DROP TABLE IF EXISTS {_table(old)}")
 
 
-def _partitions(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def _contents(spark: SparkSession, name: str) -> list[str]:
+    """The tables of the contents of ``name``, qualified as that is."""
+    space, _, base = name.rpartition(".")
+    tables = spark.catalog.listTables(space or None, f"{base}__*")
+    is_content = re.compile(rf"{re.escape(base)}__[0-9a-f]{{32}}", re.I).fullmatch
+    return [f"{space}.{t.name}" if space else t.name for t in tables if is_content(t.name)]
 
 
 def table_location(spark: SparkSession, name: str) -> str:
+    """Where the rows of a table lie, or those of the table that a view of ``materialize`` shows."""
+    if _is_view(spark, name):
+        name = table_properties(spark, name).filter(f"key = '{CONTENT}'").first()["value"]
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_table(name)}").filter("col_name = 'Location'")
     return rows.first()["data_type"]
 
@@ -132,6 +166,9 @@ def remove_old_contents(spark: SparkSession, name: str, path: str) -> list[str]:
     ]
     if len(old) == len(list_folder(spark, path)):
         raise ValueError(f"{name} is not stored below {path}")
+    for content in _contents(spark, name):
+        if not content.lower().endswith(current.removeprefix("content-").lower()):
+            spark.sql(f"DROP TABLE IF EXISTS {_table(content)}")
     for entry in old:
         delete_folder(spark, entry)
     return old

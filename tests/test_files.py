@@ -171,13 +171,53 @@ def test_a_switch_that_breaks_off_leaves_a_readable_table(spark, tmp_path, monke
         with pytest.raises(RuntimeError, match="gone"):
             materialize(rows.selectExpr("id", "odd", "1 AS more"), name, path=path, partition_by=partition_by)
     assert spark.read.table(name).count() == 4
-    if partition_by:  # between the two renames
-        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__previous")
     assert materialize(rows.limit(2), name, path=path, partition_by=partition_by).count() == 2
     assert len(remove_old_contents(spark, name, path)) >= 2
     assert spark.read.table(name).count() == 2
 
 
+def test_readers_never_miss_a_table_while_its_columns_change(spark, tmp_path):
+    import threading
+
+    path, name = str(tmp_path / "t"), "switched"
+    materialize(spark.range(7), name, "first", {"quality": "gold"}, path=path)
+    ended, seen, failed = threading.Event(), [], []
+
+    def read():
+        while not ended.is_set():
+            try:
+                seen.append(spark.read.table(name).count())
+            except Exception as error:  # noqa: BLE001
+                failed.append(error)
+
+    readers = [threading.Thread(target=read) for _ in range(2)]
+    for reader in readers:
+        reader.start()
+    try:
+        for i in range(8):
+            rows = spark.range(7).selectExpr("id", f"id % 2 AS c{i}", "id % 3 AS part")
+            materialize(rows, name, path=path, partition_by=["part"] if i % 3 == 1 else [])
+    finally:
+        ended.set()
+        for reader in readers:
+            reader.join()
+    assert not failed and len(seen) > 3 and set(seen) == {7}
+    assert spark.read.table(name).columns[1] == "c7"
+    # What was said of it stays, and what is no longer shown goes.
+    assert table_comment(spark, name) == "first"
+    assert table_properties(spark, name).filter("key = 'quality'").first()["value"] == "gold"
+    assert len(remove_old_contents(spark, name, path)) == 8
+    assert spark.read.table(name).count() == 7
+    assert len([t for t in spark.catalog.listTables() if t.name.startswith(name)]) == 2
+
+
+def test_a_table_of_the_warehouse_becomes_one_with_a_path(spark, tmp_path):
+    materialize(spark.range(3), "moved")
+    assert materialize(spark.range(4), "moved", "now here", path=str(tmp_path / "t")).count() == 4
+    assert table_comment(spark, "moved") == "now here"
+    assert remove_old_contents(spark, "moved", str(tmp_path / "t")) == []
+
+
 def test_columns_are_matched_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\ty \tz\n1\t 2\t3\n")
     (tmp_path / "b.csv").write_text("y\tx\n5\t\"4\t4\"\n")
