@@ -7,8 +7,9 @@ by more than ``TOLERANCE`` of itself, so that every host that a seed leads to is
 verdicts are those of the PageRank. Built-in functions only.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, fits no rule and is
-allowed; repeated rows and null ids are judged row by row; an empty table gives an empty result;
-only the named columns are read, so further columns may have any name.
+allowed; null or very long pages have no links, or all that stand in them; of two rules that are equally
+long (ties) the one that is listed later holds, and a host with as much trust as distrust is allowed;
+repeated rows and null ids are judged row by row; an empty table gives an empty result; only the named columns are read, so further columns may have any name.
 """
 
 from __future__ import annotations

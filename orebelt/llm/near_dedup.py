@@ -18,7 +18,8 @@ A link is certain once confirmed. One at the threshold is missed with probabilit
 ``(1 - similarity ** rows) ** bands``, 5e-6 at 0.75, and a sketch that strays by five deviations.
 
 Defined cases: null and empty texts, and texts without words, have no shingle and are linked with
-nothing; fewer than five words are one shingle; rows that repeat an id are one document that has
+nothing; fewer than five words are one shingle; a very long text has the set of all its shingles; of equal
+texts and sets (ties) the smallest id stands for the others; rows that repeat an id are one document that has
 the links of each of them; a row without an id has no component and is kept; an empty table gives
 an empty result. Only the named columns are read.
 """

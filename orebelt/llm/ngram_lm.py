@@ -14,8 +14,9 @@ have a count otherwise. A range has about as many n-grams at every size of the c
 
 Words are runs of characters other than white space, A-Z in lower case; an n-gram is known by 56 bits.
 
-Defined cases: null and empty texts, and texts without words, have a score of 0 over 0 words; repeated
-rows are other texts to each other; null ids are kept; an empty table gives an empty result. Only the
+Defined cases: null and empty texts, and texts without words, have a score of 0 over 0 words; a very long
+text is scored as a whole; there are no ties to break, as nothing is ranked; repeated rows are other texts to
+each other; null ids are kept; an empty table gives an empty result. Only the
 named columns are read.
 """
 

@@ -17,7 +17,8 @@ probabilities; there the score of rank r is -ln(r + 2), as in Zipf's law, less `
 fewer pieces are better. Scores are added up in millionths, hence exactly. Pieces with a blank inside
 are runs of blanks and are not used.
 
-Defined cases: null and empty texts have no pieces and decode to the empty text; a literal U+2581 is
+Defined cases: null and empty texts have no pieces and decode to the empty text; a very long text, or
+word, is encoded as a whole; of equally good paths (ties) the one with the longer last piece holds; a literal U+2581 is
 spelt in bytes, so it isn't taken for a blank; null ids are kept, repeated rows each encoded; an empty
 table gives an empty result. Only the named columns are read.
 """

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from orebelt.llm.host_rank import DAMPING, DISTRUST_SHARE, HREF, ITERATIONS, Rule
+from orebelt.llm.host_rank import DAMPING, DISTRUST_SHARE, HREF, Rule
+
+STEPS = 200
 
 WARC = """
 WITH p AS (
@@ -27,22 +29,14 @@ def _host(url: str) -> str:
 
 
 def host_rank(rules: Sequence[Rule]) -> str:
-    """The steps of the propagation as one CTE each."""
+    """So many steps of the propagation that no rank changes any more; the query stops a little earlier."""
     longest = sorted(rules, key=lambda r: -len(r.text))
     fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
     rule = " ".join(f"WHEN {fits(r)} THEN '{r.text}'" for r in longest)
     verdict = " ".join(f"WHEN rule = '{r.text}' THEN '{r.verdict}'" for r in longest)
     href = HREF.replace("'", "''")
-    steps = "".join(
-        f"""
-, r{i + 1} AS (
-  SELECT kind, host, sum(rank) AS rank FROM (
-    SELECT kind, dst AS host, rank * share * {DAMPING} AS rank FROM r{i} JOIN ways USING (kind, host)
-    UNION ALL SELECT kind, host, rank * (1 - {DAMPING}) FROM r0) GROUP BY kind, host)"""
-        for i in range(ITERATIONS)
-    )
     return f"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, html, {_host('url')} AS host,
     CASE WHEN strpos(url, '://') > 0
       THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
@@ -61,10 +55,18 @@ links AS (
 counts AS (
   SELECT CASE WHEN said = 'allow' THEN 'trust' ELSE 'distrust' END AS kind, host, count(*) AS n
   FROM judged WHERE said IS NOT NULL GROUP BY 1, 2
-), r0 AS (SELECT kind, host, n::DOUBLE / sum(n) OVER (PARTITION BY kind) AS rank FROM counts){steps},
-sums AS (
+), seeds AS (SELECT kind, host, n::DOUBLE / sum(n) OVER (PARTITION BY kind) AS rank FROM counts),
+ranks AS (
+  SELECT 0 AS step, kind, host, rank FROM seeds
+  UNION ALL
+  SELECT step + 1, kind, host, sum(rank) FROM (
+    SELECT step, kind, dst AS host, rank * share * {DAMPING} AS rank FROM ranks JOIN ways USING (kind, host)
+    UNION ALL
+    SELECT step, s.kind, s.host, s.rank * (1 - {DAMPING}) FROM seeds s, (SELECT max(step) AS step FROM ranks)
+  ) WHERE step < {STEPS} GROUP BY step, kind, host
+), sums AS (
   SELECT host, sum(CASE kind WHEN 'trust' THEN rank ELSE 0 END) AS t,
-    sum(CASE kind WHEN 'distrust' THEN rank ELSE 0 END) AS d FROM r{ITERATIONS} GROUP BY host
+    sum(CASE kind WHEN 'distrust' THEN rank ELSE 0 END) AS d FROM ranks WHERE step = {STEPS} GROUP BY host
 )
 SELECT page_id, host, path, rule,
   coalesce(said, CASE WHEN d > {DISTRUST_SHARE} * (t + d) THEN 'block' END, 'allow') AS verdict

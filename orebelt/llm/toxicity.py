@@ -14,7 +14,9 @@
 Texts are scored where they are read, without a shuffle. What the driver holds is the votes of the
 sample (``SAMPLE`` labelled and as many other rows) and the weights of ``VOTERS`` voters.
 
-Defined cases: null and empty texts have no votes and get the score of a text without any; null
+Defined cases: null and empty texts have no votes and get the score of a text without any; of a very long
+text all words vote; voters that are equally good (ties) are taken in order of their names, equal scores get
+equal predictions; repeated rows are each scored; null
 labels count as none; of several labels for an id the largest counts; rows with null ids are scored
 but never trained on; without labelled toxic rows the fixed words vote alone; an empty table gives an
 empty result. Only the named columns are read.

@@ -106,5 +106,30 @@ def test_ranks_are_those_of_the_page_rank(spark):
         assert r["rank"] == pytest.approx((trust if r.kind == "trust" else distrust)[r.host], rel=1e-4)
 
 
+def test_sql_over_pages_that_link_to_other_hosts(spark, tmp_path):
+    """The graph decides here, also for hosts that many steps lead to."""
+    import random
+
+    import duckdb
+
+    from orebelt.llm import sql
+
+    pick = random.Random(4)
+    hosts = [f"h{i}.net" for i in range(40)] + ["good.org", "fine.org", "bad.net", "x.bad.net"]
+    chain = {f"h{i}.net": [f"h{i + 1}.net"] for i in range(12)}
+    rows = []
+    for i, host in enumerate(hosts * 2):
+        others = chain.get(host, []) + pick.sample(hosts, pick.randint(0, 3))
+        rows.append((i, f"https://{host}/{i}", link(*others)))
+    rows += [(900, None, link("h1.net")), (901, "https://lonely.net/", None), (901, "https://lonely.net/", None)]
+    got = f.rows(host_rank.judge_urls(pages(spark, rows), RULES))
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(con.execute(sql.host_rank(RULES)).fetchall(), key=repr)
+    verdicts = {v for *_, rule, v in got if rule is None}
+    assert verdicts == {"allow", "block"}
+
+
 def test_empty_table(spark):
     assert host_rank.judge_urls(pages(spark, []).limit(0), RULES).count() == 0
