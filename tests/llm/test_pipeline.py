@@ -55,6 +55,37 @@ def test_stages_on_planted_documents(spark, tmp_path):
     assert got[90].text == got[91].text == "" and got[90].n_pieces == 0
 
 
+@model
+def test_odd_documents_pass_all_stages(spark, tmp_path):
+    """Clashing columns, repeated rows and ids, lost ids, a very long text."""
+    long = f.prose(1, 100_000)
+    rows = [
+        (1, f.prose(2, 100)),
+        (2, f.prose(3, 100)),
+        (2, f.prose(3, 100)),  # the same row again
+        (3, f.prose(4, 100)),
+        (3, f.prose(5, 100)),  # the same id with another text
+        (None, f.prose(6, 100)),
+        (None, None),
+        (4, long),
+        (5, ""),
+        (6, None),
+        (-7, f.prose(2, 100)),  # a copy of 1, with a smaller id
+    ]
+    docs = f.table(spark, [(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    f.table(spark, [], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    f.table(spark, [], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        kept = step(spark, kept, str(tmp_path))
+        assert kept.schema.simpleString() == docs.schema.simpleString()
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sorted((i for i, _ in got), key=str) == sorted([2, 3, 4, 5, 6, -7, None, None], key=str)
+    assert (4, long) in got and (None, f.prose(6, 100)) in got and (5, "") in got and (6, "") in got
+    assert sum(i == 3 and t in (f.prose(4, 100), f.prose(5, 100)) for i, t in got) == 1
+
+
 def test_passages_of_over_50_words_go(spark):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     sizes = (51, 52, 55)
