@@ -2,6 +2,12 @@
 
 Each stage gets the documents that the one before has kept, as a stored table, and returns them with the
 same columns; the last one returns their pieces.
+
+Defined cases: null and empty texts are no reason for any stage to drop a row; they end without pieces. Rows
+that repeat an id are one document from ``near_dedup`` on, which keeps one of them; of equal texts (ties) the one with the
+smallest id stays. Rows without an id are kept by every stage. A very long text is handled whole. An empty
+table, or one without labels or test items, passes through. Further columns, whatever their names, are kept by
+all stages but the last.
 """
 
 from __future__ import annotations
