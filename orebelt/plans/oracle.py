@@ -205,16 +205,14 @@ SELECT event_id, array_to_string(json_keys(props), ',') AS keys FROM events""",
 SELECT event_id, user_id, event_type, value AS event_value,
        CAST(json_extract(props, '$.k') AS BIGINT) AS prop_k
 FROM events""",
-        "population_silver": f"WITH {_RECORDS} "
-        """
-SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,
-       'census_20250102_000000.json' AS _source_file
-FROM records WHERE year IS NOT NULL AND population > 0""",
-        "population_silver_numbers": f"WITH {_RECORDS} "
-        """
+        **dict.fromkeys(
+            ("population_silver", "population_silver_split"),
+            f"WITH {_RECORDS} "
+            """
 SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,
        'census_20250102_000000.json' AS _source_file
 FROM records WHERE year IS NOT NULL AND population > 0""",
+        ),
         "population_silver_numbers": f"WITH {_RECORDS} "
         """
 SELECT nation_id, nation, year, CAST(population AS BIGINT) AS population,

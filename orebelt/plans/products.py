@@ -156,8 +156,13 @@ def silver_observations(bronze: DataFrame) -> DataFrame:
 def typed_population(bronze: DataFrame) -> DataFrame:
     """One typed row per record of the documents; a document without records gives none."""
     lineage = [c for c in ("_source_file", "_ingestion_timestamp") if c in bronze.columns]
-    records = flatten_struct(explode_records(bronze, "data.data", keep=lineage), "record")
-    named = standardize_names(records).select(*POPULATION_COLUMNS, *lineage)
+    return typed_records(explode_records(bronze, "data.data", keep=lineage))
+
+
+def typed_records(records: DataFrame) -> DataFrame:
+    """The same from records next to their lineage, see ``read_records`` for large documents."""
+    lineage = [c for c in records.columns if c != "record"]
+    named = standardize_names(flatten_struct(records, "record")).select(*POPULATION_COLUMNS, *lineage)
     trimmed = trim_strings(named, "nation_id", "nation", "_source_file")
     return cast_columns(trimmed, {"year": "int", "population": "bigint"})
 

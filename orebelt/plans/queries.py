@@ -24,6 +24,7 @@ from orebelt.operators import (
     dq_report,
     enrich_by_year,
     envelope_schema,
+    expect_or_drop,
     latest_snapshot,
     mirror,
     name_difference,
@@ -57,8 +58,10 @@ from orebelt.sources import (
     file_inventory,
     file_layouts,
     inventory_by_folder,
+    latest_file,
     read_delimited,
     read_json_documents,
+    read_records,
 )
 from orebelt.sources.files import layout_log
 from orebelt.streaming import (
@@ -306,6 +309,14 @@ def population_silver(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def population_silver_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with each document read by several tasks."""
+    latest = latest_file(spark, w.record_snapshots(spark, sf))
+    records = read_records(spark, latest, w.POPULATION_DOCUMENT, "data.data")
+    records = records.withColumn("_source_file", F.lit(latest.rsplit("/", 1)[-1]))
+    return expect_or_drop(products.typed_records(records), products.POPULATION_RULES)
+
+
 def population_silver_numbers(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshots that hold the year as a JSON number with a fraction part and the population as such a text."""
     folder = w.number_snapshots(spark, sf)
@@ -702,6 +713,7 @@ QUERIES: dict[str, Query] = {
     "payload_keys": payload_keys_query,
     "payload_flatten": payload_flatten,
     "population_silver": population_silver,
+    "population_silver_split": population_silver_split,
     "population_silver_numbers": population_silver_numbers,
     "population_record_counts": population_record_counts,
     "envelope_roundtrip": envelope_roundtrip,

@@ -1,3 +1,4 @@
+from orebelt.sources.documents import read_records
 from orebelt.sources.files import (
     file_inventory,
     file_layouts,
@@ -17,5 +18,6 @@ __all__ = [
     "latest_file",
     "read_delimited",
     "read_json_documents",
+    "read_records",
     "remembered_columns",
 ]
