@@ -81,7 +81,7 @@ def typed(column: Column, data_type: str) -> Column:
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """``typed`` over several columns, e.g. ``{"year": "smallint", "value": "double"}``.
 
-    A column of numbers is cast as it is, so a fraction is cut off.
+    Numbers are held to the same rule as text: one with a fraction is no whole number.
     """
     missing = [name for name in types if name not in df.columns]
     if missing:
@@ -90,7 +90,11 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 
     def cast(name: str) -> Column:
         column = F.col(quoted(name))
-        if isinstance(df.schema[name].dataType, T.NumericType):
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.NumericType):
+            if types[name] in WHOLE_NUMBERS and not isinstance(kind, T.IntegralType):
+                whole = F.floor(column) if isinstance(kind, T.DecimalType) else F.rint(column)
+                column = F.when(column == whole, column)
             return column.try_cast(types[name])
         return typed(column, types[name])
 

@@ -81,14 +81,14 @@ def test_text_helpers(spark):
     row = spark.sql("SELECT timestamp'2025-01-31 23:59:58' AS ts, 1234567L AS n, 'f' AS name").select(
         compact_stamp(F.col("ts")),
         iso_stamp(F.col("ts")),
-        snapshot_name("population_data", F.col("ts")),
+        snapshot_name("head_counts", F.col("ts")),
         thousands(F.col("n")),
         with_prefix("a/b/", F.col("name")),
     )
     assert tuple(row.first()) == (
         "20250131_235958",
         "2025-01-31T23:59:58.000000",
-        "population_data_20250131_235958.json",
+        "head_counts_20250131_235958.json",
         "1,234,567",
         "a/b/f",
     )
@@ -101,3 +101,13 @@ def test_link_prefix_is_literal_and_case_sensitive(spark):
     assert [r[0] for r in found] == [["a"], None]
     lower = df.select(link_names(F.col("html"), "/pub/x.y/", "href")).first()[0]
     assert lower == ["c"]
+
+
+def test_a_fraction_is_no_whole_number_in_any_form(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES ('123.0', 123.0D, 123.0BD), ('123.5', 123.5D, 123.5BD), ('-7', -7D, -7BD), "
+        "('1e99', 1e99D, 99999999999999999999BD), (NULL, NULL, NULL), ('x', double('NaN'), 0BD), ('y', double('Infinity'), 0.1BD) "
+        "AS t(text, number, exact)"
+    )
+    got = [tuple(r) for r in cast_columns(df, {"text": "int", "number": "int", "exact": "int"}).collect()]
+    assert got == [(123, 123, 123), (None, None, None), (-7, -7, -7), (None, None, None), (None, None, None), (None, None, 0), (None, None, None)]
