@@ -72,8 +72,8 @@ def materialize(
     With a ``path`` the rows are first written in full to a new folder below it, as a table of their own, and
     only then does the name, a view, point there: a refresh that fails leaves the previous content in place,
     and ``df`` may read the table it replaces. The switch is one change in the catalog, whatever changes in
-    columns or partitions, so a reader finds the previous content or the new one at any time; the table of the
-    previous one stays until the next switch. Folders of earlier content stay until ``remove_old_contents``.
+    columns or partitions, so a reader finds the previous content or the new one at any time. Tables and
+    folders of earlier content stay until ``remove_old_contents``, as a reader may have found them already.
     Without a ``path`` the table is overwritten in the warehouse folder.
 
     ``sort_by`` sorts within each task, without a shuffle, so that a filter on those columns skips
@@ -135,9 +135,6 @@ def _switch(
     spark.sql(
         f"CREATE OR REPLACE VIEW {_table(name)} {said} TBLPROPERTIES ({_pairs(given)}) AS SELECT * FROM {_table(content)}"
     )
-    for old in _contents(spark, name):
-        if old not in (content, known.get(CONTENT)):
-            spark.sql(f"DROP TABLE IF EXISTS {_table(old)}")
 
 
 def _contents(spark: SparkSession, name: str) -> list[str]:
