@@ -169,14 +169,20 @@ def read_by_name(
     lines = lines.select("line", *map(quoted, more), "_metadata", F.col("_metadata.file_path").alias("_file"))
     of_file = known.files.select(F.col("file").alias("_file"), F.col("header").alias("_header")).distinct()
     joined = lines.join(of_file, "_file", "left").filter(~F.col("line").eqNullSafe(F.col("_header")))
-    unknown = F.raise_error(F.concat(F.lit(f"{UNKNOWN_LAYOUT}: "), F.col("_file")))
-    parsed = F.when(F.col("_header").isNull(), unknown.cast(text(names)))
-    for header in layouts:
+    # One column per layout: a field taken off ``from_csv`` itself would take the line apart once per field.
+    rows, fields = [], {name: [] for name in names}
+    for place, header in enumerate(layouts):
         own = header_names(header, sep)
         row = F.from_csv("line", ", ".join(f"{quoted(n)} string" for n in own), {"sep": sep})
-        fields = [(row[n] if n in own else F.lit(None).cast("string")).alias(n) for n in names]
-        parsed = parsed.when(F.col("_header") == header, F.struct(*fields))
-    return joined.withColumn("_row", parsed).select("_row.*", *map(quoted, more), *["_metadata"][:metadata])
+        rows.append(F.when(F.col("_header") == header, row).alias(f"_row_{place}"))
+        for name in set(own).intersection(names):
+            fields[name].append(F.col(f"_row_{place}")[name])
+    unknown = F.raise_error(F.concat(F.lit(f"{UNKNOWN_LAYOUT}: "), F.col("_file"))).cast("string")
+    none = F.when(F.col("_header").isNull(), unknown)
+    parsed = joined.select("_file", "_header", "_metadata", *map(quoted, more), *rows)
+    return parsed.select(
+        *[F.coalesce(*fields[n], none).alias(n) for n in names], *map(quoted, more), *["_metadata"][:metadata]
+    )
 
 
 def read_delimited(

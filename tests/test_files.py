@@ -3,6 +3,8 @@ import time
 
 import pytest
 from observations import COLUMNS, ROWS, write_padded
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import types as T
 
 from orebelt import (
     annotate,
@@ -21,6 +23,7 @@ from orebelt import (
     write_delimited,
 )
 from orebelt.session import new_scratch, scratch_root, stage
+from orebelt.sources.files import file_layouts
 
 
 def test_written_text_keeps_its_padding(spark, tmp_path):
@@ -233,6 +236,27 @@ def test_columns_are_matched_by_name(spark, tmp_path):
         read_delimited(spark, str(tmp_path))
 
 
+def test_files_of_several_layouts_are_taken_apart_once_a_line(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x\ty\tz\n1\t2\n1\t2\t3\t4\n\t\"5\t5\"\t\n")
+    (tmp_path / "b.csv").write_text("z\tx\n6\t7\n\"8\"\n")
+    df = read_delimited(spark, str(tmp_path)).select("x", "y", "z")
+    rows = [("1", "2", None), ("1", "2", "3"), (None, "5\t5", None), ("7", None, "6"), (None, None, "8")]
+    assert sorted(map(str, map(tuple, df.collect()))) == sorted(map(str, rows))
+    # One parse per layout, not one for each of its columns.
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 2
+
+
+@pytest.mark.parametrize("names", [["x"], ["y"], ["none"], ["x", "y", "none"]])
+def test_no_column_of_a_file_of_unknown_layout_is_read(spark, tmp_path, names):
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "b.csv").write_text("y\tx\n2\t3\n")
+    known = file_layouts(spark, str(tmp_path))
+    (tmp_path / "c.csv").write_text("y\n4\n")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    with pytest.raises(SparkRuntimeException, match="not known yet"):
+        read_delimited(spark, str(tmp_path), schema, layouts=known).collect()
+
+
 def test_materialize_in_the_warehouse(spark):
     materialize(spark.range(5), "managed", properties={"quality": "bronze"})
     assert materialize(spark.range(2), "managed").count() == 2
